@@ -96,6 +96,8 @@ def _keyed(name: str, df: DataFrame) -> DataFrame:
 
 
 def _matrices(rows: pa.Table, is_matrix: bool) -> tuple[dict[int, np.ndarray], np.ndarray]:
+    if not rows.num_rows:
+        return {}, np.zeros(0, np.int64)
     blocks, ids = rows["b"].to_numpy(), rows["r"].to_numpy()
     cells = rows["values"].combine_chunks()
     matrix = cells.flatten().to_numpy(zero_copy_only=False).reshape(len(cells), -1)

@@ -17,22 +17,29 @@ def explode_dictionary(df: DataFrame, json_col: str, id_cols: list[str]) -> Data
     return df.select(*id_cols, F.explode(parsed).alias("key", "value")).select(*id_cols, "value", "key")
 
 
-def transpose_row_vectors(df: DataFrame, row_key: str, values: str) -> DataFrame:
-    """One row per former column: `(place, values)`, elements ordered by `row_key`.
-
-    The result cell holds one element per input row, so a column with more rows than an array
-    cell can take belongs in `transpose_long`.
+def transpose_row_vectors(
+    df: DataFrame, row_key: str, values: str, block_cols: list[str] | None = None
+) -> DataFrame:
+    """Transpose the matrix of each block: `(block, place, values)`, one row per former column,
+    elements ordered by `row_key`.
+
+    An output vector has one element per row of its block, so this is for blocks of parameter-table
+    height; `transpose_long` takes any height.
     """
-    return transpose_long(df, row_key, values).groupBy("place").agg(
+    blocks = block_cols or []
+    return transpose_long(df, row_key, values, blocks).groupBy(*blocks, "place").agg(
         ordered("row_key", "value").alias("values")
     )
 
 
-def transpose_long(df: DataFrame, row_key: str, values: str) -> DataFrame:
-    """Transposed matrix in long form `(place, row_key, value)`; no shuffle, any height."""
+def transpose_long(
+    df: DataFrame, row_key: str, values: str, block_cols: list[str] | None = None
+) -> DataFrame:
+    """Transposed matrix in long form `(block, place, row_key, value)`; no shuffle, any height."""
+    blocks = block_cols or []
     return df.select(
-        F.col(row_key).alias("row_key"), F.posexplode(values).alias("place", "value")
-    ).select("place", "row_key", "value")
+        *blocks, F.col(row_key).alias("row_key"), F.posexplode(values).alias("place", "value")
+    ).select(*blocks, "place", "row_key", "value")
 
 
 @dataclass(frozen=True)
