@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftmill.functions.bytesym import symbols
+from weftmill.functions.bytesym import encoder_rows, symbols
 from weftmill.lineage import fits, salted_join
 
 # Up to this many symbols the merges run as nested array functions inside the JVM; their cost
@@ -39,31 +39,46 @@ _STEPS = T.ArrayType(
 
 
 def _hits(parts: DataFrame, vocab: DataFrame, carry: list[str]) -> DataFrame:
-    """`(part, carry, s, n, hits)`: symbol string, its length, and every vocabulary substring
-    as `(packed start/end, token)`."""
+    """`(part, carry, s, hits)`: symbol string, and every vocabulary substring of two or more
+    symbols as `(packed start/end, token)`."""
     longest = vocab.agg(F.max(F.length("cluster")).alias("n")).first()["n"] or 1
+    # One span (0, 0) per part survives the join without a hit, so that no part is lost.
     spans = F.expr(
-        f"""flatten(transform(sequence(0, length(s) - 1), i ->
-              transform(sequence(1, least({longest}, length(s) - i)), k ->
-                struct(i AS start, i + k AS end, substring(s, i + 1, k) AS cluster))))"""
+        f"""concat(array(struct(0 AS start, 0 AS end, '' AS cluster)),
+              if(length(s) < 2 OR {longest} < 2, array(),
+                flatten(transform(sequence(0, length(s) - 2), i ->
+                  transform(sequence(2, greatest(2, least({longest}, length(s) - i))), k ->
+                    struct(i AS start, i + k AS end, substring(s, i + 1, k) AS cluster))))))"""
     )
+    keys = ["part", *carry, "s"]
     base = parts.filter(F.length("part") > 0).select("part", *carry, symbols("part").alias("s"))
-    exploded = base.select("part", *carry, "s", F.explode(spans).alias("_x")).select(
-        "part", *carry, "s", "_x.*"
-    )
-    words = vocab.select("token", "cluster")
+    exploded = base.select(*keys, F.explode(spans).alias("_x")).select(*keys, "_x.*")
+    words = vocab.filter(F.length("cluster") > 1).select("token", "cluster")
     if fits(words, F.octet_length("cluster")):
-        # Unknown spans stay (as nulls) so that a part without any hit is not lost.
-        joined = exploded.join(F.broadcast(words), "cluster", "left")
+        # Most substrings are no token: they go right after the join, before the regrouping.
+        joined = exploded.join(F.broadcast(words), "cluster", "left").filter(
+            "token IS NOT NULL OR end = 0"
+        )
     else:
-        found = salted_join(exploded, words, "cluster", ["part", "start"])
-        keys = ["part", *carry, "s"]
+        found = salted_join(exploded.filter("end > 0"), words, "cluster", ["part", "start"])
         joined = found.select(*keys, "start", "end", "token").unionByName(
             base.select(*keys), allowMissingColumns=True
         )
     packed = F.col("start").cast("long") * F.lit(_PACK) + F.col("end")
     hit = F.when(F.col("token").isNotNull(), F.struct(packed.alias("span"), "token"))
-    return joined.groupBy("part", *carry, "s").agg(F.collect_list(hit).alias("hits"))
+    return joined.groupBy(*keys).agg(F.collect_list(hit).alias("hits"))
+
+
+def _single_token(vocab: DataFrame, symbol: str) -> str:
+    """Array expression: token id of a one-symbol cluster, null if unknown. The symbols are the 256
+    of the byte map, so this lookup is a constant of the plan."""
+    alphabet = [c for c, _byte in encoder_rows()]
+    known = vocab.filter(F.col("cluster").isin(alphabet)).select("cluster", "token").collect()
+    token = {r["cluster"]: r["token"] for r in known}
+    ids = ",".join(str(token.get(c, "null")) for c in alphabet)
+    # The quote and the backslash of the alphabet are escaped for the SQL literal.
+    letters = "".join("\\" + c if c in "'\\" else c for c in alphabet)
+    return f"get(array({ids}), instr('{letters}', {symbol}) - 1)"
 
 
 def _merge_sql(trace: bool) -> str:
@@ -153,15 +168,21 @@ def _long_trace(length: pa.Array, hits: pa.Array) -> pa.Array:
 
 
 def _clusters(bounds: str) -> str:
-    return f"""transform(sequence(0, size({bounds}) - 2),
-        i -> substring(s, cast({bounds}[i] + 1 as int), cast({bounds}[i + 1] - {bounds}[i] as int)))"""
+    return f"""transform(array({bounds}), b -> transform(sequence(0, size(b) - 2),
+        i -> substring(s, cast(b[i] + 1 as int), cast(b[i + 1] - b[i] as int))))[0]"""
+
+
+def _with_map(sql: str) -> str:
+    """Bind the hit map of a part to `m`; without the binding the optimizer would move its
+    construction into the lambdas and rebuild it for every lookup."""
+    return f"transform(array(map_from_entries(hits)), m -> {sql})[0]"
 
 
 def _merged(parts: DataFrame, vocab: DataFrame, carry: list[str], trace: bool) -> DataFrame:
     found = _hits(parts, vocab, carry)
     column = "steps" if trace else "bounds"
-    short = found.filter(F.length("s") <= LONG_PART).withColumn("m", F.map_from_entries("hits"))
-    short = short.withColumn(column, F.expr(_merge_sql(trace))).drop("m")
+    short = found.filter(F.length("s") <= LONG_PART)
+    short = short.withColumn(column, F.expr(_with_map(_merge_sql(trace))))
     udf = _long_trace if trace else _long_bounds
     # Same source as `short`: Spark reuses the exchange of the distinct.
     long = found.filter(F.length("s") > LONG_PART).withColumn(column, udf(F.length("s"), F.col("hits")))
@@ -175,12 +196,13 @@ def merge_parts(parts: DataFrame, vocab: DataFrame, carry: list[str] | None = No
     ids; a symbol without an id stays in `clusters` and is null in `tokens`.
     """
     carry = carry or []
-    token_of = f"""transform(sequence(0, size(bounds) - 2),
-        i -> try_element_at(m, bounds[i] * {_PACK} + bounds[i + 1]))"""
-    return (
-        _merged(parts, vocab, carry, trace=False)
-        .withColumn("m", F.map_from_entries("hits"))
-        .select("part", *carry, F.expr(_clusters("bounds")).alias("clusters"), F.expr(token_of).alias("tokens"))
+    single = _single_token(vocab, "substring(s, cast(b[i] + 1 as int), 1)")
+    token_of = _with_map(
+        f"""transform(array(bounds), b -> transform(sequence(0, size(b) - 2),
+              i -> if(b[i + 1] - b[i] = 1, {single}, try_element_at(m, b[i] * {_PACK} + b[i + 1]))))[0]"""
+    )
+    return _merged(parts, vocab, carry, trace=False).select(
+        "part", *carry, F.expr(_clusters("bounds")).alias("clusters"), F.expr(token_of).alias("tokens")
     )
 
 

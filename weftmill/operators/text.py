@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from weftmill.functions.bytesym import symbols
 
-# Fixed pattern: contractions | optional space + word | optional space + punctuation | blanks.
-# Written so that first-match (Java) and longest-match regex rules give the same parts.
+# Fixed pattern: optional space + word | contractions | optional space + punctuation | blanks.
+# The alternatives start with different characters, so their order is free: words, which are most
+# parts, come first. First-match (Java) and longest-match rules give the same parts, and the
+# possessive quantifiers only save backtracking.
 PART_PATTERN = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}\p{N}_]+| ?[^\s\p{L}\p{N}_]+|\s+"
+    r" ?[\p{L}\p{N}_]++|'(?:[stmd]|re|ve|ll)| ?[^\s\p{L}\p{N}_]++|\s++"
 )
 
 
