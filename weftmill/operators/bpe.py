@@ -124,9 +124,12 @@ def merge_steps(n: int, hits: dict[tuple[int, int], int]) -> Iterator[tuple[int,
     queue = [(t, i) for i in range(n) if (t := pair(i)) is not None]
     heapq.heapify(queue)
     while queue:
-        token, merged = queue[0][0], False
+        # All occurrences of the winner are taken out before any new pair goes in: a merge may
+        # create a pair of lower id, which has to wait for the next step.
+        token, merged, found = queue[0][0], False, []
         while queue and queue[0][0] == token:
-            i = heapq.heappop(queue)[1]
+            found.append(heapq.heappop(queue)[1])
+        for i in found:
             if not alive[i] or pair(i) != token:
                 continue
             gone = after[i]

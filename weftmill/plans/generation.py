@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,9 @@ from weftmill.plans.forward import block_column
 
 # Fixed id of the end-of-text token.
 END_OF_TEXT = 50256
+# A state row is a few hundred bytes but minutes of work with a large model, so tasks are sized by
+# sequences and not by bytes.
+SEQUENCES_PER_TASK = 1000
 
 ScoreFn = Callable[[Column], Column]
 
@@ -71,6 +75,8 @@ def generate(
             "seq_id", "input", F.size("input").alias("original_length"), F.lit(True).alias("active")
         )
     )
+    cores = state.sparkSession.sparkContext.defaultParallelism
+    state = state.repartition(max(cores, math.ceil(state.count() / SEQUENCES_PER_TASK)))
     for step in range(threshold):
         if state.filter("active").isEmpty():
             break
