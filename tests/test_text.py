@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from weftmill.functions.bytesym import encoder_rows, encoder_table, symbols
 from weftmill.lineage import cut
@@ -133,7 +134,7 @@ def test_byte_map(spark):
 @pytest.fixture(scope="module")
 def skewed(spark):
     """One part is a third of all occurrences, one text holds most of the parts."""
-    rows = [(1, "the " * 3000), (2, ""), (3, "naïve 'tis 𝒳!"), (4, " ".join(f"w{i}" for i in range(6000)))]
+    rows = [(1, "the " * 3000), (2, ""), (3, "naïve\0 'tis 𝒳!\0\0"), (4, " ".join(f"w{i}" for i in range(6000)))]
     return spark.createDataFrame(rows, "doc_id long, text string")
 
 
@@ -183,6 +184,9 @@ def test_cut_character_decodes_to_null(spark):
     )
     out = {r["id"]: (bytes(r["bytes"]), r["response"]) for r in tokens.detokenize(rows, vocab, ["id"]).collect()}
     assert out == {1: (b"\xc3", None), 2: ("é".encode(), "é"), 3: (b"A", "A")}
+    odd = spark.createDataFrame([(7, "a日b")], "token int, cluster string")
+    row = tokens.detokenize(rows.withColumn("token", F.lit(7)).filter("id = 1"), odd, ["id"]).first()
+    assert row["response"] == "ab"
     with pytest.raises(Exception, match="MALFORMED_CHARACTER_CODING"):
         tokens.detokenize(rows, vocab, ["id"], on_invalid="raise").collect()
 

@@ -34,3 +34,20 @@ def symbols(text: Column | str) -> Column:
     """
     latin1 = F.decode(F.encode(text, "UTF-8"), "ISO-8859-1")
     return F.translate(latin1, _MOVED_FROM, _MOVED_TO)
+
+
+def known_symbols(text: Column | str) -> Column:
+    """The string without characters that stand for no byte."""
+    return F.regexp_replace(text, "[^\\u0021-\\u007E\\u00A1-\\u00AC\\u00AE-\\u0143]", "")
+
+
+def symbol_bytes(text: Column | str) -> Column:
+    """Inverse of `symbols`: the bytes of a string of printable symbols.
+
+    `translate` cannot produce the zero byte, so the string is taken apart at its symbol and put
+    together again around it.
+    """
+    zero = _MOVED_TO[0]
+    back = lambda s: F.translate(s, _MOVED_TO[1:], _MOVED_FROM[1:])
+    pieces = F.transform(F.split(text, zero), back)
+    return F.encode(F.array_join(pieces, "\0"), "ISO-8859-1")

@@ -19,6 +19,7 @@ from weftmill.functions.vectors import EXP_UNDERFLOW, GELU_CUBIC, GELU_SCALE, NO
 
 VECTOR = T.ArrayType(T.DoubleType())
 SEQUENCE = T.ArrayType(VECTOR)
+PLACES = T.ArrayType(T.IntegerType())
 _SCORED = [T.StructField("token", T.LongType()), T.StructField("value", T.DoubleType())]
 CANDIDATES = T.ArrayType(T.StructType(_SCORED))
 TILE_CANDIDATES = T.ArrayType(T.StructType([T.StructField("row", T.IntegerType()), *_SCORED]))
@@ -124,25 +125,61 @@ def feed_forward_column(params, block: int, eps: float, kind: T.DataType) -> Cal
     return _column(kind, fn)
 
 
-def embed_column(params, require_last: bool = False) -> Callable:
-    """Token arrays to sequences of token + place vectors; unknown tokens and places past the
-    place table drop. With `require_last` a sequence whose last token drops becomes empty."""
+def _known(tokens: pa.Array, places: pa.Array | None, params) -> tuple[np.ndarray, ...]:
+    """For all tokens of a batch: row in the token table, place, whether both exist, and the
+    row offsets. Without `places` they count from 0."""
+    lengths = np.asarray(tokens.value_lengths().fill_null(0))
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(int)
+    flat = tokens.flatten().to_numpy(zero_copy_only=False)
+    if places is None:
+        at_place = np.arange(len(flat)) - np.repeat(ends[:-1], lengths)
+    else:
+        at_place = places.flatten().to_numpy(zero_copy_only=False)
+    ids = params.of("wte_id")
+    at = np.searchsorted(ids, flat).clip(max=len(ids) - 1)
+    return at, at_place, (ids[at] == flat) & (at_place < len(params.of("wpe"))), ends
+
+
+def _kept_offsets(keep: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(keep)])[ends].astype(np.int32)
+
+
+def embed_column(params) -> Callable:
+    """Token and place arrays to sequences of token + place vectors; unknown tokens and places past
+    the place table drop."""
+
+    @F.arrow_udf(SEQUENCE)
+    def run(tokens: pa.Array, places: pa.Array) -> pa.Array:
+        at, place, keep, ends = _known(tokens, places, params)
+        rows = params.of("wte")[at[keep]] + params.of("wpe")[place[keep]]
+        return _close(rows, _kept_offsets(keep, ends))
+
+    return run
+
+
+def kept_places_column(params) -> Callable:
+    """The places that `embed_column` keeps."""
+
+    @F.arrow_udf(PLACES)
+    def run(tokens: pa.Array, places: pa.Array) -> pa.Array:
+        _at, place, keep, ends = _known(tokens, places, params)
+        kept = pa.array(place[keep].astype(np.int32))
+        return pa.ListArray.from_arrays(pa.array(_kept_offsets(keep, ends)), kept)
+
+    return run
+
+
+def embed_prompt_column(params) -> Callable:
+    """Token arrays to sequences, as `embed_column` with places from 0; a sequence whose last token
+    drops becomes empty, since nothing can follow it."""
 
     @F.arrow_udf(SEQUENCE)
     def run(tokens: pa.Array) -> pa.Array:
-        wte, wpe, ids = params.of("wte"), params.of("wpe"), params.of("wte_id")
-        lengths = np.asarray(tokens.value_lengths().fill_null(0))
-        ends = np.concatenate([[0], np.cumsum(lengths)]).astype(int)
-        flat = tokens.flatten().to_numpy(zero_copy_only=False)
-        places = np.arange(len(flat)) - np.repeat(ends[:-1], lengths)
-        at = np.searchsorted(ids, flat).clip(max=len(ids) - 1)
-        keep = (ids[at] == flat) & (places < len(wpe))
-        if require_last:
-            has_last = np.array([hi > lo and keep[hi - 1] for lo, hi in zip(ends[:-1], ends[1:])], bool)
-            keep &= np.repeat(has_last, lengths)
-        rows = wte[at[keep]] + wpe[places[keep]]
-        seen = np.concatenate([[0], np.cumsum(keep)])
-        return _close(rows.astype(np.float64), seen[ends].astype(np.int32))
+        at, place, keep, ends = _known(tokens, None, params)
+        has_last = np.array([hi > lo and keep[hi - 1] for lo, hi in zip(ends[:-1], ends[1:])], bool)
+        keep &= np.repeat(has_last, np.diff(ends))
+        rows = params.of("wte")[at[keep]] + params.of("wpe")[place[keep]]
+        return _close(rows, _kept_offsets(keep, ends))
 
     return run
 
@@ -165,12 +202,9 @@ def top_column(items: Callable[[], tuple[np.ndarray, Matrix]], n: int) -> Callab
         tokens, matrix = items()
         m, offsets = _open(vectors)
         rows = np.ones(len(vectors), int) if offsets is None else np.diff(offsets)
-        step = max(1, SCORE_CELLS // max(1, len(tokens)))
-        pieces = [best(m[lo : lo + step] @ matrix.T, tokens, n) for lo in range(0, len(m), step)] if m.size else []
-        ids = [t.ravel() for t, _v in pieces] or [np.zeros(0, np.int64)]
-        values = [v.ravel() for _t, v in pieces] or [np.zeros(0)]
+        ids, values = best_of(m, matrix, tokens, n)
         found = pa.StructArray.from_arrays(
-            [pa.array(np.concatenate(ids)), pa.array(np.concatenate(values))], names=["token", "value"]
+            [pa.array(ids.ravel()), pa.array(values.ravel())], names=["token", "value"]
         )
         ends = np.concatenate([[0], np.cumsum(rows * min(n, len(tokens)))]).astype(np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), found)
@@ -186,8 +220,8 @@ def tile_top_column(n: int) -> Callable:
         out = []
         for i in range(len(queries)):
             ids = tokens[i].values.to_numpy(zero_copy_only=False)
-            q, x = _open(pa.array([queries[i]]))[0], _open(pa.array([items[i]]))[0]
-            t, v = best(q @ x.T, ids, n)
+            q, x = _open(queries.slice(i, 1))[0], _open(items.slice(i, 1))[0]
+            t, v = best_of(q, x, ids, n)
             row = np.repeat(np.arange(len(q), dtype=np.int32), t.shape[1])
             out.append(
                 pa.StructArray.from_arrays(
@@ -200,15 +234,22 @@ def tile_top_column(n: int) -> Callable:
     return run
 
 
-def best(scores: Matrix, tokens: np.ndarray, n: int) -> tuple[Matrix, Matrix]:
-    """Per row the `n` highest scores by (score desc, token asc)."""
-    k = min(n, scores.shape[1])
-    if k == 0:
-        return np.zeros((len(scores), 0), np.int64), np.zeros((len(scores), 0))
-    cut = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
+def best_of(m: Matrix, items: Matrix, tokens: np.ndarray, n: int) -> tuple[Matrix, Matrix]:
+    """Tokens and scores of the `n` best items per row of `m`, a slice of rows at a time."""
+    k = min(n, len(tokens))
+    if not m.size or not k:
+        return np.zeros((0, k), np.int64), np.zeros((0, k))
+    step = max(1, SCORE_CELLS // len(tokens))
+    found = [best(m[lo : lo + step] @ items.T, tokens, k) for lo in range(0, len(m), step)]
+    return np.concatenate([t for t, _v in found]), np.concatenate([v for _t, v in found])
+
+
+def best(scores: Matrix, tokens: np.ndarray, k: int) -> tuple[Matrix, Matrix]:
+    """Per row the `k` highest scores by (score desc, token asc)."""
+    lowest = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
     out_t, out_v = np.empty((len(scores), k), np.int64), np.empty((len(scores), k))
     for i, row in enumerate(scores):
-        at = np.flatnonzero(row >= cut[i])
+        at = np.flatnonzero(row >= lowest[i])
         at = at[np.lexsort((tokens[at], -row[at]))][:k]
         out_t[i], out_v[i] = tokens[at], row[at]
     return out_t, out_v

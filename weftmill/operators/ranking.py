@@ -14,7 +14,7 @@ from weftmill.model import collect_matrix
 
 # Item tables up to this size are broadcast whole; larger ones are scored tile by tile.
 MAX_ITEM_BYTES = 512 * 1024 * 1024
-TILE_ROWS = 2048
+TILE_ROWS = 8192
 
 
 def last_place(df: DataFrame, lengths: DataFrame | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftmill.functions.bytesym import encoder_table
+from weftmill.functions.bytesym import known_symbols, symbol_bytes
 from weftmill.lineage import cut, fits, lookup, ordered
 from weftmill.operators.bpe import merge_parts
 from weftmill.operators.text import distinct_parts, parts_of, pretokenize
@@ -93,13 +93,15 @@ def text_sequences(df: DataFrame, text_col: str, id_cols: list[str], vocab: Data
 
 
 def _part_counts(df: DataFrame, text_col: str, by: list[str], vocab: DataFrame) -> DataFrame:
-    """`(by, part, n, tokens)`: occurrences are counted per group and part before any join."""
-    counts = (
+    """`(by, part, n, clusters, tokens)`: occurrences are counted per group and part before any
+    join, in one pass over the text; the dictionary is built from those counts."""
+    counts = cut(
         df.select(*by, F.explode(parts_of(text_col)).alias("part"))
         .groupBy(*by, "part")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return _with_tokens(counts, part_dictionary(df, text_col, vocab))
+    parts = counts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    return _with_tokens(counts, cut(merge_parts(parts, vocab, carry=["n"])))
 
 
 def token_stats(df: DataFrame, text_col: str, by: list[str], vocab: DataFrame) -> DataFrame:
@@ -146,16 +148,6 @@ def top_tokens(df: DataFrame, text_col: str, by: list[str], vocab: DataFrame, k:
     )
 
 
-def vocab_bytes(vocab: DataFrame) -> DataFrame:
-    """`(token, hex)`: the bytes of every vocabulary entry. Works on the vocabulary, so that
-    decoding a corpus needs one lookup per token instead of one per character."""
-    chars = vocab.select("token", F.posexplode(F.split("cluster", "")).alias("i", "character"))
-    known = chars.join(F.broadcast(encoder_table(vocab.sparkSession)), "character").select(
-        "token", "i", F.lpad(F.hex("byte"), 2, "0").alias("hex")
-    )
-    return known.groupBy("token").agg(F.array_join(ordered("i", "hex"), "").alias("hex"))
-
-
 def detokenize(
     token_rows: DataFrame, vocab: DataFrame, id_cols: list[str], on_invalid: str = "null"
 ) -> DataFrame:
@@ -166,10 +158,10 @@ def detokenize(
     """
     if on_invalid not in ("null", "raise"):
         raise ValueError("on_invalid must be 'null' or 'raise'")
-    words = cut(vocab_bytes(vocab))
-    rows = lookup(token_rows, words, "token", [*id_cols, "ordinality"], F.octet_length("hex"))
-    joined = _regroup(rows, id_cols, ["ordinality"], "hex", lambda a: F.array_join(a, ""))
-    raw = F.unhex("hex")
+    words = vocab.select("token", known_symbols("cluster").alias("cluster"))
+    rows = lookup(token_rows, words, "token", [*id_cols, "ordinality"], F.octet_length("cluster"))
+    joined = _regroup(rows, id_cols, ["ordinality"], "cluster", lambda a: F.array_join(a, ""))
+    raw = symbol_bytes("cluster")
     text: Column = (
         F.decode(raw, "UTF-8")
         if on_invalid == "raise"
@@ -181,14 +173,20 @@ def detokenize(
 def roundtrip_check(
     df: DataFrame, text_col: str, id_cols: list[str], by: list[str], vocab: DataFrame
 ) -> DataFrame:
-    """Per group: texts, and texts that differ after tokenising and decoding."""
+    """Per group: texts, and texts that differ after tokenising and decoding.
+
+    The two sides are compared by length and SHA-256, so that the join moves no text.
+    """
+    digest = lambda c: F.struct(F.octet_length(c), F.sha2(c, 256))
     arrays = text_sequences(df, text_col, id_cols, vocab)
     rows = arrays.select(*id_cols, F.posexplode("input").alias("ordinality", "token"))
-    decoded = detokenize(rows, vocab, id_cols).select(*id_cols, "response", F.lit(True).alias("_decoded"))
-    back = F.when(F.col("_decoded"), F.col("response")).otherwise(F.lit(""))
-    same = df.select(*id_cols, *by, text_col).join(decoded, id_cols, "left").select(
-        *by, (~back.eqNullSafe(F.col(text_col))).cast("long").alias("_differs")
-    )
-    return same.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_texts"), F.sum("_differs").alias("n_different")
+    decoded = detokenize(rows, vocab, id_cols).select(*id_cols, digest("bytes").alias("_decoded"))
+    # A text without tokens is right when it is empty.
+    empty = digest(F.lit("").cast("binary"))
+    texts = df.select(*id_cols, *by, digest(F.encode(text_col, "UTF-8")).alias("_text"))
+    differs = ~F.coalesce("_decoded", empty).eqNullSafe(F.col("_text"))
+    return (
+        texts.join(decoded, id_cols, "left")
+        .groupBy(*by)
+        .agg(F.count(F.lit(1)).alias("n_texts"), F.sum(differs.cast("long")).alias("n_different"))
     )

@@ -96,16 +96,16 @@ def transformer_block(df: DataFrame, model: Model, block: int, method: str = "ar
     return feed_forward(attended, model, block, method=method)
 
 
+def _all_blocks(model: Model, rows: Column) -> Column:
+    for block in range(model.n_block):
+        rows = block_column(model, block, rows)
+    return rows
+
+
 def transform(df: DataFrame, model: Model, method: str = "arrow") -> DataFrame:
     """All blocks, in order; only the last state is kept."""
     if not _relational(method):
-
-        def blocks(rows: Column) -> Column:
-            for block in range(model.n_block):
-                rows = block_column(model, block, rows)
-            return rows
-
-        return _on_packed(df, blocks)
+        return _on_packed(df, lambda rows: _all_blocks(model, rows))
     for block in range(model.n_block):
         # The block input is read twice (norm and residual), so the state is written between
         # sublayers: the plan stays linear in the number of blocks.
@@ -119,6 +119,29 @@ def final_norm(df: DataFrame, model: Model) -> DataFrame:
 
 
 def encode_sequences(tokens: DataFrame, model: Model, method: str = "arrow") -> DataFrame:
-    """`(seq_id, place, token)` through embedding, all blocks and the final norm."""
-    rows = embed(tokens, model.table("wte"), model.table("wpe"))
-    return final_norm(transform(rows, model, method), model)
+    """`(seq_id, place, token)` through embedding, all blocks and the final norm.
+
+    The Arrow way brings the token ids of a sequence together and embeds them afterwards: the one
+    shuffle moves a few bytes per token and never a vector.
+    """
+    if _relational(method):
+        rows = embed(tokens, model.table("wte"), model.table("wpe"))
+        return final_norm(transform(rows, model, method), model)
+    ids = F.sort_array(F.collect_list(F.struct("place", "token")))
+    packed = tokens.groupBy("seq_id").agg(ids.alias("_p")).select(
+        "seq_id", F.col("_p.place").alias("p"), F.col("_p.token").alias("t")
+    )
+    return unpack_sequences(
+        packed.select(
+            "seq_id",
+            kernels.kept_places_column(model.shared())("t", "p").alias("places"),
+            encoded_rows(model, F.col("t"), F.col("p")).alias("rows"),
+        )
+    )
+
+
+def encoded_rows(model: Model, tokens: Column, places: Column) -> Column:
+    """Token and place arrays to the final hidden vectors of each kept place. No shuffle."""
+    p = model.shared()
+    norm = kernels.norm_column(p, "ln_f_g", "ln_f_b", 0, model.eps, kernels.SEQUENCE)
+    return norm(_all_blocks(model, kernels.embed_column(p)(tokens, places)))

@@ -41,7 +41,7 @@ def model_scorer(model: Model, top_n: int) -> ScoreFn:
     top = kernels.top_column(lambda: (params.of("wte_id"), params.of("wte")), top_n)
 
     def score(tokens: Column) -> Column:
-        rows = kernels.embed_column(params, require_last=True)(tokens)
+        rows = kernels.embed_prompt_column(params)(tokens)
         for block in range(model.n_block):
             rows = block_column(model, block, rows)
         return top(norm(kernels.tail(rows)))

@@ -59,14 +59,14 @@ def model_specs(width: int, feed_forward: int) -> dict[str, TableSpec]:
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet scan with a declared schema where one is known.
 
-    A table in fewer files/row groups than there are cores (small inputs) is dealt out over all
-    cores first, since tokenising and matrix work cost far more than reading. A table with
-    enough splits - any large one - is scanned where it lies, without a shuffle.
+    A table in far fewer splits than there are cores is dealt out over all cores first, since
+    tokenising and matrix work cost much more than moving a small table. Any table with enough
+    splits is scanned where it lies, without a shuffle.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if df.rdd.getNumPartitions() * 4 <= cores:
         df = df.repartition(cores)
     return df
 
