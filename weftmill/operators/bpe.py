@@ -24,15 +24,15 @@ from pyspark.sql import types as T
 from weftmill.functions.bytesym import encoder_rows, symbols
 from weftmill.lineage import fits, salted_join
 
-# Up to this many symbols the merges run as nested array functions inside the JVM; their cost
-# grows with the square of the length, so longer parts (data URIs, base64, unspaced scripts)
-# go through `merge_steps`, which is n log n. Both ways are exact.
-LONG_PART = 64
-
-# (start, end) of a substring packed in one BIGINT map key.
-_PACK = 1 << 31
+# Up to this many symbols the boundaries between the symbols of a part fit in the bits of one BIGINT,
+# and the merges run as array functions inside the JVM. Longer parts (data URIs, base64, unspaced
+# scripts) go through `merge_steps`, which is n log n. Both ways are exact.
+LONG_PART = 62
 
 _BOUNDS = T.ArrayType(T.LongType())
+_MERGED = T.StructType(
+    [T.StructField("bounds", _BOUNDS), T.StructField("multi", T.ArrayType(T.IntegerType()))]
+)
 _STEPS = T.ArrayType(
     T.StructType([T.StructField("token", T.IntegerType()), T.StructField("bounds", _BOUNDS)])
 )
@@ -40,7 +40,7 @@ _STEPS = T.ArrayType(
 
 def _hits(parts: DataFrame, vocab: DataFrame, carry: list[str]) -> DataFrame:
     """`(part, carry, s, hits)`: symbol string, and every vocabulary substring of two or more
-    symbols as `(packed start/end, token)`."""
+    symbols as `(token, start, end)`."""
     longest = vocab.agg(F.max(F.length("cluster")).alias("n")).first()["n"] or 1
     # One span (0, 0) per part survives the join without a hit, so that no part is lost.
     spans = F.expr(
@@ -64,8 +64,7 @@ def _hits(parts: DataFrame, vocab: DataFrame, carry: list[str]) -> DataFrame:
         joined = found.select(*keys, "start", "end", "token").unionByName(
             base.select(*keys), allowMissingColumns=True
         )
-    packed = F.col("start").cast("long") * F.lit(_PACK) + F.col("end")
-    hit = F.when(F.col("token").isNotNull(), F.struct(packed.alias("span"), "token"))
+    hit = F.when(F.col("token").isNotNull(), F.struct("token", "start", "end"))
     return joined.groupBy(*keys).agg(F.collect_list(hit).alias("hits"))
 
 
@@ -82,34 +81,42 @@ def _single_token(vocab: DataFrame, symbol: str) -> str:
 
 
 def _merge_sql(trace: bool) -> str:
-    """Array expression over `s` and `m` (span -> token): the list of symbol boundaries after all
-    merges, or with `trace` one `(token, bounds)` entry per step."""
-    keep = "array_append(acc.steps, named_struct('token', best, 'bounds', f.out))" if trace else "acc.steps"
-    first = (
-        "array(named_struct('token', cast(null as int), 'bounds', sequence(0L, cast(length(s) as bigint))))"
+    """Array expression over `s` and `hits`: the list of symbol boundaries after all merges, or with
+    `trace` one `(token, bounds)` entry per step.
+
+    Bit i of `mask` says that a symbol starts at i (or that the part ends there). A hit is an
+    adjacent pair when both its ends are boundaries with exactly one boundary between them. One
+    step is one pass over the hits by (token, start): the first adjacent pair names the winner,
+    and the other hits of that token follow right after it, from left to right; a merge clears
+    the boundary inside, which also rules out an overlapping pair.
+    """
+    by_token = """transform(sort_array(hits), h -> named_struct('token', h.token,
+        'ends', shiftleft(1L, h.start) | shiftleft(1L, h.end),
+        'inner', shiftleft(1L, h.end) - shiftleft(1L, h.start + 1)))"""
+    step = """aggregate(found, named_struct('mask', acc.mask, 'best', cast(null as int)),
+        (a, h) -> if((a.best is null or a.best = h.token) and (a.mask & h.ends) = h.ends
+                       and bit_count(a.mask & h.inner) = 1,
+                     named_struct('mask', a.mask & ~h.inner, 'best', h.token), a))"""
+    bounds = "filter(sequence(0L, cast(length(s) as bigint)), i -> getbit({mask}, cast(i as int)) = 1)"
+    start = "shiftleft(1L, length(s)) * 2 - 1"
+    no_steps = "cast(array() as array<struct<token:int,mask:bigint>>)"
+    first = f"array(named_struct('token', cast(null as int), 'mask', {start}))"
+    keep = "array_append(acc.steps, named_struct('token', n.best, 'mask', n.mask))"
+    # As many passes as there can be merges; after the last merge a pass costs nothing.
+    loop = f"""aggregate(sequence(1, length(s)),
+        named_struct('mask', {start}, 'go', size(found) > 0, 'steps', {first if trace else no_steps}),
+        (acc, _i) -> if(not acc.go, acc,
+          transform(array({step}), n ->
+            if(n.best is null, named_struct('mask', acc.mask, 'go', false, 'steps', acc.steps),
+               named_struct('mask', n.mask, 'go', true, 'steps', {keep if trace else "acc.steps"})))[0]))"""
+    done = (
+        "transform(r.steps, t -> named_struct('token', t.token, 'bounds', "
+        + bounds.format(mask="t.mask")
+        + "))"
         if trace
-        else "cast(array() as array<struct<token:int,bounds:array<bigint>>>)"
+        else bounds.format(mask="r.mask")
     )
-    pair_tokens = f"""transform(sequence(0, size(acc.b) - 3),
-        i -> try_element_at(m, acc.b[i] * {_PACK} + acc.b[i + 2]))"""
-    # One step, with the pair tokens and the winner bound by name. A boundary is removed when the
-    # pair around it is the winner and the boundary before it was not removed in this step.
-    removed = """aggregate(sequence(1, size(acc.b) - 2),
-        named_struct('out', array(0L), 'skip', false),
-        (f, i) -> if(not f.skip and toks[i - 1] <=> best,
-                     named_struct('out', f.out, 'skip', true),
-                     named_struct('out', array_append(f.out, acc.b[i]), 'skip', false)),
-        f -> named_struct('out', array_append(f.out, acc.b[size(acc.b) - 1]), 'skip', false))"""
-    step = f"""transform(array({pair_tokens}), toks ->
-        transform(array(array_min(toks)), best ->
-          if(best is null, named_struct('b', acc.b, 'go', false, 'steps', acc.steps),
-             transform(array({removed}), f ->
-               named_struct('b', f.out, 'go', size(f.out) > 2, 'steps', {keep}))[0]))[0])[0]"""
-    result = "acc.steps" if trace else "acc.b"
-    return f"""aggregate(sequence(1, length(s)),
-        named_struct('b', sequence(0L, cast(length(s) as bigint)), 'go', length(s) > 1, 'steps', {first}),
-        (acc, _i) -> if(not acc.go, acc, {step}),
-        acc -> {result})"""
+    return f"transform(array({by_token}), found -> transform(array({loop}), r -> {done})[0])[0]"
 
 
 def merge_steps(n: int, hits: dict[tuple[int, int], int]) -> Iterator[tuple[int, list[int]]]:
@@ -143,53 +150,53 @@ def merge_steps(n: int, hits: dict[tuple[int, int], int]) -> Iterator[tuple[int,
             yield token, [i for i in range(n) if alive[i]]
 
 
-def _rows(length: pa.Array, hits: pa.Array) -> Iterator[tuple[int, dict[tuple[int, int], int]]]:
+def _long_rows(hits: pa.Array, length: pa.Array, merge) -> list:
+    """`merge(n, found)` for every long part; the null rows are the short ones."""
+    out = []
     for n, row in zip(length.to_pylist(), hits.to_pylist()):
-        yield n, {divmod(h["span"], _PACK): h["token"] for h in row}
+        found = {(h["start"], h["end"]): h["token"] for h in row or ()}
+        out.append(None if n is None else merge(n, found))
+    return out
 
 
-@F.arrow_udf(_BOUNDS)
-def _long_bounds(length: pa.Array, hits: pa.Array) -> pa.Array:
-    out = []
-    for n, found in _rows(length, hits):
+@F.arrow_udf(_MERGED)
+def _long_merged(length: pa.Array, hits: pa.Array) -> pa.Array:
+    def merge(n: int, found: dict) -> dict:
         starts = list(range(n))
         for _token, starts in merge_steps(n, found):
             pass
-        out.append([*starts, n])
-    return pa.array(out, pa.list_(pa.int64()))
+        bounds = [*starts, n]
+        return {"bounds": bounds, "multi": [found.get(span) for span in zip(bounds, bounds[1:])]}
+
+    kind = pa.struct([("bounds", pa.list_(pa.int64())), ("multi", pa.list_(pa.int32()))])
+    return pa.array(_long_rows(hits, length, merge), kind)
 
 
 @F.arrow_udf(_STEPS)
 def _long_trace(length: pa.Array, hits: pa.Array) -> pa.Array:
-    out = []
-    for n, found in _rows(length, hits):
+    def merge(n: int, found: dict) -> list:
         steps = [{"token": None, "bounds": list(range(n + 1))}]
-        steps += [{"token": t, "bounds": [*starts, n]} for t, starts in merge_steps(n, found)]
-        out.append(steps)
+        return steps + [{"token": t, "bounds": [*starts, n]} for t, starts in merge_steps(n, found)]
+
     kind = pa.list_(pa.struct([("token", pa.int32()), ("bounds", pa.list_(pa.int64()))]))
-    return pa.array(out, kind)
+    return pa.array(_long_rows(hits, length, merge), kind)
 
 
-def _clusters(bounds: str) -> str:
-    return f"""transform(array({bounds}), b -> transform(sequence(0, size(b) - 2),
-        i -> substring(s, cast(b[i] + 1 as int), cast(b[i + 1] - b[i] as int))))[0]"""
+def _with_long(found: DataFrame, udf) -> DataFrame:
+    """Add `_long`, the result of `udf` for long parts. One branch over all parts, with null
+    arguments for the short ones: a union of two filtered branches would scan the text twice."""
+    is_long = F.length("s") > LONG_PART
+    return found.withColumn("_long", udf(F.when(is_long, F.length("s")), F.when(is_long, F.col("hits"))))
 
 
-def _with_map(sql: str) -> str:
-    """Bind the hit map of a part to `m`; without the binding the optimizer would move its
-    construction into the lambdas and rebuild it for every lookup."""
-    return f"transform(array(map_from_entries(hits)), m -> {sql})[0]"
+def _per_cluster(bounds: str, value: str) -> str:
+    """Array expression: `value` for every cluster `(lo, hi)` between two boundaries."""
+    return f"""transform(array({bounds}), b -> transform(
+        transform(sequence(0, size(b) - 2), i -> named_struct('i', i, 'lo', cast(b[i] as int), 'hi', cast(b[i + 1] as int))),
+        c -> {value}))[0]"""
 
 
-def _merged(parts: DataFrame, vocab: DataFrame, carry: list[str], trace: bool) -> DataFrame:
-    found = _hits(parts, vocab, carry)
-    column = "steps" if trace else "bounds"
-    short = found.filter(F.length("s") <= LONG_PART)
-    short = short.withColumn(column, F.expr(_with_map(_merge_sql(trace))))
-    udf = _long_trace if trace else _long_bounds
-    # Same source as `short`: Spark reuses the exchange of the distinct.
-    long = found.filter(F.length("s") > LONG_PART).withColumn(column, udf(F.length("s"), F.col("hits")))
-    return short.unionByName(long)
+_CLUSTER = "substring(s, c.lo + 1, c.hi - c.lo)"
 
 
 def merge_parts(parts: DataFrame, vocab: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -199,13 +206,20 @@ def merge_parts(parts: DataFrame, vocab: DataFrame, carry: list[str] | None = No
     ids; a symbol without an id stays in `clusters` and is null in `tokens`.
     """
     carry = carry or []
-    single = _single_token(vocab, "substring(s, cast(b[i] + 1 as int), 1)")
-    token_of = _with_map(
-        f"""transform(array(bounds), b -> transform(sequence(0, size(b) - 2),
-              i -> if(b[i + 1] - b[i] = 1, {single}, try_element_at(m, b[i] * {_PACK} + b[i + 1]))))[0]"""
-    )
-    return _merged(parts, vocab, carry, trace=False).select(
-        "part", *carry, F.expr(_clusters("bounds")).alias("clusters"), F.expr(token_of).alias("tokens")
+    found = _with_long(_hits(parts, vocab, carry), _long_merged)
+    multi = _per_cluster("bounds", "get(filter(hits, h -> h.start = c.lo and h.end = c.hi), 0).token")
+    is_short = f"length(s) <= {LONG_PART}"
+    found = found.withColumn("bounds", F.expr(f"if({is_short}, {_merge_sql(False)}, _long.bounds)"))
+    found = found.withColumn("multi", F.expr(f"if({is_short}, {multi}, _long.multi)"))
+    single = _single_token(vocab, "substring(s, c.lo + 1, 1)")
+    # `multi` is bound outside the lambda over the clusters, or it would be built again in each.
+    token = _per_cluster("bounds", f"if(c.hi - c.lo = 1, {single}, ids[c.i])")
+    token = f"transform(array(multi), ids -> {token})[0]"
+    return found.select(
+        "part",
+        *carry,
+        F.expr(_per_cluster("bounds", _CLUSTER)).alias("clusters"),
+        F.expr(token).alias("tokens"),
     )
 
 
@@ -221,14 +235,14 @@ def bpe_merge(parts: DataFrame, vocab: DataFrame) -> DataFrame:
 def bpe_trace(parts: DataFrame, vocab: DataFrame) -> DataFrame:
     """`(part, step, token, combined, symbols)`: the state after every merge; step 1 is the
     unmerged part, with null token and string."""
-    steps = _merged(parts, vocab, [], trace=True).select(
-        "part", "s", F.posexplode("steps").alias("_i", "_step")
-    )
+    found = _with_long(_hits(parts, vocab, []), _long_trace)
+    merged = F.expr(f"if(length(s) <= {LONG_PART}, {_merge_sql(True)}, _long)")
+    steps = found.select("part", "s", F.posexplode(merged).alias("_i", "_step"))
     steps = steps.select(
         "part", "s", (F.col("_i") + 1).alias("step"), F.col("_step.token").alias("token"),
         F.col("_step.bounds").alias("bounds"),
     )
-    named = steps.select("part", "step", "token", F.expr(_clusters("bounds")).alias("symbols"))
+    named = steps.select("part", "step", "token", F.expr(_per_cluster("bounds", _CLUSTER)).alias("symbols"))
     words = vocab.select("token", F.col("cluster").alias("combined"))
     hint = F.broadcast(words) if fits(words, F.octet_length("combined")) else words
     return named.join(hint, "token", "left").select("part", "step", "token", "combined", "symbols")

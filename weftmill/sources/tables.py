@@ -42,6 +42,9 @@ ENCODER_SCHEMA = T.StructType(
     [T.StructField("character", T.StringType(), False), T.StructField("byte", T.IntegerType(), False)]
 )
 
+# Splits hold at most spark.sql.files.maxPartitionBytes (128 MB), so this is a few gigabytes.
+SMALL_SPLITS = 32
+
 
 def model_specs(width: int, feed_forward: int) -> dict[str, TableSpec]:
     """What `validate_table` has to hold for every model table of the given widths."""
@@ -59,14 +62,14 @@ def model_specs(width: int, feed_forward: int) -> dict[str, TableSpec]:
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Parquet scan with a declared schema where one is known.
 
-    A table in far fewer splits than there are cores is dealt out over all cores first, since
-    tokenising and matrix work cost much more than moving a small table. Any table with enough
-    splits is scanned where it lies, without a shuffle.
+    A small table (at most `SMALL_SPLITS` splits, fewer than there are cores) is dealt out over all
+    cores first, since tokenising and matrix work cost much more than moving it. Any larger table
+    is scanned where it lies, without a shuffle.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() * 4 <= cores:
+    if df.rdd.getNumPartitions() < min(cores, SMALL_SPLITS):
         df = df.repartition(cores)
     return df
 
