@@ -63,14 +63,15 @@ def test_batch_equals_single_runs(spark, model):
 
 
 def test_scorer_equals_whole_forward_pass(spark, model):
-    df = prompts(spark, [(1, [5, 6, 7]), (2, [400]), (3, [1, 99999, 2]), (4, [1, 99999])])
+    long = list(range(65))
+    df = prompts(spark, [(1, [5, 6, 7]), (2, [400]), (3, [1, 99999, 2]), (4, [1, 99999]), (5, long), (6, long[:64])])
     found = df.select("seq_id", F.inline(generation.model_scorer(model, 3)(F.col("input"))))
     encoded = forward.encode_sequences(layers.sequence_rows(df), model, "relational")
     last = ranking.last_place(encoded, df.select("seq_id", F.size("input").alias("n_seq")))
     expected = ranking.top_n_by_inner_product(last, model.table("wte"), 3)
     key = lambda d: sorted((r["seq_id"], r["token"], round(r["value"], 9)) for r in d.collect())
     assert key(found) == key(expected)
-    assert {r[0] for r in key(found)} == {1, 2, 3}
+    assert {r[0] for r in key(found)} == {1, 2, 3, 6}
 
 
 @pytest.fixture(scope="module")

@@ -122,13 +122,15 @@ def encode_sequences(tokens: DataFrame, model: Model, method: str = "arrow") ->
     """`(seq_id, place, token)` through embedding, all blocks and the final norm.
 
     The Arrow way brings the token ids of a sequence together and embeds them afterwards: the one
-    shuffle moves a few bytes per token and never a vector.
+    shuffle moves a few bytes per token and never a vector. Places past the place table, which
+    embedding drops, are left out before, so that no sequence is longer than that table.
     """
     if _relational(method):
         rows = embed(tokens, model.table("wte"), model.table("wpe"))
         return final_norm(transform(rows, model, method), model)
     ids = F.sort_array(F.collect_list(F.struct("place", "token")))
-    packed = tokens.groupBy("seq_id").agg(ids.alias("_p")).select(
+    known = tokens.filter(F.col("place") < len(model.shared().of("wpe")))
+    packed = known.groupBy("seq_id").agg(ids.alias("_p")).select(
         "seq_id", F.col("_p.place").alias("p"), F.col("_p.token").alias("t")
     )
     return unpack_sequences(

@@ -41,7 +41,9 @@ def model_scorer(model: Model, top_n: int) -> ScoreFn:
     top = kernels.top_column(lambda: (params.of("wte_id"), params.of("wte")), top_n)
 
     def score(tokens: Column) -> Column:
-        rows = kernels.embed_prompt_column(params)(tokens)
+        # Past the place table a sequence has no last vector: nothing of it is computed.
+        live = F.when(F.size(tokens) <= len(params.of("wpe")), tokens)
+        rows = kernels.embed_prompt_column(params)(live)
         for block in range(model.n_block):
             rows = block_column(model, block, rows)
         return top(norm(kernels.tail(rows)))
