@@ -480,7 +480,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_next_token_logits(spark, "/root/testdata/sf0.001")
 
 
+def _llm():
+    """The modules of the training-data operators, or none if they aren't there."""
+    try:
+        import corpus_pipeline
+        from weftmill.llm import queries as operators
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "weftmill.llm", "weftmill.llm.queries"):
+            raise
+        return None
+    return operators, corpus_pipeline
+
+
 def queries() -> dict[str, Query]:
+    found = own_queries()
+    if modules := _llm():
+        operators, pipeline = modules
+        found |= operators.queries() | {"pipeline": pipeline.run}
+    return found
+
+
+def own_queries() -> dict[str, Query]:
     return {
         "explode_dictionary": q_explode_dictionary,
         "transpose_row_vectors": q_transpose_row_vectors,
@@ -557,4 +577,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    found = oracle.statements()
+    if modules := _llm():
+        operators, pipeline = modules
+        found |= operators.oracle_sql()
+        if pipeline.ORACLE_SQL:
+            found["pipeline"] = pipeline.ORACLE_SQL
+    return found

@@ -14,10 +14,10 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(entry_module.own_queries()) == set(entry_module.oracle.statements())
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(entry_module.own_queries()))
 def test_query_equals_sql(spark, con, sf_dir, name):
     assert difference(spark, con, sf_dir, name) == ""
 
