@@ -10,10 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftmill.lineage import cut
-from weftmill.llm import dedup, mixing, packing, queries, simhash
+from weftmill.llm import dedup, langid, mixing, packing, queries, simhash
 from weftmill.llm.texts import prepare, table
 
 
+# A document whose language is less clear than this is rejected, as is one without a letter.
+MIN_LANGUAGE_SCORE = 0.3
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told."""
+    prepare(spark)
+    return langid.keep_identified(docs, MIN_LANGUAGE_SCORE)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest id stays."""
     prepare(spark)
@@ -41,6 +51,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", language_id),
     ("exact_dedup", exact_dedup),
     ("near_dedup", near_dedup),
     ("mix_sources", mix_sources),

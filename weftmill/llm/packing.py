@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftmill.lineage import cut
-from weftmill.llm.texts import map_slices
+from weftmill.llm.texts import map_slices, with_fields
 
 # Pieces of one (length, bucket) group on average, if all had the same length.
 BUCKET_ROWS = 50_000
@@ -202,5 +202,4 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
             kept = [batch.column(c) for c in names]
             yield pa.record_batch([*kept, pa.array(bin_id), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInArrow(run, f"{fields}, sequence_id long, offset long")
+    return ranked.mapInArrow(run, with_fields(pieces.schema[:], "sequence_id long, offset long"))

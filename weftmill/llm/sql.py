@@ -54,5 +54,45 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+RULES = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w
+  FROM documents
+), win AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(list_slice(w, i, i + 7), ' ')) AS n
+  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM doc)
+), rep AS (
+  SELECT r, sum(least(8, coalesce(i - before, 8))) AS n_repeat_words
+  FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM win WHERE n > 1) GROUP BY r
+), counts AS (
+  SELECT d.r, doc_id, source, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^ \t\n\x0B\f\r]')) AS lines FROM doc) d
+  LEFT JOIN rep ON d.r = rep.r
+), flags AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+         100 * n_symbols > 50 * n_words OR 100 * n_dup_lines > 10 * n_words
+         OR word_chars < 2 * n_words OR word_chars > 20 * n_words AS soft
+  FROM counts
+), hosts AS (
+  SELECT source, count(*) AS n, sum(CASE WHEN base_failed OR soft THEN 1 ELSE 0 END) AS f FROM flags GROUP BY source
+), prior AS (
+  SELECT sum(f) / sum(n) AS mean, var_pop(f / n) - (sum(f) / sum(n)) * (1 - sum(f) / sum(n)) * avg(1.0::DOUBLE / n) AS between_
+  FROM hosts
+), weights AS (
+  SELECT mean, CASE WHEN between_ > 0 THEN least(greatest(mean * (1 - mean) / between_ - 1, 1.0), 1e6) ELSE 1e6 END AS weight FROM prior
+), rates AS (
+  SELECT source, (f + weight * mean) / (n + weight) AS rate FROM hosts, weights
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rate <= 0.8 AS kept
+FROM flags JOIN rates ON flags.source IS NOT DISTINCT FROM rates.source
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op3_curriculum_mix": MIX, "op9_cuckoo_dedup": DEDUP}
+    return {"op3_curriculum_mix": MIX, "op7_host_rules": RULES, "op9_cuckoo_dedup": DEDUP}

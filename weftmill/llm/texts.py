@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weftmill.session import configure
 from weftmill.sources.tables import read_table
@@ -26,6 +27,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
+_PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE_CODES = np.random.Generator(np.random.PCG64(20261)).integers(1, 2**64, 256, dtype=np.uint64)
@@ -51,6 +53,11 @@ def id_remainder(id_col: str, n: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(n)), F.lit(-1))
 
 
+def with_fields(columns: list[T.StructField], more: str) -> T.StructType:
+    """Schema of existing columns, whatever their names, and further ones as DDL."""
+    return T.StructType([*columns, *T.StructType.fromDDL(more).fields])
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Consecutive rows with at most `max_bytes` of text together (one row at least)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
@@ -64,7 +71,7 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
 
 
 def map_slices(
-    df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
+    df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType
 ) -> DataFrame:
     """`df.mapInArrow` over slices of bounded text size."""
 
@@ -99,10 +106,11 @@ class Words:
     """Words of the texts of one batch.
 
     `first[d] : first[d + 1]` are the words of text d; `starts` and `ends` are byte places in `data`.
-    Null texts have no words. `lower` folds A-Z only.
+    Null texts have no words. `lower` folds A-Z only; with `punctuation` every ASCII byte that is no
+    letter or digit splits words as well.
     """
 
-    def __init__(self, texts: pa.Array, lower: bool = True):
+    def __init__(self, texts: pa.Array, lower: bool = True, punctuation: bool = False):
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         blob = pc.fill_null(texts.cast(pa.large_binary()), b"")
@@ -112,7 +120,7 @@ class Words:
         offsets = offsets - offsets[0]
         self.data = _LOWER[raw] if lower else raw
         self.offsets = offsets
-        word = ~_WHITE[raw]
+        word = ~(_PUNCTUATION if punctuation else _WHITE)[raw]
         begins = word.copy()
         begins[1:] &= ~word[:-1]
         inner = offsets[offsets < len(raw)]
