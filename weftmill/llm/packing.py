@@ -12,54 +12,99 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftmill.lineage import cut
-from weftmill.llm.texts import map_slices, with_fields
+from weftmill.llm.texts import Words, map_slices, with_fields
 
 # Pieces of one (length, bucket) group on average, if all had the same length.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 5_000
 # Words whose ids a worker remembers before it starts anew.
-MEMO_WORDS = 400_000
-# Longer runs without white space are tokenized each time instead of being remembered.
-MEMO_BYTES = 64
+MEMO_WORDS = 500_000
 
 PIECES_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
-_tokenizers: dict[str, object] = {}
-_memo: dict[str, dict[bytes, bytes]] = {}
+# Punctuation that is a pre-token of its own after an ASCII letter.
+TAILS = b".,;:!?|#$%&*"
 
 
-def _tokenizer(path: str):
-    if path not in _tokenizers:
-        from tokenizers import Tokenizer
-
-        _tokenizers[path] = Tokenizer.from_file(path)
-        _memo[path] = {}
-    return _tokenizers[path], _memo[path]
+class Encoder:
+    """Token ids of whole texts from those of their words, which are remembered per worker.
 
+    The tokenizer folds case, drops white space and never joins across it, nor across a letter and
+    punctuation after it. So a text's ids are the ids of its words in lower case, one after the other,
+    and only words that are new are tokenized: pure letter words many at a time, since each of them ends
+    with its only token that closes a word.
+    """
 
-def token_ids(texts: list[str], path: str) -> Iterator[bytes]:
-    """Token ids of each text as little-endian unsigned 32-bit bytes.
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-    The tokenizer drops white space and never joins across it, so a text's ids are the ids of its
-    runs without ASCII white space, one after the other; runs that were met before are looked up.
-    """
-    tokenizer, memo = _tokenizer(path)
-    if len(memo) > MEMO_WORDS:
-        memo.clear()
-    words = [text.encode().split() for text in texts]  # of bytes: splits at ASCII white space alone
-    new = list({w for text in words for w in text if w not in memo})
-    long = {}
-    for at in range(0, len(new), 4096):
-        some = new[at : at + 4096]
-        strings = [w.decode() for w in some]
-        for word, found in zip(some, tokenizer.encode_batch(strings, add_special_tokens=False)):
-            ids = np.array(found.ids, "<u4").tobytes()
-            (memo if len(word) <= MEMO_BYTES else long)[word] = ids
-    for text in words:
-        yield b"".join([memo[w] if w in memo else long[w] for w in text])
+        self.tokenizer = Tokenizer.from_file(path)
+        self.closing = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.closing[number] = token.endswith("</w>")
+        self.known: dict[int, bytes] = {}
+
+    def ids(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit bytes."""
+        words = Words(texts, tails=TAILS)
+        different, at, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        hashes = different.tolist()
+        if len(self.known) + len(hashes) > MEMO_WORDS:
+            self.known.clear()
+        known = self.known
+        new = [i for i, h in enumerate(hashes) if h not in known]
+        data, at = words.data.tobytes(), at[new]
+        begins, ends = words.starts[at].tolist(), words.ends[at].tolist()
+        self._learn([hashes[i] for i in new], [data[a:b] for a, b in zip(begins, ends)])
+        parts = [known[h] for h in hashes]
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        pool = np.frombuffer(b"".join(parts), "<u4")
+        # The tokens of all words in order: where each word's ids lie in the pool, and where they go.
+        n = size[which]
+        stops = np.cumsum(n)
+        source = np.repeat((np.cumsum(size) - size)[which] - (stops - n), n) + np.arange(n.sum())
+        blob = pool[source].tobytes()
+        edges = 4 * np.concatenate([[0], stops])[words.first]
+        found = [blob[a:b] for a, b in zip(edges.tolist(), edges[1:].tolist())]
+        # Texts that may hold a special token, which isn't bound to words and cares for case.
+        for i in np.flatnonzero(pc.fill_null(pc.match_substring(texts, "<|"), False)):
+            whole = self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False)
+            found[i] = np.array(whole.ids, "<u4").tobytes()
+        return found
+
+    def _learn(self, hashes: list[int], words: list[bytes]) -> None:
+        strings = [w.decode() for w in words]
+        letters = [i for i, w in enumerate(strings) if w.isalpha()]
+        other = [i for i, w in enumerate(strings) if not w.isalpha()]
+        for start in range(0, len(letters), 2000):
+            some = letters[start : start + 2000]
+            joined = self.tokenizer.encode("\n".join([strings[i] for i in some]), add_special_tokens=False)
+            ids = np.array(joined.ids, "<u4")
+            stops = np.flatnonzero(self.closing[ids]) + 1
+            if len(stops) != len(some):  # a letter whose lower case isn't letters alone
+                other += some
+                continue
+            blob, begin = ids.tobytes(), 0
+            for i, stop in zip(some, (4 * stops).tolist()):
+                self.known[hashes[i]] = blob[begin:stop]
+                begin = stop
+        for start in range(0, len(other), 2000):
+            some = other[start : start + 2000]
+            found = self.tokenizer.encode_batch([strings[i] for i in some], add_special_tokens=False)
+            self.known.update((hashes[i], np.array(e.ids, "<u4").tobytes()) for i, e in zip(some, found))
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def cut_pieces(
@@ -80,8 +125,8 @@ def cut_pieces(
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows: list[list] = [[], [], [], [], [], []]
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), token_ids(texts, tokenizer_path)):
+        all_ids = encoder(tokenizer_path).ids(batch.column("text"))
+        for doc_id, ids in zip(batch.column("doc_id").to_pylist(), all_ids):
             ids += end
             for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                 own = ids[at : at + 4 * capacity]

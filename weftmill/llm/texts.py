@@ -28,6 +28,7 @@ WORD = "[^\\x20\\x09-\\x0D]+"
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 _PUNCTUATION = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
+_LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE_CODES = np.random.Generator(np.random.PCG64(20261)).integers(1, 2**64, 256, dtype=np.uint64)
@@ -107,10 +108,11 @@ class Words:
 
     `first[d] : first[d + 1]` are the words of text d; `starts` and `ends` are byte places in `data`.
     Null texts have no words. `lower` folds A-Z only; with `punctuation` every ASCII byte that is no
-    letter or digit splits words as well.
+    letter or digit splits words as well, with `tails` a word also begins at one of these bytes if it
+    follows an ASCII letter.
     """
 
-    def __init__(self, texts: pa.Array, lower: bool = True, punctuation: bool = False):
+    def __init__(self, texts: pa.Array, lower: bool = True, punctuation: bool = False, tails: bytes = b""):
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         blob = pc.fill_null(texts.cast(pa.large_binary()), b"")
@@ -125,6 +127,9 @@ class Words:
         begins[1:] &= ~word[:-1]
         inner = offsets[offsets < len(raw)]
         begins[inner] = word[inner]
+        if tails:
+            tail = np.isin(raw[1:], np.frombuffer(tails, np.uint8))
+            begins[1:] |= tail & _LETTER[raw[:-1]]
         stops = word.copy()
         stops[:-1] &= ~word[1:] | begins[1:]
         self.starts = np.flatnonzero(begins)
