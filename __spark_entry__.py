@@ -66,7 +66,9 @@ def _text_model(spark: SparkSession, sf_dir: str) -> Model:
     def build() -> Model:
         n = _vocab(spark, sf_dir).count()
         wte = fixtures.formula_rows(spark, fixtures.TABLE_CODE_WTE, "token", n, WIDTH, 1.0)
-        return fixtures.mini_model(wte, n_block=0, n_place=oracle.TEXT_PLACES)
+        prompts = _table(spark, sf_dir, "conversations")
+        longest = prompts.agg(F.max(F.octet_length("text")).alias("n")).first()["n"] or 0
+        return fixtures.mini_model(wte, n_block=0, n_place=longest + oracle.PROMPT_STEPS)
 
     return _once(spark, sf_dir, "text_model", build)
 
@@ -155,6 +157,18 @@ def q_bpe_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_merge(parts, _vocab(spark, sf_dir)).select("part", *_big("position"), "cluster")
 
 
+def q_bpe_merge_long_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its blanks as one part: thousands of symbols each."""
+    whole = F.regexp_replace("text", f"[{text.BLANK}]", "").alias("part")
+    parts = _table(spark, sf_dir, "documents").select(whole).filter("part <> ''").distinct()
+    merged = bpe.merge_parts(parts, _vocab(spark, sf_dir))
+    return merged.select(
+        F.md5(F.col("part").cast("binary")).alias("part_md5"),
+        F.size("clusters").cast("long").alias("n_clusters"),
+        F.md5(F.array_join("clusters", " ").cast("binary")).alias("clusters_md5"),
+    )
+
+
 def q_bpe_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = text.distinct_parts(_table(spark, sf_dir, "documents"), "text")
     return bpe.bpe_trace(parts, _vocab(spark, sf_dir)).select(
@@ -216,6 +230,12 @@ def q_detokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.detokenize(rows, vocab, ["doc_id"]).select("doc_id", "response")
 
 
+def q_decode_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = _vocab(spark, sf_dir)
+    rows = tokens.text_sequences(_table(spark, sf_dir, "documents"), "text", ["doc_id"], vocab)
+    return tokens.decode_sequences(rows, vocab, "input", ["doc_id"]).select("doc_id", "response")
+
+
 def q_roundtrip_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return tokens.roundtrip_check(docs, "text", ["doc_id"], ["lang"], _vocab(spark, sf_dir))
@@ -432,6 +452,12 @@ def q_weighted_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*_big("seq_id", "token"))
 
 
+def q_weighted_sample_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bare range predicate over shared intervals: ties give several tokens, gaps none."""
+    out = ranking.weighted_sample(_intervals(spark, sf_dir, "reference"), arithmetic_draw(0), "reference")
+    return out.select(*_big("seq_id", "token"))
+
+
 def _sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = F.sort_array(F.collect_list(F.struct("place", "token")))
     return _tokens(spark, sf_dir).groupBy("seq_id").agg(rows["token"].alias("input"))
@@ -509,6 +535,7 @@ def own_queries() -> dict[str, Query]:
         "pretokenize": q_pretokenize,
         "byte_symbols": q_byte_symbols,
         "bpe_merge": q_bpe_merge,
+        "bpe_merge_long_parts": q_bpe_merge_long_parts,
         "bpe_trace": q_bpe_trace,
         "tokenize": q_tokenize,
         "token_sequences": q_token_sequences,
@@ -517,6 +544,7 @@ def own_queries() -> dict[str, Query]:
         "token_stats_by_role": q_token_stats_by_role,
         "top_tokens_by_source": q_top_tokens_by_source,
         "detokenize": q_detokenize,
+        "decode_sequences": q_decode_sequences,
         "roundtrip_check": q_roundtrip_check,
         "vec_add": _map_query(lambda: V.vec_add("v", F.reverse("v"))),
         "vec_mul": _map_query(lambda: V.vec_mul("v", F.reverse("v"))),
@@ -570,6 +598,7 @@ def own_queries() -> dict[str, Query]:
         "cumulative_intervals": _interval_query("rows"),
         "cumulative_intervals_range": _interval_query("reference"),
         "weighted_sample": q_weighted_sample,
+        "weighted_sample_reference": q_weighted_sample_reference,
         "generate": q_generate,
         "generate_sampled": q_generate_sampled,
         "complete_prompts": q_complete_prompts,

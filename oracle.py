@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from weftmill.fixtures import MODEL_TABLES, SEED_PARTS, TABLE_CODE_WPE, TABLE_CODE_WTE, value_sql
 
-PATTERN = r"''s|''t|''re|''ve|''m|''ll|''d| ?[\p{L}\p{N}_]+| ?[^\s\p{L}\p{N}_]+|\s+"
-TEXT_PLACES = 4096
+BLANK = r"\t\n\x0B\f\r \x{85}\x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}"
+PATTERN = r"''s|''t|''re|''ve|''m|''ll|''d| ?[\p{L}\p{N}_]+| ?[^" + BLANK + r"\p{L}\p{N}_]+|[" + BLANK + "]+"
+# Places of the model over text: one per byte of the longest prompt, and those that are generated.
+TEXT_PLACES = "(SELECT max(strlen(text)) + 10 FROM conversations)"
 GREEDY_STEPS = 3
 SAMPLED_STEPS = 3
 SAMPLED_EOS = 171
@@ -344,11 +346,14 @@ def interval_cte(name: str, source: str, order: str = "softmax, token ROWS UNBOU
     )
 
 
+def draw_number(step: int) -> str:
+    return f"((seq_id * 1103515245 + {step} * 12345 + 20231231) % 2147483648) / 2147483648.0::DOUBLE"
+
+
 def draw_cte(name: str, source: str, step: int) -> tuple[str, str]:
-    u = f"((seq_id * 1103515245 + {step} * 12345 + 20231231) % 2147483648) / 2147483648.0::DOUBLE"
     return (
         name,
-        f"""SELECT seq_id, token FROM (SELECT *, {u} AS u, max(high) OVER (PARTITION BY seq_id) AS top FROM {source})
+        f"""SELECT seq_id, token FROM (SELECT *, {draw_number(step)} AS u, max(high) OVER (PARTITION BY seq_id) AS top FROM {source})
             QUALIFY row_number() OVER (PARTITION BY seq_id ORDER BY
               CASE WHEN high > u THEN 0 ELSE 1 END, CASE WHEN high > u THEN high ELSE -high END,
               CASE WHEN high > u THEN token ELSE -token END) = 1""",
@@ -548,6 +553,7 @@ def statements() -> dict[str, str]:
             "documents", "doc_id, source",
         ),
         "detokenize": text_query(DECODED),
+        "decode_sequences": text_query(DECODED),
         "roundtrip_check": text_query(
             f"""SELECT lang, count(*) AS n_texts, count(*) FILTER (coalesce(r.response, '') <> d.text) AS n_different
                 FROM documents d LEFT JOIN ({DECODED}) r ON r.doc_id = d.doc_id GROUP BY lang"""
@@ -613,6 +619,10 @@ def statements() -> dict[str, str]:
             [*INTERVALS[:-1], interval_cte("spans", "hot", "softmax")], SPANS
         ),
         "weighted_sample": with_([*INTERVALS, draw_cte("drawn", "spans", 0)], "SELECT seq_id, token FROM drawn"),
+        "weighted_sample_reference": with_(
+            [*INTERVALS[:-1], interval_cte("spans", "hot", "softmax")],
+            f"SELECT seq_id, token FROM (SELECT *, {draw_number(0)} AS u FROM spans) WHERE u >= low AND u < high",
+        ),
         "generate": generated_query(GREEDY_STEPS, 1, -1),
         "generate_sampled": generated_query(SAMPLED_STEPS, 3, SAMPLED_EOS),
         "complete_prompts": prompts_query(),

@@ -68,3 +68,19 @@ def test_lookup_of_one_hot_key(spark, bound):
     expected = facts.filter("key < 5").count()
     assert out.count() == expected and out.filter("v <> key * 10").isEmpty()
     assert out.select("id").distinct().count() == expected
+
+
+def test_malformed_dictionary_fails_and_is_counted(spark):
+    df = spark.createDataFrame([(1, '{"a": 1}'), (2, "{bad"), (3, None)], "id int, j string")
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        ingest.explode_dictionary(df, "j", ["id"]).collect()
+    assert [r["id"] for r in ingest.malformed_dictionaries(df, "j", ["id"]).collect()] == [2]
+
+
+def test_infinity_and_null_keys(spark):
+    rows = [("a", None, [1.0, float("inf")]), (None, "a", [1.0, 2.0]), (None, "a", [1.0, 2.0]), ("x|y", "z", None), ("x|y", "z", None)]
+    df = spark.createDataFrame(rows, "k string, l string, v array<double>")
+    found = ingest.validate_table(df, ingest.TableSpec(("k", "l"), ("v",), {"v": 2}))
+    assert sorted(map(tuple, found.collect())) == [
+        ("duplicate", "x\\|y|z", 2), ("infinite:v", "a|\\N", 1), ("null:v", "x\\|y|z", 2),
+    ]

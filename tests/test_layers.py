@@ -185,3 +185,37 @@ def test_model_beyond_broadcast(model, monkeypatch):
     fresh = fixtures.mini_model(model.table("wte"))
     with pytest.raises(ValueError, match="relational"):
         fresh.shared()
+
+
+def test_sum_of_another_width_fails(spark):
+    from weftmill.operators.vectors import vec_sum
+
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (1, None), (1, [1.0, 2.0])], "g int, v array<double>")
+    assert vec_sum(df, ["g"], "v", 2).first()["values"] == [2.0, 4.0]
+    with pytest.raises(Exception, match="expected 1 elements, found 2"):
+        vec_sum(df, ["g"], "v", 1).collect()
+
+
+def test_matrix_functions_keep_nulls_and_refuse_mixed_widths(spark):
+    from weftmill.functions import kernels
+
+    double = kernels._column(kernels.VECTOR, lambda m, _o: 2 * m)
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, None), (3, [3.0, 4.0])], "id int, v array<double>").coalesce(1)
+    found = {r["id"]: r["r"] for r in df.select("id", double("v").alias("r")).collect()}
+    assert found == {1: [2.0, 4.0], 2: None, 3: [6.0, 8.0]}
+    mixed = spark.createDataFrame([(1, [1.0, 2.0, 3.0]), (2, [1.0])], "id int, v array<double>").coalesce(1)
+    with pytest.raises(Exception, match="differ in width"):
+        mixed.select(double("v").alias("r")).collect()
+
+
+def test_matrix_functions_work_in_slices(monkeypatch):
+    from weftmill.functions import kernels
+
+    rng = np.random.default_rng(3)
+    offsets = np.array([0, 3, 3, 10, 11, 30], np.int32)
+    qkv = rng.normal(size=(30, 12))
+    whole = kernels.attend(qkv, offsets, 2)
+    bounds = kernels._cut_points(30, offsets, 8)
+    assert bounds == [0, 3, 11, 30]
+    parts = [kernels.attend(qkv[a:b], offsets[(offsets >= a) & (offsets <= b)] - a, 2) for a, b in zip(bounds, bounds[1:])]
+    assert np.allclose(np.concatenate(parts), whole)

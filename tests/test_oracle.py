@@ -13,11 +13,15 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
+# Symbol by symbol merging of whole documents is too slow in SQL; see `test_text.py`.
+WITHOUT_SQL = {"bpe_merge_long_parts"}
+
+
 def test_every_query_has_sql():
-    assert set(entry_module.own_queries()) == set(entry_module.oracle.statements())
+    assert set(entry_module.own_queries()) - WITHOUT_SQL == set(entry_module.oracle.statements())
 
 
-@pytest.mark.parametrize("name", list(entry_module.own_queries()))
+@pytest.mark.parametrize("name", sorted(set(entry_module.own_queries()) - WITHOUT_SQL))
 def test_query_equals_sql(spark, con, sf_dir, name):
     assert difference(spark, con, sf_dir, name) == ""
 

@@ -96,3 +96,23 @@ def test_uniform_does_not_depend_on_partitioning(spark):
     assert a == b and len(set(a.values())) == 2000
     values = np.array(list(a.values()))
     assert values.min() >= 0 and values.max() < 1 and abs(values.mean() - 0.5) < 0.03
+
+
+def test_best_with_ties_and_nan():
+    import numpy as np
+
+    from weftmill.functions.kernels import best
+
+    scores = np.array([[1.0, 3.0, 3.0, 3.0], [np.nan, 0.0, 2.0, 1.0], [np.nan] * 4])
+    tokens, values = best(scores, np.array([10, 20, 30, 40]), 2)
+    assert tokens.tolist()[:2] == [[20, 30], [30, 40]] and values.tolist()[:2] == [[3.0, 3.0], [2.0, 1.0]]
+    assert np.isnan(values[2]).all()
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 30, 0])
+def test_no_items_give_no_candidates(spark, max_bytes):
+    from weftmill.operators.ranking import top_n_by_inner_product
+
+    queries = spark.createDataFrame([(1, [1.0, 2.0])], "seq_id int, values array<double>")
+    items = spark.createDataFrame([], "token int, values array<double>")
+    assert top_n_by_inner_product(queries, items, 3, max_item_bytes=max_bytes).collect() == []

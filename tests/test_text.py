@@ -93,6 +93,72 @@ def test_trace_equals_naive_merge(random_case, monkeypatch, long_part):
     assert found == expected
 
 
+@pytest.mark.parametrize("n", [1, 2, 60, 61, 62, 63, 64, 65, 1000])
+def test_merge_and_trace_at_every_length(spark, n):
+    """Lengths around the switch from one BIGINT of boundaries to the heap."""
+    rows = [(300, "ab"), (301, "ba"), (302, "abab"), (299, "bb")]
+    part = "".join(random.Random(n).choice("ab") for _ in range(n))
+    parts, vocab = spark.createDataFrame([(part,)], "part string"), byte_vocab(spark, rows)
+    expected = naive_steps(part, {c: t for t, c in rows})
+    assert merged(bpe.bpe_merge(parts, vocab)) == {part: expected[-1][1]}
+    found = bpe.bpe_trace(parts, vocab).orderBy("step").collect()
+    assert [(r["token"], r["symbols"]) for r in found] == expected
+
+
+def test_merge_of_a_huge_part(spark):
+    """Far from quadratic: a quadratic way takes hours here."""
+    rows = [(300 + i, "ab" * 2**i) for i in range(7)] + [(299, "ba")]
+    part = "ab" * 50_000
+    found = bpe.merge_parts(spark.createDataFrame([(part,)], "part string"), byte_vocab(spark, rows)).first()
+    assert "".join(found["clusters"]) == part
+    assert found["clusters"] == ["a", *["ba"] * 49_999, "b"]
+
+
+def test_merge_long_parts_query_equals_naive_merge(spark, sf_dir):
+    import hashlib
+    import re
+
+    import __spark_entry__ as entry_module
+
+    vocab = entry_module._vocab(spark, sf_dir)
+    known = {r["cluster"]: r["token"] for r in vocab.collect()}
+    found = {r["part_md5"]: r for r in entry_module.q_bpe_merge_long_parts(spark, sf_dir).collect()}
+    texts = [r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    parts = {re.sub(r"\s", "", t) for t in texts} - {""}
+    assert len(found) == len(parts)
+    for part in sorted(parts, key=len)[:40]:
+        clusters = naive_steps(part, known)[-1][1]
+        row = found[hashlib.md5(part.encode()).hexdigest()]
+        assert row["n_clusters"] == len(clusters)
+        assert row["clusters_md5"] == hashlib.md5(" ".join(clusters).encode()).hexdigest()
+
+
+@pytest.mark.parametrize(
+    "value, parts",
+    [
+        ("語。\u3000次", ["語", "。", "\u3000", "次"]),
+        ("a!\u00a0b", ["a", "!\u00a0", "b"]),
+        ("a\u2028\u0085b", ["a", "\u2028\u0085", "b"]),
+    ],
+)
+def test_blanks_beyond_ascii(spark, value, parts):
+    rows = text.pretokenize(spark.createDataFrame([(1, value)], "id int, t string"), "t", ["id"])
+    assert [r["part"] for r in rows.orderBy("part_position").collect()] == parts
+
+
+def test_decode_sequences_equals_detokenize(spark, monkeypatch):
+    vocab = byte_vocab(spark, [(300, "ab")])
+    rows = [(1, [300, 97, 0, 300]), (2, []), (3, [999]), (4, None), (5, [195]), (6, [195, 169])]
+    df = spark.createDataFrame(rows, "id int, input array<int>")
+    decoded = {r["id"]: (bytes(r["bytes"]), r["response"]) for r in tokens.decode_sequences(df, vocab, "input", ["id"]).collect()}
+    assert decoded == {
+        1: (b"aba\0ab", "aba\0ab"), 2: (b"", ""), 3: (b"", ""), 5: (b"\xc3", None), 6: ("é".encode(), "é"),
+    }
+    each = df.select("id", F.posexplode("input").alias("ordinality", "token"))
+    plain = {r["id"]: (bytes(r["bytes"]), r["response"]) for r in tokens.detokenize(each, vocab, ["id"]).collect()}
+    assert plain == {k: v for k, v in decoded.items() if k not in (2, 3)}
+
+
 def test_trace_of_word(spark):
     vocab = byte_vocab(spark, [(300, "ss"), (301, "is"), (302, "iss"), (303, "Miss")])
     parts = spark.createDataFrame([("Mississippilessly",)], "part string")

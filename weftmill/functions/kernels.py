@@ -23,21 +23,32 @@ PLACES = T.ArrayType(T.IntegerType())
 _SCORED = [T.StructField("token", T.LongType()), T.StructField("value", T.DoubleType())]
 CANDIDATES = T.ArrayType(T.StructType(_SCORED))
 TILE_CANDIDATES = T.ArrayType(T.StructType([T.StructField("row", T.IntegerType()), *_SCORED]))
-# Most cells of a score matrix held at a time.
+# Most cells of a score matrix held at a time, and input cells that a matrix function works on at a
+# time (what it makes of them is a few times as much).
 SCORE_CELLS = 1 << 22
+SLICE_CELLS = 1 << 20
 
 Matrix = np.ndarray
 
 
 def _open(col: pa.Array) -> tuple[Matrix, np.ndarray | None]:
-    """All vectors of a batch as matrix rows, and for sequences the row offsets."""
+    """All vectors of a batch as matrix rows, and for sequences the row offsets.
+
+    The column has no null (see `_column`); a null vector or element inside a sequence or vectors of
+    different widths fail the job, since rows would otherwise run into one another.
+    """
     offsets = None
     if pa.types.is_list(col.type.value_type):
-        lengths = np.asarray(col.value_lengths().fill_null(0))
+        lengths = np.asarray(col.value_lengths())
         offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
         col = col.flatten()
-    n = len(col)
-    flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    widths = np.unique(np.asarray(col.value_lengths().fill_null(-1)))
+    if len(widths) > 1 or -1 in widths:
+        raise ValueError(f"vectors of one matrix differ in width (-1 is null): {widths.tolist()}")
+    n, values = len(col), col.flatten()
+    if values.null_count:
+        raise ValueError("a vector has a null element")
+    flat = values.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(n, -1) if n and flat.size else np.zeros((n, 0)), offsets
 
 
@@ -47,6 +58,27 @@ def _close(m: Matrix, offsets: np.ndarray | None) -> pa.Array:
     return rows if offsets is None else pa.ListArray.from_arrays(pa.array(offsets), rows)
 
 
+def _with_nulls(found: pa.Array, col: pa.Array) -> pa.Array:
+    """Results of the rows of `col` that aren't null, back at their rows; null elsewhere."""
+    if not col.null_count:
+        return found
+    valid = np.asarray(col.is_valid())
+    at = np.cumsum(valid) - 1
+    return found.take(pa.array(at, pa.int64(), mask=~valid))
+
+
+def _cut_points(rows: int, offsets: np.ndarray | None, step: int) -> list[int]:
+    """Row bounds of slices of about `step` rows that don't cut a sequence."""
+    bounds = [0]
+    while bounds[-1] < rows:
+        stop = min(bounds[-1] + step, rows)
+        if offsets is not None and stop < rows:
+            at = int(np.searchsorted(offsets, stop, "right")) - 1
+            stop = int(offsets[at] if offsets[at] > bounds[-1] else offsets[at + 1])
+        bounds.append(stop)
+    return bounds
+
+
 def norm(m: Matrix, gain: Matrix, bias: Matrix, eps: float = NORM_EPSILON) -> Matrix:
     centred = m - m.mean(axis=1, keepdims=True)
     return centred / np.sqrt((centred**2).mean(axis=1, keepdims=True) + eps) * gain + bias
@@ -80,10 +112,21 @@ def attend(qkv: Matrix, offsets: np.ndarray, n_head: int) -> Matrix:
 
 
 def _column(kind: T.DataType, fn: Callable[[Matrix, np.ndarray | None], Matrix]) -> Callable[[Column | str], Column]:
+    """Column function of a matrix function. Null rows stay null. The matrix is worked on in slices of
+    whole sequences, so what a function holds besides its input and output doesn't depend on the
+    number of rows that Spark hands over."""
+
     @F.arrow_udf(kind)
     def run(col: pa.Array) -> pa.Array:
-        m, offsets = _open(col)
-        return _close(fn(m, offsets) if m.size else m, offsets)
+        m, offsets = _open(col.drop_null())
+        if not m.size:
+            return _with_nulls(_close(m, offsets), col)
+        bounds = _cut_points(len(m), offsets, max(1, SLICE_CELLS // m.shape[1]))
+        found = []
+        for lo, hi in zip(bounds, bounds[1:]):
+            inner = None if offsets is None else offsets[(offsets >= lo) & (offsets <= hi)] - lo
+            found.append(fn(m[lo:hi], inner))
+        return _with_nulls(_close(np.concatenate(found), offsets), col)
 
     return run
 
@@ -126,8 +169,8 @@ def feed_forward_column(params, block: int, eps: float, kind: T.DataType) -> Cal
 
 
 def _known(tokens: pa.Array, places: pa.Array | None, params) -> tuple[np.ndarray, ...]:
-    """For all tokens of a batch: row in the token table, place, whether both exist, and the
-    row offsets. Without `places` they count from 0."""
+    """For all tokens of a batch: row in the token table, place, row in the place table, whether both
+    exist, and the row offsets. Without `places` they count from 0."""
     lengths = np.asarray(tokens.value_lengths().fill_null(0))
     ends = np.concatenate([[0], np.cumsum(lengths)]).astype(int)
     flat = tokens.flatten().to_numpy(zero_copy_only=False)
@@ -135,9 +178,17 @@ def _known(tokens: pa.Array, places: pa.Array | None, params) -> tuple[np.ndarra
         at_place = np.arange(len(flat)) - np.repeat(ends[:-1], lengths)
     else:
         at_place = places.flatten().to_numpy(zero_copy_only=False)
-    ids = params.of("wte_id")
-    at = np.searchsorted(ids, flat).clip(max=len(ids) - 1)
-    return at, at_place, (ids[at] == flat) & (at_place < len(params.of("wpe"))), ends
+    token_row, has_token = _rows_of(params.of("wte_id"), flat)
+    place_row, has_place = _rows_of(params.of("wpe_id"), at_place)
+    return token_row, at_place, place_row, has_token & has_place, ends
+
+
+def _rows_of(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row of each wanted id in a table with ascending ids, and whether it is there."""
+    if not len(ids):
+        return np.zeros(len(wanted), int), np.zeros(len(wanted), bool)
+    at = np.searchsorted(ids, wanted).clip(max=len(ids) - 1)
+    return at, ids[at] == wanted
 
 
 def _kept_offsets(keep: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -150,8 +201,8 @@ def embed_column(params) -> Callable:
 
     @F.arrow_udf(SEQUENCE)
     def run(tokens: pa.Array, places: pa.Array) -> pa.Array:
-        at, place, keep, ends = _known(tokens, places, params)
-        rows = params.of("wte")[at[keep]] + params.of("wpe")[place[keep]]
+        at, _place, place_row, keep, ends = _known(tokens, places, params)
+        rows = params.of("wte")[at[keep]] + params.of("wpe")[place_row[keep]]
         return _close(rows, _kept_offsets(keep, ends))
 
     return run
@@ -162,7 +213,7 @@ def kept_places_column(params) -> Callable:
 
     @F.arrow_udf(PLACES)
     def run(tokens: pa.Array, places: pa.Array) -> pa.Array:
-        _at, place, keep, ends = _known(tokens, places, params)
+        _at, place, _row, keep, ends = _known(tokens, places, params)
         kept = pa.array(place[keep].astype(np.int32))
         return pa.ListArray.from_arrays(pa.array(_kept_offsets(keep, ends)), kept)
 
@@ -175,10 +226,10 @@ def embed_prompt_column(params) -> Callable:
 
     @F.arrow_udf(SEQUENCE)
     def run(tokens: pa.Array) -> pa.Array:
-        at, place, keep, ends = _known(tokens, None, params)
+        at, _place, place_row, keep, ends = _known(tokens, None, params)
         has_last = np.array([hi > lo and keep[hi - 1] for lo, hi in zip(ends[:-1], ends[1:])], bool)
         keep &= np.repeat(has_last, np.diff(ends))
-        rows = params.of("wte")[at[keep]] + params.of("wpe")[place[keep]]
+        rows = params.of("wte")[at[keep]] + params.of("wpe")[place_row[keep]]
         return _close(rows, _kept_offsets(keep, ends))
 
     return run
@@ -195,19 +246,19 @@ def tail(seq: pa.Array) -> pa.Array:
 
 def top_column(items: Callable[[], tuple[np.ndarray, Matrix]], n: int) -> Callable:
     """Vector (or one-row sequence) to its `n` items of highest inner product, ties by lower
-    token; an empty sequence gives no candidates."""
+    token; an empty sequence and an empty item table give no candidates, a null stays null."""
 
     @F.arrow_udf(CANDIDATES)
     def run(vectors: pa.Array) -> pa.Array:
         tokens, matrix = items()
-        m, offsets = _open(vectors)
-        rows = np.ones(len(vectors), int) if offsets is None else np.diff(offsets)
+        m, offsets = _open(vectors.drop_null())
+        rows = np.ones(len(m), int) if offsets is None else np.diff(offsets)
         ids, values = best_of(m, matrix, tokens, n)
         found = pa.StructArray.from_arrays(
             [pa.array(ids.ravel()), pa.array(values.ravel())], names=["token", "value"]
         )
         ends = np.concatenate([[0], np.cumsum(rows * min(n, len(tokens)))]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), found)
+        return _with_nulls(pa.ListArray.from_arrays(pa.array(ends), found), vectors)
 
     return run
 
@@ -239,17 +290,22 @@ def best_of(m: Matrix, items: Matrix, tokens: np.ndarray, n: int) -> tuple[Matri
     k = min(n, len(tokens))
     if not m.size or not k:
         return np.zeros((0, k), np.int64), np.zeros((0, k))
+    order = np.argsort(tokens, kind="stable")
+    tokens, items = tokens[order], items[order]
     step = max(1, SCORE_CELLS // len(tokens))
     found = [best(m[lo : lo + step] @ items.T, tokens, k) for lo in range(0, len(m), step)]
     return np.concatenate([t for t, _v in found]), np.concatenate([v for _t, v in found])
 
 
 def best(scores: Matrix, tokens: np.ndarray, k: int) -> tuple[Matrix, Matrix]:
-    """Per row the `k` highest scores by (score desc, token asc)."""
-    lowest = np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
-    out_t, out_v = np.empty((len(scores), k), np.int64), np.empty((len(scores), k))
-    for i, row in enumerate(scores):
-        at = np.flatnonzero(row >= lowest[i])
-        at = at[np.lexsort((tokens[at], -row[at]))][:k]
-        out_t[i], out_v[i] = tokens[at], row[at]
-    return out_t, out_v
+    """Per row the `k` highest scores by (score desc, token asc); `tokens` ascend. A score that is
+    not a number comes after all others."""
+    ranked = np.where(np.isnan(scores), -np.inf, scores)
+    lowest = np.partition(ranked, ranked.shape[1] - k, axis=1)[:, -k, None]
+    above, equal = ranked > lowest, ranked == lowest
+    # Of the scores that equal the k-th, the first ones in token order fill up.
+    room = k - above.sum(axis=1, keepdims=True)
+    picked = above | (equal & (np.cumsum(equal, axis=1) <= room))
+    at = np.nonzero(picked)[1].reshape(len(scores), k)
+    at = np.take_along_axis(at, np.argsort(-np.take_along_axis(ranked, at, axis=1), axis=1, kind="stable"), axis=1)
+    return tokens[at], np.take_along_axis(scores, at, axis=1)

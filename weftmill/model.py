@@ -14,8 +14,10 @@ from weftmill.functions.vectors import NORM_EPSILON
 from weftmill.lineage import fits
 from weftmill.sources.tables import MODEL_SCHEMAS, read_model_table, write_model_table
 
-# A model is broadcast to the workers when it has at most this many bytes per table.
-MAX_TABLE_BYTES = 2 * 1024**3
+# A model is broadcast to the workers when its tables have at most this many bytes together, a single
+# table when it has at most this many.
+MAX_MODEL_BYTES = 2 * 1024**3
+MAX_TABLE_BYTES = 512 * 1024**2
 
 
 class SharedParameters:
@@ -55,23 +57,21 @@ class Model:
         return df if block is None else df.filter(F.col("block") == block)
 
     def shared(self) -> SharedParameters:
-        """All parameters as broadcast arrays; an error when a table is beyond the bound (the
+        """All parameters as broadcast arrays; an error when they are beyond the bound together (the
         relational operators take any size)."""
         if self._shared is None:
-            # One size check and one read for all tables together.
             stacked = reduce(DataFrame.unionByName, (_keyed(n, df) for n, df in self.tables.items()))
             sizes = stacked.groupBy("name").agg(F.sum(F.size("values") * 8).alias("bytes"))
-            for name, size in sizes.collect():
-                if size > MAX_TABLE_BYTES:
-                    raise ValueError(f"{name} is too large to broadcast; use method='relational'")
+            found = {name: size or 0 for name, size in sizes.collect()}
+            if sum(found.values()) > MAX_MODEL_BYTES or max(found.values(), default=0) > MAX_TABLE_BYTES:
+                raise ValueError(f"{found} bytes of parameters are too many to broadcast; use method='relational'")
             arrays: dict[str, dict[int, np.ndarray]] = {}
-            rows = stacked.toArrow().combine_chunks()
-            names = rows["name"].to_numpy()
+            # Table by table, so that no more than one table passes to the driver at a time.
             for name, df in self.tables.items():
-                part = rows.filter(names == name)
+                part = _keyed(name, df).toArrow().combine_chunks()
                 arrays[name], ids = _matrices(part, _row_key(df) is not None)
-                if name == "wte":
-                    arrays["wte_id"] = {0: ids}
+                if name in ("wte", "wpe"):
+                    arrays[f"{name}_id"] = {0: ids}
             self._shared = SharedParameters(stacked.sparkSession, arrays)
         return self._shared
 

@@ -5,16 +5,18 @@ token id; merge every occurrence of that string, left to right and without overl
 no pair is known.
 
 Spark form: a symbol can only ever become a substring of its part, so all vocabulary hits of a
-part are found up front by ONE join of its substrings (no longer than the longest vocabulary
+short part are found up front by ONE join of its substrings (no longer than the longest vocabulary
 entry) with the vocabulary. The merges then run inside the row over that small hit map. There is
 no driver loop, and since the substring explosion, the join and the regrouping all keep the
-`hash(part)` partitioning of the distinct, the job has a single shuffle.
+`hash(part)` partitioning of the distinct, the job has a single shuffle. A long part is never
+exploded: an Arrow function merges it with a heap, looking adjacent pairs up in the broadcast
+vocabulary.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,9 +26,9 @@ from pyspark.sql import types as T
 from weftmill.functions.bytesym import encoder_rows, symbols
 from weftmill.lineage import fits, salted_join
 
-# Up to this many symbols the boundaries between the symbols of a part fit in the bits of one BIGINT,
-# and the merges run as array functions inside the JVM. Longer parts (data URIs, base64, unspaced
-# scripts) go through `merge_steps`, which is n log n. Both ways are exact.
+# Up to this many symbols the boundaries of a part (one more than symbols) fit in the bits of one
+# BIGINT, and the merges run as array functions inside the JVM. Longer parts (data URIs, base64,
+# unspaced scripts) go through `Merge`, which is n log n. Both ways are exact.
 LONG_PART = 62
 
 _BOUNDS = T.ArrayType(T.LongType())
@@ -38,23 +40,32 @@ _STEPS = T.ArrayType(
 )
 
 
+def _words(vocab: DataFrame) -> tuple[DataFrame, bool]:
+    """Vocabulary entries of two or more symbols, and whether they may be broadcast."""
+    words = vocab.filter(F.length("cluster") > 1).select("token", "cluster")
+    return words, fits(words, F.octet_length("cluster"))
+
+
 def _hits(parts: DataFrame, vocab: DataFrame, carry: list[str]) -> DataFrame:
     """`(part, carry, s, hits)`: symbol string, and every vocabulary substring of two or more
-    symbols as `(token, start, end)`."""
+    symbols as `(token, start, end)`. With a vocabulary that can be broadcast, long parts have no
+    hits: their pairs are looked up where they are merged."""
     longest = vocab.agg(F.max(F.length("cluster")).alias("n")).first()["n"] or 1
+    words, shared = _words(vocab)
+    is_long = f"length(s) > {LONG_PART}" if shared else "false"
     # One span (0, 0) per part survives the join without a hit, so that no part is lost.
     spans = F.expr(
         f"""concat(array(struct(0 AS start, 0 AS end, '' AS cluster)),
-              if(length(s) < 2 OR {longest} < 2, array(),
+              if(length(s) < 2 OR {longest} < 2 OR {is_long}, array(),
                 flatten(transform(sequence(0, length(s) - 2), i ->
                   transform(sequence(2, greatest(2, least({longest}, length(s) - i))), k ->
                     struct(i AS start, i + k AS end, substring(s, i + 1, k) AS cluster))))))"""
     )
-    keys = ["part", *carry, "s"]
-    base = parts.filter(F.length("part") > 0).select("part", *carry, symbols("part").alias("s"))
-    exploded = base.select(*keys, F.explode(spans).alias("_x")).select(*keys, "_x.*")
-    words = vocab.filter(F.length("cluster") > 1).select("token", "cluster")
-    if fits(words, F.octet_length("cluster")):
+    # The symbol string is made again after the regrouping instead of travelling in every row.
+    keys = ["part", *carry]
+    base = parts.filter(F.length("part") > 0).select(*keys)
+    exploded = base.withColumn("s", symbols("part")).select(*keys, F.explode(spans).alias("_x")).select(*keys, "_x.*")
+    if shared:
         # Most substrings are no token: they go right after the join, before the regrouping.
         joined = exploded.join(F.broadcast(words), "cluster", "left").filter(
             "token IS NOT NULL OR end = 0"
@@ -62,10 +73,11 @@ def _hits(parts: DataFrame, vocab: DataFrame, carry: list[str]) -> DataFrame:
     else:
         found = salted_join(exploded.filter("end > 0"), words, "cluster", ["part", "start"])
         joined = found.select(*keys, "start", "end", "token").unionByName(
-            base.select(*keys), allowMissingColumns=True
+            base, allowMissingColumns=True
         )
     hit = F.when(F.col("token").isNotNull(), F.struct("token", "start", "end"))
-    return joined.groupBy(*keys).agg(F.collect_list(hit).alias("hits"))
+    grouped = joined.groupBy(*keys).agg(F.collect_list(hit).alias("hits"))
+    return grouped.select(*keys, symbols("part").alias("s"), "hits")
 
 
 def _single_token(vocab: DataFrame, symbol: str) -> str:
@@ -98,7 +110,7 @@ def _merge_sql(trace: bool) -> str:
                        and bit_count(a.mask & h.inner) = 1,
                      named_struct('mask', a.mask & ~h.inner, 'best', h.token), a))"""
     bounds = "filter(sequence(0L, cast(length(s) as bigint)), i -> getbit({mask}, cast(i as int)) = 1)"
-    start = "shiftleft(1L, length(s)) * 2 - 1"
+    start = "shiftrightunsigned(-1L, 63 - length(s))"
     no_steps = "cast(array() as array<struct<token:int,mask:bigint>>)"
     first = f"array(named_struct('token', cast(null as int), 'mask', {start}))"
     keep = "array_append(acc.steps, named_struct('token', n.best, 'mask', n.mask))"
@@ -119,74 +131,96 @@ def _merge_sql(trace: bool) -> str:
     return f"transform(array({by_token}), found -> transform(array({loop}), r -> {done})[0])[0]"
 
 
-def merge_steps(n: int, hits: dict[tuple[int, int], int]) -> Iterator[tuple[int, list[int]]]:
-    """Merge one long part of `n` symbols; yields `(token, start positions)` after every step."""
-    after = list(range(1, n + 1))
-    before = list(range(-1, n - 1))
-    alive = [True] * n
-
-    def pair(i: int) -> int | None:
-        return hits.get((i, after[after[i]])) if after[i] < n else None
-
-    queue = [(t, i) for i in range(n) if (t := pair(i)) is not None]
-    heapq.heapify(queue)
-    while queue:
-        # All occurrences of the winner are taken out before any new pair goes in: a merge may
-        # create a pair of lower id, which has to wait for the next step.
-        token, merged, found = queue[0][0], False, []
-        while queue and queue[0][0] == token:
-            found.append(heapq.heappop(queue)[1])
-        for i in found:
-            if not alive[i] or pair(i) != token:
-                continue
-            gone = after[i]
-            alive[gone], after[i], merged = False, after[gone], True
-            if after[i] < n:
-                before[after[i]] = i
-            for j in (before[i], i):
-                if j >= 0 and (t := pair(j)) is not None:
-                    heapq.heappush(queue, (t, j))
-        if merged:
-            yield token, [i for i in range(n) if alive[i]]
-
-
-def _long_rows(hits: pa.Array, length: pa.Array, merge) -> list:
-    """`merge(n, found)` for every long part; the null rows are the short ones."""
-    out = []
-    for n, row in zip(length.to_pylist(), hits.to_pylist()):
-        found = {(h["start"], h["end"]): h["token"] for h in row or ()}
-        out.append(None if n is None else merge(n, found))
-    return out
-
-
-@F.arrow_udf(_MERGED)
-def _long_merged(length: pa.Array, hits: pa.Array) -> pa.Array:
-    def merge(n: int, found: dict) -> dict:
-        starts = list(range(n))
-        for _token, starts in merge_steps(n, found):
-            pass
-        bounds = [*starts, n]
-        return {"bounds": bounds, "multi": [found.get(span) for span in zip(bounds, bounds[1:])]}
-
-    kind = pa.struct([("bounds", pa.list_(pa.int64())), ("multi", pa.list_(pa.int32()))])
-    return pa.array(_long_rows(hits, length, merge), kind)
-
-
-@F.arrow_udf(_STEPS)
-def _long_trace(length: pa.Array, hits: pa.Array) -> pa.Array:
-    def merge(n: int, found: dict) -> list:
-        steps = [{"token": None, "bounds": list(range(n + 1))}]
-        return steps + [{"token": t, "bounds": [*starts, n]} for t, starts in merge_steps(n, found)]
-
-    kind = pa.list_(pa.struct([("token", pa.int32()), ("bounds", pa.list_(pa.int64()))]))
-    return pa.array(_long_rows(hits, length, merge), kind)
-
-
-def _with_long(found: DataFrame, udf) -> DataFrame:
-    """Add `_long`, the result of `udf` for long parts. One branch over all parts, with null
+class Merge:
+    """Merges of one long part of `n` symbols. `token_of(i, j)` is the token of symbols i to j - 1,
+    null if there is none."""
+
+    def __init__(self, n: int, token_of: Callable[[int, int], int | None]):
+        self.n, self.token_of = n, token_of
+        self.after = list(range(1, n + 1))
+        self.before = list(range(-1, n - 1))
+        self.alive = [True] * n
+
+    def bounds(self) -> list[int]:
+        return [*(i for i in range(self.n) if self.alive[i]), self.n]
+
+    def _pair(self, i: int) -> int | None:
+        middle = self.after[i]
+        return self.token_of(i, self.after[middle]) if middle < self.n else None
+
+    def steps(self) -> Iterator[int]:
+        """Run the merges; yields the token of every step after it is done."""
+        n, after, before, alive, pair = self.n, self.after, self.before, self.alive, self._pair
+        queue = [(t, i) for i in range(n) if (t := pair(i)) is not None]
+        heapq.heapify(queue)
+        while queue:
+            # All occurrences of the winner are taken out before any new pair goes in: a merge may
+            # create a pair of lower id, which has to wait for the next step.
+            token, merged, found = queue[0][0], False, []
+            while queue and queue[0][0] == token:
+                found.append(heapq.heappop(queue)[1])
+            for i in found:
+                if not alive[i] or pair(i) != token:
+                    continue
+                gone = after[i]
+                alive[gone], after[i], merged = False, after[gone], True
+                if after[i] < n:
+                    before[after[i]] = i
+                for j in (before[i], i):
+                    if j >= 0 and (t := pair(j)) is not None:
+                        heapq.heappush(queue, (t, j))
+            if merged:
+                yield token
+
+
+def _merged(n: int, token_of: Callable[[int, int], int | None]) -> dict:
+    work = Merge(n, token_of)
+    for _token in work.steps():
+        pass
+    bounds = work.bounds()
+    return {"bounds": bounds, "multi": [token_of(a, b) if b - a > 1 else None for a, b in zip(bounds, bounds[1:])]}
+
+
+def _traced(n: int, token_of: Callable[[int, int], int | None]) -> list[dict]:
+    work = Merge(n, token_of)
+    steps = [{"token": None, "bounds": work.bounds()}]
+    return steps + [{"token": t, "bounds": work.bounds()} for t in work.steps()]
+
+
+_LONG_MERGED = pa.struct([("bounds", pa.list_(pa.int64())), ("multi", pa.list_(pa.int32()))])
+_LONG_TRACED = pa.list_(pa.struct([("token", pa.int32()), ("bounds", pa.list_(pa.int64()))]))
+
+
+def _with_long(found: DataFrame, vocab: DataFrame, kind: T.DataType, arrow: pa.DataType, merge) -> DataFrame:
+    """Add `_long`, the result of `merge` for long parts. One branch over all parts, with null
     arguments for the short ones: a union of two filtered branches would scan the text twice."""
+    words, shared = _words(vocab)
     is_long = F.length("s") > LONG_PART
-    return found.withColumn("_long", udf(F.when(is_long, F.length("s")), F.when(is_long, F.col("hits"))))
+    if shared:
+        entries = {r["cluster"]: r["token"] for r in words.toLocalIterator()}
+        longest = max(map(len, entries), default=0)
+        table = found.sparkSession.sparkContext.broadcast(entries)
+
+        @F.arrow_udf(kind)
+        def by_vocabulary(strings: pa.Array) -> pa.Array:
+            known = table.value
+
+            def one(s: str):
+                return merge(len(s), lambda i, j: known.get(s[i:j]) if j - i <= longest else None)
+
+            return pa.array([None if s is None else one(s) for s in strings.to_pylist()], arrow)
+
+        return found.withColumn("_long", by_vocabulary(F.when(is_long, F.col("s"))))
+
+    @F.arrow_udf(kind)
+    def by_hits(length: pa.Array, hits: pa.Array) -> pa.Array:
+        out = []
+        for n, row in zip(length.to_pylist(), hits.to_pylist()):
+            spans = {(h["start"], h["end"]): h["token"] for h in row or ()}
+            out.append(None if n is None else merge(n, lambda i, j, spans=spans: spans.get((i, j))))
+        return pa.array(out, arrow)
+
+    return found.withColumn("_long", by_hits(F.when(is_long, F.length("s")), F.when(is_long, F.col("hits"))))
 
 
 def _per_cluster(bounds: str, value: str) -> str:
@@ -206,7 +240,7 @@ def merge_parts(parts: DataFrame, vocab: DataFrame, carry: list[str] | None = No
     ids; a symbol without an id stays in `clusters` and is null in `tokens`.
     """
     carry = carry or []
-    found = _with_long(_hits(parts, vocab, carry), _long_merged)
+    found = _with_long(_hits(parts, vocab, carry), vocab, _MERGED, _LONG_MERGED, _merged)
     multi = _per_cluster("bounds", "get(filter(hits, h -> h.start = c.lo and h.end = c.hi), 0).token")
     is_short = f"length(s) <= {LONG_PART}"
     found = found.withColumn("bounds", F.expr(f"if({is_short}, {_merge_sql(False)}, _long.bounds)"))
@@ -235,7 +269,7 @@ def bpe_merge(parts: DataFrame, vocab: DataFrame) -> DataFrame:
 def bpe_trace(parts: DataFrame, vocab: DataFrame) -> DataFrame:
     """`(part, step, token, combined, symbols)`: the state after every merge; step 1 is the
     unmerged part, with null token and string."""
-    found = _with_long(_hits(parts, vocab, []), _long_trace)
+    found = _with_long(_hits(parts, vocab, []), vocab, _STEPS, _LONG_TRACED, _traced)
     merged = F.expr(f"if(length(s) <= {LONG_PART}, {_merge_sql(True)}, _long)")
     steps = found.select("part", "s", F.posexplode(merged).alias("_i", "_step"))
     steps = steps.select(

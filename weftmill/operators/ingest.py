@@ -12,11 +12,18 @@ from weftmill.lineage import ordered
 
 
 def explode_dictionary(df: DataFrame, json_col: str, id_cols: list[str]) -> DataFrame:
-    """Each JSON object as `(ids, value, key)` rows, value before key."""
-    parsed = F.from_json(F.col(json_col), "map<string,string>")
+    """Each JSON object as `(ids, value, key)` rows, value before key. A null gives no row; text that
+    is no JSON object fails the job (see `malformed_dictionaries`)."""
+    parsed = F.from_json(F.col(json_col), "map<string,string>", {"mode": "FAILFAST"})
     return df.select(*id_cols, F.explode(parsed).alias("key", "value")).select(*id_cols, "value", "key")
 
 
+def malformed_dictionaries(df: DataFrame, json_col: str, id_cols: list[str]) -> DataFrame:
+    """The ids of rows whose text is no JSON object, which `explode_dictionary` would fail on."""
+    parsed = F.from_json(F.col(json_col), "map<string,string>", {"mode": "PERMISSIVE"})
+    return df.filter(F.col(json_col).isNotNull() & parsed.isNull()).select(*id_cols)
+
+
 def transpose_row_vectors(
     df: DataFrame, row_key: str, values: str, block_cols: list[str] | None = None
 ) -> DataFrame:
@@ -54,17 +61,20 @@ class TableSpec:
 def validate_table(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Violations `(rule, key, n)`.
 
-    Row rules (null, width, not-a-number) are found in one pass, each bad row once per rule it
-    breaks; duplicate keys come from one partial aggregation on the key. `key` is the key of
-    the bad row as text, or the empty string for a table without key.
+    Row rules (null, width, not-a-number, infinite) are found in one pass, each bad row once per rule
+    it breaks; duplicate keys come from one partial aggregation on the key, and as in a unique index a
+    key with a null never counts as one. `key` is the bad row's key: its columns as text joined by `|`,
+    each with backslash and `|` escaped and null as `\\N`; the empty string for a table without key.
     """
-    key_text = (
-        F.concat_ws("|", *[F.col(c).cast("string") for c in spec.key]) if spec.key else F.lit("")
-    )
+    escaped = lambda c: F.regexp_replace(F.col(c).cast("string"), r"([\\|])", r"\\$1")
+    texts = [F.coalesce(escaped(c), F.lit("\\N")) for c in spec.key]
+    key_text = F.concat_ws("|", *texts) if texts else F.lit("")
     rules = [F.when(F.col(c).isNull(), F.lit(f"null:{c}")) for c in spec.not_null]
     for c, width in spec.widths.items():
         rules.append(F.when(F.size(c) != width, F.lit(f"width:{c}")))
         rules.append(F.when(F.exists(c, lambda x: F.isnan(x)), F.lit(f"nan:{c}")))
+        infinite = F.exists(c, lambda x: F.abs(x) == float("inf"))
+        rules.append(F.when(infinite, F.lit(f"infinite:{c}")))
     found: list[DataFrame] = []
     if rules:
         found.append(
@@ -73,8 +83,10 @@ def validate_table(df: DataFrame, spec: TableSpec) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n"))
         )
     if spec.key:
+        complete = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in spec.key))
         found.append(
-            df.groupBy(*spec.key)
+            df.filter(complete)
+            .groupBy(*spec.key)
             .agg(F.count(F.lit(1)).alias("n"))
             .filter("n > 1")
             .select(F.lit("duplicate").alias("rule"), key_text.alias("key"), "n")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from weftmill.model import collect_matrix
 # Item tables up to this size are broadcast whole; larger ones are scored tile by tile.
 MAX_ITEM_BYTES = 512 * 1024 * 1024
 TILE_ROWS = 8192
+TILE_BYTES = 16 * 1024 * 1024
 
 
 def last_place(df: DataFrame, lengths: DataFrame | None = None) -> DataFrame:
@@ -43,7 +45,8 @@ def top_n_by_inner_product(
     if not fits(items, F.size("values") * 8, max_bytes=max_item_bytes):
         return _top_by_tiles(queries, items, n, tile_rows)
     matrix, tokens = collect_matrix(items.select("token", "values"))
-    shared = queries.sparkSession.sparkContext.broadcast((tokens, matrix[0].astype(float)))
+    vectors = matrix[0].astype(float) if matrix else np.zeros((0, 0))
+    shared = queries.sparkSession.sparkContext.broadcast((tokens, vectors))
     top = kernels.top_column(lambda: shared.value, n)
     vectors = queries.select("seq_id", F.col("values").cast("array<double>").alias("values"))
     return vectors.select("seq_id", F.inline(top("values")))
@@ -58,16 +61,22 @@ def _tiles(df: DataFrame, key: str, n_tiles: int) -> DataFrame:
 
 
 def _top_by_tiles(queries: DataFrame, items: DataFrame, n: int, tile_rows: int) -> DataFrame:
-    count = lambda df: max(1, math.ceil(df.count() / tile_rows))
-    n_items = count(items)
-    right = cut(_tiles(items, "token", n_items))
-    right = right.select("tile", F.col("ids").alias("tokens"), F.col("vectors").alias("items"))
-    left = _tiles(queries, "seq_id", count(queries)).select(
-        F.col("ids").alias("seq_ids"), F.col("vectors").alias("queries"),
-        F.explode(F.sequence(F.lit(0), F.lit(n_items - 1))).alias("tile"),
+    """Tiles have `tile_rows` rows or `TILE_BYTES` on average, whichever is less. Every pair of a query
+    tile and an item tile is a join key of its own, so the tasks grow with the queries."""
+    queries = cut(queries.select("seq_id", "values"))
+    size = lambda df: df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("values")).alias("width")).first()
+    tiles = lambda s: max(1, math.ceil(s["n"] / max(1, min(tile_rows, TILE_BYTES // (8 * max(1, s["width"] or 1))))))
+    n_items, n_queries = tiles(size(items)), tiles(size(queries))
+    each = lambda count, name: F.explode(F.sequence(F.lit(0), F.lit(count - 1))).alias(name)
+    right = _tiles(items, "token", n_items).select(
+        "tile", F.col("ids").alias("tokens"), F.col("vectors").alias("items"), each(n_queries, "query_tile")
+    )
+    left = _tiles(queries, "seq_id", n_queries).select(
+        F.col("tile").alias("query_tile"), F.col("ids").alias("seq_ids"), F.col("vectors").alias("queries"),
+        each(n_items, "tile"),
     )
     top = kernels.tile_top_column(n)
-    found = left.join(right, "tile").select(
+    found = left.join(right, ["tile", "query_tile"]).select(
         "seq_ids", F.inline(top("queries", "tokens", "items"))
     )
     w = Window.partitionBy("seq_id").orderBy(F.desc("value"), F.asc("token"))

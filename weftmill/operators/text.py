@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from weftmill.functions.bytesym import symbols
 
-# Fixed pattern: optional space + word | contractions | optional space + punctuation | blanks.
-# The alternatives start with different characters, so their order is free: words, which are most
-# parts, come first. First-match (Java) and longest-match rules give the same parts, and the
-# possessive quantifiers only save backtracking.
+# The contractions, and the characters of the Unicode space classes that a locale-aware
+# regular expression counts as blank. The three no-break spaces (A0, 2007, 202F) aren't blanks.
+CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
+BLANK = r"\x09-\x0D\x20\x{85}\x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}\x{2028}\x{2029}\x{205F}\x{3000}"
+
+# Contractions | optional space + word | optional space + punctuation | blanks. Contractions and
+# punctuation can both start with an apostrophe, so contractions go first. The possessive quantifiers
+# only save backtracking.
 PART_PATTERN = (
-    r" ?[\p{L}\p{N}_]++|'(?:[stmd]|re|ve|ll)| ?[^\s\p{L}\p{N}_]++|\s++"
+    "|".join(CONTRACTIONS) + r"| ?[\p{L}\p{N}_]++| ?[^" + BLANK + r"\p{L}\p{N}_]++|[" + BLANK + "]++"
 )
 
 

@@ -12,10 +12,14 @@ def sum_elements(values: Column | str, width: int, weight: Column | None = None)
     """Aggregate: element-wise (weighted) sum of vectors as one array.
 
     One plain `sum` per element: a fixed-width aggregation buffer, combined before the shuffle,
-    so a group of any size travels as one vector per task.
+    so a group of any size travels as one vector per task. Null vectors are left out; a vector of
+    another width fails the job.
     """
     v = F.col(values) if isinstance(values, str) else values
-    term = lambda i: F.get(v, F.lit(i)).cast("double")
+    wrong = F.raise_error(F.concat(F.lit(f"expected {width} elements, found "), F.size(v)))
+    # Checked once per vector, with the first element.
+    first = F.when(v.isNull() | (F.size(v) == width), F.get(v, F.lit(0))).otherwise(wrong)
+    term = lambda i: (F.get(v, F.lit(i)) if i else first).cast("double")
     return F.array(*[F.sum(term(i) if weight is None else weight * term(i)) for i in range(width)])
 
 
