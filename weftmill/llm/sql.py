@@ -59,9 +59,13 @@ WITH doc AS (
   SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w
   FROM documents
+), tok AS (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM doc
 ), win AS (
-  SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(list_slice(w, i, i + 7), ' ')) AS n
-  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM doc)
+  SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n
+  FROM (SELECT r, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o || ' ' || lead(word, 3) OVER o || ' ' || lead(word, 4) OVER o || ' ' || lead(word, 5) OVER o || ' ' || lead(word, 6) OVER o || ' ' || lead(word, 7) OVER o AS g
+        FROM tok WINDOW o AS (PARTITION BY r ORDER BY i))
+  WHERE g IS NOT NULL
 ), rep AS (
   SELECT r, sum(least(8, coalesce(i - before, 8))) AS n_repeat_words
   FROM (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM win WHERE n > 1) GROUP BY r
