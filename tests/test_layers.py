@@ -219,3 +219,20 @@ def test_matrix_functions_work_in_slices(monkeypatch):
     assert bounds == [0, 3, 11, 30]
     parts = [kernels.attend(qkv[a:b], offsets[(offsets >= a) & (offsets <= b)] - a, 2) for a, b in zip(bounds, bounds[1:])]
     assert np.allclose(np.concatenate(parts), whole)
+
+
+def test_gap_in_the_place_table(model, token_rows):
+    """Both ways look places up by their id."""
+    import dataclasses
+
+    from weftmill.plans import forward
+
+    tables = {**model.tables, "wpe": model.table("wpe").filter("place <> 3")}
+    gap = dataclasses.replace(model, tables=tables, _shared=None)
+    some = token_rows.filter("seq_id < 3")
+    ways = []
+    for method in ("arrow", "relational"):
+        rows = forward.encode_sequences(some, gap, method).collect()
+        ways.append({(r["seq_id"], r["place"]): r["values"] for r in rows})
+    assert ways[0].keys() == ways[1].keys() and not any(p == 3 for _, p in ways[0])
+    assert all(np.allclose(ways[0][k], ways[1][k]) for k in ways[0])

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftmill.functions import kernels
+from weftmill.functions.vectors import vec_add
 from weftmill.lineage import cut
 from weftmill.model import Model
 from weftmill.operators.layers import (
@@ -63,22 +64,24 @@ def multi_head_attention(
         column = kernels.attention_column(model.shared(), block, model.n_head, model.eps, residual)
         return _on_packed(df, column)
     t = lambda name: model.table(name, block)
-    heads = attention_heads(df, model, block)
+    # Read three times (q, k and v), evaluated once.
+    heads = cut(attention_heads(df, model, block))
     mixed = attention_output(attention_weights(heads), heads, model_width(model) // model.n_head)
     out = linear(mixed, t("c_proj_w"), t("c_proj_b"))
     return add_rows(out, df) if residual else out
 
 
 def feed_forward(df: DataFrame, model: Model, block: int, method: str = "arrow") -> DataFrame:
-    """Feed-forward sublayer with residual. Both ways are map side, but for the relational
-    residual join."""
+    """Feed-forward sublayer with residual. Both ways are map side while the weights can be broadcast:
+    the relational one carries the input along as a column."""
     if not _relational(method):
         column = kernels.feed_forward_column(model.shared(), block, model.eps, kernels.VECTOR)
         return df.withColumn("values", column("values"))
     t = lambda name: model.table(name, block)
-    normed = layer_norm(df, t("ln_2_g"), t("ln_2_b"), model.eps)
+    normed = layer_norm(df.withColumn("_input", F.col("values")), t("ln_2_g"), t("ln_2_b"), model.eps)
     up = gelu_rows(linear(normed, t("mlp_c_fc_w"), t("mlp_c_fc_b")))
-    return add_rows(linear(up, t("mlp_c_proj_w"), t("mlp_c_proj_b")), df)
+    down = linear(up, t("mlp_c_proj_w"), t("mlp_c_proj_b"))
+    return down.select(*[c for c in df.columns if c != "values"], vec_add("values", "_input").alias("values"))
 
 
 def block_column(model: Model, block: int, rows: Column) -> Column:
@@ -129,7 +132,8 @@ def encode_sequences(tokens: DataFrame, model: Model, method: str = "arrow") ->
         rows = embed(tokens, model.table("wte"), model.table("wpe"))
         return final_norm(transform(rows, model, method), model)
     ids = F.sort_array(F.collect_list(F.struct("place", "token")))
-    known = tokens.filter(F.col("place") < len(model.shared().of("wpe")))
+    places = model.shared().of("wpe_id")
+    known = tokens.filter(F.col("place").between(int(places[0]), int(places[-1])) if len(places) else F.lit(False))
     packed = known.groupBy("seq_id").agg(ids.alias("_p")).select(
         "seq_id", F.col("_p.place").alias("p"), F.col("_p.token").alias("t")
     )
