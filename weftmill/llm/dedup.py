@@ -19,7 +19,7 @@ from weftmill.lineage import cut
 SLOTS = 4
 MAX_KICKS = 200
 # Digests that one task indexes on average, and that a task holds before it hands them on.
-SHARD_ROWS = 100_000
+SHARD_ROWS, MIN_SHARDS = 100_000, 16
 FLUSH_ROWS = 500_000
 # Groups with more than 1/HOT_GROUPS of all rows (fewer than HOT_GROUPS, by counting) are broadcast.
 HOT_GROUPS = 2_000
@@ -198,8 +198,7 @@ def duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), text_digest(docs[text_col]).alias("digest")))
     n = rows.count()
-    shards = max(1, -(-n // SHARD_ROWS)) if n < SHARD_ROWS else max(12, -(-n // SHARD_ROWS))
-    index = cut(update_index(None, rows, shards=shards))
+    index = cut(update_index(None, rows, shards=max(MIN_SHARDS, -(-n // SHARD_ROWS))))
     repeated = rows.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("_n"))
     each = repeated.select("digest", "doc_id", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_copy"))
     return join_groups(each, index, "digest", "group_size", n).select(

@@ -23,7 +23,9 @@ SEED = 7
 TEMPERATURE = 0.05
 # Trigrams whose vectors are made at once, and cells of a text x trigram table.
 TRIGRAMS = 4096
-CELLS = 4 << 20
+CELLS = 1 << 20
+# Text bytes of one step; its arrays take about a hundred times as much.
+STEP_BYTES = 512 << 10
 BOUNDARY = 0
 UNKNOWN = "und"
 
@@ -102,7 +104,7 @@ def prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", STEP_BYTES):
                 vectors, _ = text_vectors(_strings(part))
                 langs = np.array(part.column("lang").to_pylist(), object)
                 for lang in set(langs.tolist()):
@@ -147,7 +149,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "t
         return pa.record_batch([*kept, *more], names=[*batch.schema.names[1:], "lang_pred", "score"])
 
     rows = docs.select(docs[text_col].alias("text"), *(carry or []))
-    return map_slices(rows, "text", run, with_fields(rows.schema[1:], "lang_pred string, score double"))
+    return map_slices(rows, "text", run, with_fields(rows.schema[1:], "lang_pred string, score double"), STEP_BYTES)
 
 
 def keep_identified(docs: DataFrame, min_score: float, text_col: str = "text", lang_col: str = "lang") -> DataFrame:

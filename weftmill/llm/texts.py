@@ -72,13 +72,17 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = SLICE_BYTES) ->
 
 
 def map_slices(
-    df: DataFrame, column: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | T.StructType
+    df: DataFrame,
+    column: str,
+    fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    schema: str | T.StructType,
+    max_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """`df.mapInArrow` over slices of bounded text size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, column):
+            for part in slices(batch, column, max_bytes):
                 out = fn(part)
                 if out is not None:
                     yield out
