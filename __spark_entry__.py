@@ -60,17 +60,17 @@ def _model(spark: SparkSession, sf_dir: str) -> Model:
     return _once(spark, sf_dir, "model", build)
 
 
-def _text_model(spark: SparkSession, sf_dir: str) -> Model:
-    """No blocks, token vectors for the text vocabulary, places for the longest prompt."""
+def _text_model(spark: SparkSession, sf_dir: str, n_block: int = 0) -> Model:
+    """Token vectors for the text vocabulary, places for the longest prompt."""
 
     def build() -> Model:
         n = _vocab(spark, sf_dir).count()
         wte = fixtures.formula_rows(spark, fixtures.TABLE_CODE_WTE, "token", n, WIDTH, 1.0)
         prompts = _table(spark, sf_dir, "conversations")
         longest = prompts.agg(F.max(F.octet_length("text")).alias("n")).first()["n"] or 0
-        return fixtures.mini_model(wte, n_block=0, n_place=longest + oracle.PROMPT_STEPS)
+        return fixtures.mini_model(wte, n_block=n_block, n_place=longest + oracle.PROMPT_STEPS)
 
-    return _once(spark, sf_dir, "text_model", build)
+    return _once(spark, sf_dir, f"text_model_{n_block}", build)
 
 
 def _tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -487,6 +487,14 @@ def q_generate_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_generate_relational(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `generate`, by a scorer that joins instead of broadcasting the model."""
+    score = generation.RelationalScorer(_model(spark, sf_dir), 1)
+    return _generated(
+        generation.generate(_sequences(spark, sf_dir), score, oracle.GREEDY_STEPS, eos=NO_EOS)
+    )
+
+
 def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "conversations").selectExpr("conv_id * 100000 + turn AS seq_id", "text")
 
@@ -501,6 +509,15 @@ def q_complete_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("seq_id", F.hex("bytes").alias("bytes_hex"), "response")
 
 
+def q_complete_prompts_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text to text through two blocks: two tokens for every conversation turn."""
+    score = generation.model_scorer(_text_model(spark, sf_dir, n_block=2), 1)
+    out = generation.complete_prompts(
+        _prompts(spark, sf_dir), "text", _vocab(spark, sf_dir), score, threshold=2, eos=NO_EOS
+    )
+    return out.select("seq_id", F.hex("bytes").alias("bytes_hex"), "response")
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Whole forward pass and next-token candidates on the smallest tables."""
     return q_next_token_logits(spark, "/root/testdata/sf0.001")
@@ -600,8 +617,10 @@ def own_queries() -> dict[str, Query]:
         "weighted_sample": q_weighted_sample,
         "weighted_sample_reference": q_weighted_sample_reference,
         "generate": q_generate,
+        "generate_relational": q_generate_relational,
         "generate_sampled": q_generate_sampled,
         "complete_prompts": q_complete_prompts,
+        "complete_prompts_blocks": q_complete_prompts_blocks,
     }
 
 

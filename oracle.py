@@ -624,6 +624,7 @@ def statements() -> dict[str, str]:
             f"SELECT seq_id, token FROM (SELECT *, {draw_number(0)} AS u FROM spans) WHERE u >= low AND u < high",
         ),
         "generate": generated_query(GREEDY_STEPS, 1, -1),
+        "generate_relational": generated_query(GREEDY_STEPS, 1, -1),
         "generate_sampled": generated_query(SAMPLED_STEPS, 3, SAMPLED_EOS),
         "complete_prompts": prompts_query(),
     }

@@ -101,3 +101,20 @@ def test_generated_model_is_deterministic_over_fixtures(spark, embeddings):
     f = lambda i, j: 0.1 * (((7919 + i * 104729 + j * 1299709 + i * j * 8191) % 2003) - 1001) / 1001.0
     for i in (0, 1):
         assert all(abs(w[i][j] - f(i, j)) < 1e-15 for j in (0, 1))
+
+
+def test_prompts_through_blocks_equal_the_relational_way(spark, sf_dir):
+    """Both generated tokens of every prompt, from tokenising to decoding, with a scorer that shares
+    nothing with the registered one."""
+    import __spark_entry__ as entry_module
+    from pyspark.sql import functions as F
+
+    found = {r["seq_id"]: r["bytes_hex"] for r in entry_module.q_complete_prompts_blocks(spark, sf_dir).collect()}
+    some = entry_module._prompts(spark, sf_dir).filter(F.length("text") < 60)
+    model = entry_module._text_model(spark, sf_dir, n_block=2)
+    out = generation.complete_prompts(
+        some, "text", entry_module._vocab(spark, sf_dir), generation.RelationalScorer(model, 1), threshold=2, eos=-1
+    )
+    expected = {r["seq_id"]: None if r["bytes"] is None else bytes(r["bytes"]).hex().upper() for r in out.collect()}
+    assert expected and {k: found[k] for k in expected} == expected
+    assert len(found) == entry_module._prompts(spark, sf_dir).count()

@@ -13,8 +13,9 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-# Symbol by symbol merging of whole documents is too slow in SQL; see `test_text.py`.
-WITHOUT_SQL = {"bpe_merge_long_parts"}
+# Merging whole documents symbol by symbol and attention over whole prompts are too slow in SQL; see
+# `test_text.py` and `test_generation.py`.
+WITHOUT_SQL = {"bpe_merge_long_parts", "complete_prompts_blocks"}
 
 
 def test_every_query_has_sql():

@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 from weftmill.functions import kernels
 from weftmill.lineage import cut
 from weftmill.model import Model
+from weftmill.operators.layers import sequence_rows
 from weftmill.operators.ranking import (
     cumulative_intervals,
+    last_place,
     temperature_softmax,
+    top_n_by_inner_product,
     uniform,
     weighted_sample,
 )
-from weftmill.operators.tokens import detokenize, text_sequences
-from weftmill.plans.forward import block_column
+from weftmill.operators.tokens import decode_sequences, text_sequences
+from weftmill.plans.forward import block_column, encode_sequences
 
 # Fixed id of the end-of-text token.
 END_OF_TEXT = 50256
@@ -51,9 +54,23 @@ def model_scorer(model: Model, top_n: int) -> ScoreFn:
     return score
 
 
+class RelationalScorer:
+    """`(seq_id, input)` rows to `(seq_id, token, value)` candidates by joins and aggregations, for
+    models of any size. Every place is scored again in each step."""
+
+    def __init__(self, model: Model, top_n: int):
+        self.model, self.top_n = model, top_n
+
+    def __call__(self, states: DataFrame) -> DataFrame:
+        encoded = encode_sequences(sequence_rows(states), self.model, "relational")
+        # The written state is read again for the lengths; the encoded rows are used once.
+        last = last_place(encoded, states.select("seq_id", F.size("input").alias("n_seq")))
+        return top_n_by_inner_product(last, self.model.table("wte"), self.top_n)
+
+
 def generate(
     prompts: DataFrame,
-    score: ScoreFn,
+    score: ScoreFn | RelationalScorer,
     threshold: int = 10,
     eos: int = END_OF_TEXT,
     top_n: int = 1,
@@ -82,13 +99,17 @@ def generate(
     for step in range(threshold):
         if state.filter("active").isEmpty():
             break
-        if top_n == 1:
+        if top_n == 1 and not isinstance(score, RelationalScorer):
             live = F.when(F.col("active"), F.col("input"))
             drawn = state.withColumn("_c", score(live)).withColumn(
                 "token", F.get("_c", F.lit(0))["token"]
             )
         else:
-            rows = state.filter("active").select("seq_id", F.inline(score(F.col("input"))))
+            active = state.filter("active")
+            if isinstance(score, RelationalScorer):
+                rows = cut(score(active.select("seq_id", "input")))
+            else:
+                rows = active.select("seq_id", F.inline(score(F.col("input"))))
             chances = temperature_softmax(rows, [temperature])
             sample = weighted_sample(cumulative_intervals(chances), draw(step))
             drawn = state.join(sample, "seq_id", "left")
@@ -122,5 +143,5 @@ def complete_prompts(
     start = text_sequences(prompts, text_col, ["seq_id"], vocab)
     grown = generate(start, score, **options)
     kept = grown if partial else grown.filter("complete")
-    rows = kept.select("seq_id", F.posexplode("input").alias("ordinality", "token"))
-    return prompts.select("seq_id").join(detokenize(rows, vocab, ["seq_id"]), "seq_id", "left")
+    decoded = decode_sequences(kept, vocab, "input", ["seq_id"])
+    return prompts.select("seq_id").join(decoded, "seq_id", "left")
