@@ -182,6 +182,13 @@ def test_prose_in_an_article_stays(spark):
     assert {r["text"] for r in found} == {f"A passage that all quote\nOwn {i}" for i in range(10)}
 
 
+def test_header_of_an_article_stays():
+    page = """<body class="has-sidebar"><header><h1>Site</h1></header><main><article class="post"><header class="entry-header">
+    <h1>Title</h1></header><p>Text<aside>x</aside><ul><li>One<li>Two</ul><table><tr><td>A<td>B</table>
+    <section id="comments"><article><p>Nice</p></article></section></article></main></body>"""
+    assert html.extract(page, set()) == "Title\nText\nOne\nTwo\nA\nB"
+
+
 def test_broken_html_never_fails():
     rng = random.Random(2)
     for _ in range(300):

@@ -85,7 +85,7 @@ def parse(html: str) -> list[Node]:
     """All elements in page order, the root first. Never fails: unknown ends are ignored, open
     elements end with the page."""
     root = Node("html", {}, None)
-    nodes, here, at = [root], root, 0
+    nodes, here, at, has_body = [root], root, 0, False
     while True:
         m = _TAG.search(html, at)
         text = html[at : m.start() if m else len(html)]
@@ -101,9 +101,9 @@ def parse(html: str) -> list[Node]:
         if end:
             here = _close(here, name)
             continue
-        if name in ("html", "body") and any(n.tag == name for n in nodes[: 3 if name == "html" else None]):
-            root.marks = root.marks or {}
+        if name == "html" or name == "body" and has_body:
             continue
+        has_body |= name == "body"
         if name in CLOSES_P:
             here = _end_open(here, {"p"}, {"table", "td", "th", "button", "article", "div", "section", "li"})
         if name in ENDS:
@@ -154,8 +154,10 @@ def hash_subtrees(nodes: list[Node]) -> None:
         node.hash, node.size = value - (1 << 64) if value >> 63 else value, size
 
 
-def _is_dropped(node: Node) -> bool:
-    if node.tag in DROPPED_TAGS:
+def _is_dropped(node: Node, inside: bool) -> bool:
+    """Whether an element is no article text by its tag, class, id or role. `inside` an article a header
+    holds the title and stays."""
+    if node.tag in DROPPED_TAGS or node.tag == "header" and not inside:
         return True
     marks = node.marks
     if not marks or node.tag in ("html", "body"):
@@ -165,12 +167,7 @@ def _is_dropped(node: Node) -> bool:
     if marks.get("role") in DROPPED_ROLES:
         return True
     words = _WORDS.findall(marks.get("class", "") + " " + marks.get("id", ""))
-    return any(w in DROPPED_WORDS for w in words)
-
-
-def _dropped_header(node: Node, inside: bool) -> bool:
-    """A header of the page; the header of an article holds its title."""
-    return node.tag == "header" and not inside
+    return any(w in DROPPED_WORDS and not (inside and w == "header") for w in words)
 
 
 def _content(root: Node) -> list[Node]:
@@ -179,7 +176,7 @@ def _content(root: Node) -> list[Node]:
     stack = [(root, frozenset())]
     while stack:
         node, inside = stack.pop()
-        if _is_dropped(node) or _dropped_header(node, bool(inside)):
+        if _is_dropped(node, bool(inside)):
             continue
         kind = "main" if node.marks.get("role") == "main" else node.tag
         if kind in found and kind not in inside:
@@ -221,7 +218,7 @@ def extract(html: str, template: set[int]) -> str:
                 continue
             if item is not content:
                 repeated = item.hash in template and not (has_article and item.tag in PROSE)
-                if repeated and item.tag in BLOCK or _is_dropped(item) or _dropped_header(item, has_article):
+                if repeated and item.tag in BLOCK or _is_dropped(item, has_article):
                     if item.tag in BLOCK:
                         flush()
                     continue

@@ -22,7 +22,7 @@ from weftmill.llm.texts import Words, map_slices, with_fields
 # Pieces of one (length, bucket) group on average, if all had the same length.
 BUCKET_ROWS = 5_000
 # Words whose ids a worker remembers before it starts anew.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 300_000
 
 PIECES_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

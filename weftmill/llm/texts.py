@@ -19,8 +19,8 @@ from weftmill.session import configure
 from weftmill.sources.tables import read_table
 
 # Bytes of text that Spark hands to Python at once, and that one step of a function works on.
-OWN_ARROW_BYTES = "16m"
-SLICE_BYTES = 2 << 20
+OWN_ARROW_BYTES = "4m"
+SLICE_BYTES = 1 << 20
 # Regular expression of the white space that splits words, as Spark and DuckDB read it.
 BLANKS = "[\\x20\\x09-\\x0D]+"
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -86,6 +86,8 @@ def map_slices(
                 out = fn(part)
                 if out is not None:
                     yield out
+            # Workers stay for later tasks, also of other queries: give back what this batch took.
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
