@@ -84,3 +84,11 @@ def test_infinity_and_null_keys(spark):
     assert sorted(map(tuple, found.collect())) == [
         ("duplicate", "x\\|y|z", 2), ("infinite:v", "a|\\N", 1), ("null:v", "x\\|y|z", 2),
     ]
+
+
+def test_remove_cuts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lineage, "_written", [])
+    monkeypatch.setattr(lineage, "checkpoint_root", lambda s: str(tmp_path))
+    assert lineage.cut(spark.range(5)).count() == 5
+    assert len(list(tmp_path.iterdir())) == 1
+    assert lineage.remove_cuts(spark) == 1 and not list(tmp_path.iterdir())

@@ -18,6 +18,7 @@ MAX_BROADCAST_ROWS = 2_000_000
 MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 _local_root: str | None = None
+_written: list[str] = []
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -42,10 +43,25 @@ def cut(df: DataFrame) -> DataFrame:
     """Write `df` once and continue from the written table."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/weftmill-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_cuts(spark: SparkSession) -> int:
+    """Delete every table that `cut` wrote in this process; the number of tables.
+
+    Call it when all results have been written: a DataFrame that was built on a cut can't be read
+    afterwards.
+    """
+    n = len(_written)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    while _written:
+        path = hadoop.Path(_written.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
 def fits(
     df: DataFrame,
     payload: Column | None = None,
