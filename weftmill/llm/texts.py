@@ -18,7 +18,8 @@ from pyspark.sql import types as T
 from weftmill.session import configure
 from weftmill.sources.tables import read_table
 
-# Bytes of text that Spark hands to Python at once, and that one step of a function works on.
+# Bytes of text that Spark hands to Python at once, and that one step of a function works on. Small, since
+# the workers of an executor share its memory with the JVM.
 OWN_ARROW_BYTES = "4m"
 SLICE_BYTES = 1 << 20
 # Regular expression of the white space that splits words, as Spark and DuckDB read it.
