@@ -330,3 +330,30 @@ def test_host_prior_shrinks_small_hosts(spark):
     found = {r["doc_id"]: r for r in quality.judge(docs, F.col("source")).collect()}
     assert found[400]["host_rate"] > 0.8 > found[300]["host_rate"] > found[1]["host_rate"]
     assert found[1]["kept"] and not found[10]["kept"] and not found[900]["base_failed"] and not found[900]["kept"]
+
+
+def test_packed_counts_lose_nothing():
+    rng = np.random.default_rng(7)
+    for n in (1, 2, 50_000):
+        keys = np.unique(np.concatenate([rng.integers(0, 2**64, n, dtype=np.uint64), np.array([2**64 - 1], np.uint64)]))
+        counts = rng.zipf(1.5, len(keys)).clip(max=2**32 - 1)
+        k, c = lm._unpacked(*lm._packed(keys, counts))
+        assert np.array_equal(np.frombuffer(k, "<u8"), keys) and np.array_equal(np.frombuffer(c, "<u4"), counts)
+
+
+def test_segments_change_no_score(spark, sf_dir, tmp_path, monkeypatch):
+    """Many passes give what one pass gives, and leave one written pass besides the shards."""
+    from weftmill import lineage
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).persist()
+    monkeypatch.setattr(lineage, "checkpoint_root", lambda _: str(tmp_path))
+    monkeypatch.setattr(lm, "SHARD_BYTES", 20_000)
+    scores = []
+    for size in (1 << 30, 20_000):
+        before = len(list(tmp_path.iterdir()))
+        model = lm.train(docs, segment_bytes=size)
+        found = lm.score(docs, model, carry=[F.col("doc_id")]).collect()
+        scores.append({r["doc_id"]: r["score"] for r in found})
+        left = len(list(tmp_path.iterdir())) - before
+    assert model.order == 3 and len(model.segments) > 2 and left == 2
+    assert scores[0] == pytest.approx(scores[1])

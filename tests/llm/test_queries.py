@@ -206,3 +206,23 @@ def test_language_of_odd_rows(spark, odd_tables):
             assert (r["lang_pred"], r["score"]) == ("und", 0.0)
         if r["doc_id"] == 8:
             assert r["lang_pred"] == "de"
+
+
+def test_language_model_scores_trigrams(spark, sf_dir, documents):
+    """The registered query's score is close to that of exact counts of one, two and three words."""
+    found = QUERIES["op1_bloom_lm"](spark, sf_dir).toPandas()
+    tokens = {i: ["start", "start", *lowered(t), None] for i, t in zip(documents.doc_id, documents.text)}
+    counts, n, texts = Counter(), 0, 0
+    for i, t in tokens.items():
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            texts, n = texts + 1, n + len(t) - 2
+            counts.update(tuple(t[e - k : e]) for e in range(3, len(t) + 1) for k in (1, 2, 3))
+    v, total = sum(len(g) == 1 for g in counts), 0.0
+    for t in tokens.values():
+        for e in range(3, len(t) + 1):
+            p = (counts[t[e - 1],] + 1) / (n + v + 1)
+            for k, weight in ((2, 100), (3, 10)):
+                context = texts if e == 3 else counts[tuple(t[e - k : e - 1])]
+                p = (counts[tuple(t[e - k : e])] + weight * p) / (context + weight)
+            total += math.log10(p)
+    assert abs(found.score.sum() / total - 1) < 0.03

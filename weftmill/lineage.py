@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,13 +40,38 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _local_root
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` once and continue from the written table."""
+def cut(df: DataFrame, compression: str | None = None) -> DataFrame:
+    """Write `df` once and continue from the written table. `compression`: Parquet's, else the session's."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/weftmill-{uuid.uuid4().hex}"
     _written.append(path)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.parquet(path, compression=compression)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._weftmill_path = path
+    return table
+
+
+def remove_cut(df: DataFrame) -> None:
+    """Delete the one table that `cut` gave as `df`, when nothing reads it any more."""
+    spark = df.sparkSession
+    path = df._weftmill_path
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    if path in _written:
+        _written.remove(path)
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that run inside are deleted when their query ends, not when the driver
+    happens to collect its garbage. For queries whose result is written and whose plan isn't run again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def remove_cuts(spark: SparkSession) -> int:

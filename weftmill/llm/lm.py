@@ -12,6 +12,7 @@ against it, and the levels found are carried on to the next one.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weftmill.lineage import cut
+from weftmill.lineage import cut, remove_cut, shuffles_removed
 from weftmill.llm.texts import Words, map_slices, mix, slices, with_fields
 
 ORDER = 3
@@ -32,7 +33,7 @@ ENTRY_BITS, HASHES = 11, 4
 SEGMENT_BYTES = 96 << 20
 # Text bytes whose n-grams one shard gets on average; words and n-grams are combined per so many tokens.
 SHARD_BYTES = 16 << 20
-COMBINE_TOKENS = 1 << 20
+COMBINE_TOKENS = 4 << 20
 # Weight of the lower order, per order from 2 on: p = (count + weight * p_lower) / (context + weight).
 BACKOFF = (100.0, 10.0)
 
@@ -75,6 +76,21 @@ def _combined(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nd
     return keys[starts], np.add.reduceat(counts, starts) if len(keys) else counts
 
 
+def _packed(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Ascending keys as gaps, whose upper bytes are mostly zero, and their counts; nothing is lost."""
+    gaps = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    planes = counts.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return gaps[:5].tobytes() + zlib.compress(gaps[5:].tobytes(), 1), zlib.compress(planes.tobytes(), 1)
+
+
+def _unpacked(keys: bytes, counts: bytes) -> tuple[bytes, bytes]:
+    """What `_packed` was given, as bytes of 64-bit keys and 32-bit counts."""
+    planes = np.frombuffer(zlib.decompress(counts), np.uint8).reshape(4, -1)
+    n = planes.shape[1]
+    gaps = np.frombuffer(keys[: 5 * n] + zlib.decompress(keys[5 * n :]), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(gaps.T).view("<u8").ravel(), dtype=np.uint64).astype("<u8").tobytes(), planes.T.tobytes()
+
+
 def _shard_of(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
 
@@ -83,18 +99,17 @@ def _count_texts(order: int, bits: int):
     """Task function: `(shard, is_word, keys, counts)`, combined over `COMBINE_TOKENS` tokens."""
 
     def rows(pending: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        for is_word, groups in ((True, pending[:1]), (False, pending[1:])):
-            parts = [x for group in groups for x in group]
-            if not parts:
-                continue
-            keys, counts = _combined(np.concatenate(parts))
+        for n in range(order):
+            keys, counts = _combined(np.concatenate(pending[n]))
+            pending[n] = []
             edges = np.searchsorted(_shard_of(keys, bits), np.arange((1 << bits) + 1))
             full = np.flatnonzero(np.diff(edges))
+            packed = [_packed(keys[edges[s] : edges[s + 1]], counts[edges[s] : edges[s + 1]]) for s in full]
             columns = [
                 pa.array(full.astype(np.int32)),
-                pa.array(np.full(len(full), is_word)),
-                pa.array([keys[edges[s] : edges[s + 1]].tobytes() for s in full], pa.binary()),
-                pa.array([counts[edges[s] : edges[s + 1]].astype("<u4").tobytes() for s in full], pa.binary()),
+                pa.array(np.full(len(full), n == 0)),
+                pa.array([k for k, _ in packed], pa.binary()),
+                pa.array([c for _, c in packed], pa.binary()),
             ]
             yield pa.record_batch(columns, names=["shard", "is_word", "keys", "counts"])
 
@@ -164,6 +179,13 @@ def _build_shard(rows: pa.Table) -> pa.Table:
     )
 
 
+def _build_packed(rows: pa.Table) -> pa.Table:
+    pairs = [_unpacked(*pair) for pair in zip(rows.column("keys").to_pylist(), rows.column("counts").to_pylist())]
+    for at, name in enumerate(("keys", "counts")):
+        rows = rows.set_column(rows.schema.get_field_index(name), name, pa.array([p[at] for p in pairs], pa.binary()))
+    return _build_shard(rows)
+
+
 SHARDS_SCHEMA = "shard int, blocks binary, words binary, word_counts binary, n_tokens long, n_words long, n_bytes long"
 
 
@@ -187,7 +209,8 @@ def train(texts: DataFrame, text_col: str = "text", order: int = ORDER, segment_
     rows = texts.select(texts[text_col].alias("text")).mapInArrow(
         _count_texts(order, bits), "shard int, is_word boolean, keys binary, counts binary"
     )
-    shards = cut(rows.groupBy("shard").applyInArrow(_build_shard, SHARDS_SCHEMA))
+    with shuffles_removed(texts.sparkSession):
+        shards = cut(rows.groupBy("shard").applyInArrow(_build_packed, SHARDS_SCHEMA))
     # Sizes only: one row of three numbers per shard.
     sizes = shards.select("shard", "n_tokens", "n_words", "n_bytes").orderBy("shard").collect()
     segments, begin, held = [], 0, 0
@@ -277,7 +300,7 @@ def score(docs: DataFrame, model: LanguageModel, text_col: str = "text", carry:
 
     `score` is the model's log10 probability of the text, `base_score` that of the exact word counts
     with add-one smoothing. Null and empty texts are the end token alone. With more than one segment the
-    levels of all n-grams are written between the passes.
+    levels of all n-grams are written between the passes; a pass that has been read is deleted.
     """
     spark = docs.sparkSession
     order, n, v, n_texts = model.order, model.n_tokens, model.n_words, model.n_texts
@@ -295,10 +318,13 @@ def score(docs: DataFrame, model: LanguageModel, text_col: str = "text", carry:
         def run(batch: pa.RecordBatch, segment=segment, last=last) -> pa.RecordBatch:
             tokens, first = _tokens(batch.column("text"))
             keys = _ngrams(tokens, first, order)
-            levels = [segment.value.levels(k) for k in keys]
+            levels = [segment.value.levels(k) for k in keys[2:]]
+            for k in keys[1::-1]:  # short n-grams recur: each different one is probed once
+                different, places = np.unique(k, return_inverse=True)
+                levels.insert(0, segment.value.levels(different)[places])
             before = batch.column("levels").to_pylist()
             if before and before[0] is not None:
-                old = np.frombuffer(b"".join(before), np.uint8).reshape(-1, order).T
+                old = np.frombuffer(b"".join(map(zlib.decompress, before)), np.uint8).reshape(-1, order).T
                 levels = [np.maximum(a, b) for a, b in zip(levels, old)]
             exact = segment.value.exact(keys[0])
             known = batch.column("n_known").to_numpy() + np.add.reduceat(exact > 0, first[:-1], dtype=np.int64)
@@ -306,7 +332,7 @@ def score(docs: DataFrame, model: LanguageModel, text_col: str = "text", carry:
             columns = [batch.column(c) for c in carried]
             if not last:
                 flat = np.stack(levels, axis=1)
-                blobs = pa.array([flat[a:b].tobytes() for a, b in zip(first, first[1:])], pa.binary())
+                blobs = pa.array([zlib.compress(flat[a:b].tobytes(), 1) for a, b in zip(first, first[1:])], pa.binary())
                 columns = [batch.column("text"), *columns, blobs, pa.array(known), pa.array(logs)]
                 return pa.record_batch(columns, names=["text", *carried, "levels", "n_known", "logs"])
             size = np.diff(first)
@@ -319,4 +345,7 @@ def score(docs: DataFrame, model: LanguageModel, text_col: str = "text", carry:
             schema = with_fields(kept, "n_tokens long, n_known long, base_score double, score double")
             return map_slices(state, "text", run, schema)
         schema = with_fields(state.schema[:-3], "levels binary, n_known long, logs double")
-        state = cut(map_slices(state, "text", run, schema))
+        spent, state = state, cut(map_slices(state, "text", run, schema), compression="zstd")
+        segment.destroy(blocking=True)
+        if begin:
+            remove_cut(spent)

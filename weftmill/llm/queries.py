@@ -15,14 +15,13 @@ from weftmill.llm.texts import id_remainder, table
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 2048
-LM_ORDER = 2
 MIX = {"weights": [3, 1, 2], "share": 1.5, "cap": 2}
 
 
 def op1_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = id_remainder("doc_id", 7) == 2
-    model = lm.train(docs.filter(~held_out), order=LM_ORDER)
+    model = lm.train(docs.filter(~held_out))
     found = lm.score(docs, model, carry=[F.col("doc_id"), held_out.alias("held_out")])
     return found.withColumn("train_tokens", F.lit(model.n_tokens).cast("long"))
 
