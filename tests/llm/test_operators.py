@@ -357,3 +357,35 @@ def test_segments_change_no_score(spark, sf_dir, tmp_path, monkeypatch):
         left = len(list(tmp_path.iterdir())) - before
     assert model.order == 3 and len(model.segments) > 2 and left == 2
     assert scores[0] == pytest.approx(scores[1])
+
+
+LONGEST = "<p>The text of the page, which is most of it and so must never be lost</p>"
+
+
+@pytest.mark.parametrize(
+    "open_, close",
+    [
+        ('<div class="content has-sidebar">', "</div>"),
+        ('<div id="page" class="no-sidebar">', "</div>"),
+        ('<div class="nav-fixed">', "</div>"),
+        ('<div class="widget">', "</div>"),
+        ('<form action="x.aspx">', "</form>"),
+        ('<section role="form" id="aspnet">', "</section>"),
+    ],
+)
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_wrapper_of_the_text_stays(open_, close, tag):
+    page = f'<body>{open_}<nav>menu</nav><{tag}>{LONGEST}</{tag}><div class="sidebar">side</div>{close}<footer>f</footer></body>'
+    assert html.extract(page, set()) == html.extract(f"<p>{LONGEST}", set()) != ""
+
+
+def test_words_inside_a_name_are_no_name():
+    page = """<article><h2 id="social-policy">A</h2><h3 id="related">B</h3><section id="related-work"><p>C</p></section>
+    <div class="social-history">D</div><div class="social">x</div><form><p>x</p></form></article>"""
+    assert html.extract(page, set()) == "A\nB\nC\nD"
+
+
+def test_comments_are_never_the_text():
+    page = f'<div><p>Own</p></div><section id="comments"><article>{LONGEST}</article></section>'
+    assert html.extract(page, set()) == "Own"
+    assert html.extract("<article><p>Own</p></article>" + page, set()) == "Own"

@@ -50,6 +50,9 @@ DROPPED_WORDS = set(
     " cookie cookies consent notice notices banner popup modal overlay newsletter subscribe subscription signup login"
     " share sharing social related recommended comment comments respond reply replies disqus pagination pager skip".split()
 )
+# Other people's words: not the main text however long they are.
+COMMENT_WORDS = set("comment comments respond reply replies disqus".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 CONTENT_TAGS = ("article", "main")
 PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption".split())
 
@@ -59,7 +62,6 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_WORDS = re.compile(r"[a-z]+")
 
 
 class Node:
@@ -154,31 +156,57 @@ def hash_subtrees(nodes: list[Node]) -> None:
         node.hash, node.size = value - (1 << 64) if value >> 63 else value, size
 
 
-def _is_dropped(node: Node, inside: bool) -> bool:
+def _tokens(node: Node) -> list[str]:
+    """Classes and id, whole. The id of a heading names what follows, as an anchor."""
+    return (node.marks.get("class", "") + " " + ("" if node.tag in HEADINGS else node.marks.get("id", ""))).split()
+
+
+def _is_dropped(node: Node, inside: bool, spared: set[Node]) -> bool:
     """Whether an element is no article text by its tag, class, id or role. `inside` an article a header
-    holds the title and stays."""
-    if node.tag in DROPPED_TAGS or node.tag == "header" and not inside:
-        return True
+    holds the title and stays; `spared` elements hold the page's text and stay if they aren't hidden."""
     marks = node.marks
-    if not marks or node.tag in ("html", "body"):
+    is_page = node.tag in ("html", "body")
+    if not is_page and ("hidden" in marks or marks.get("aria-hidden") == "true" or "display:none" in marks.get("style", "").replace(" ", "")):
+        return True
+    if node in spared:
         return False
-    if "hidden" in marks or marks.get("aria-hidden") == "true" or "display:none" in marks.get("style", "").replace(" ", ""):
+    if node.tag in DROPPED_TAGS or node.tag == "header" and not inside:
         return True
+    if not marks or is_page:
+        return False
     if marks.get("role") in DROPPED_ROLES:
         return True
-    words = _WORDS.findall(marks.get("class", "") + " " + marks.get("id", ""))
-    return any(w in DROPPED_WORDS and not (inside and w == "header") for w in words)
+    return any(w in DROPPED_WORDS and not (inside and w == "header") for w in _tokens(node))
+
+
+def _kind(node: Node) -> str:
+    return "main" if node.marks.get("role") == "main" else node.tag
+
+
+def _holders(nodes: list[Node]) -> tuple[set[Node], set[Node]]:
+    """Elements around an `article` or `main` with text, and those with more than half of the page's
+    text; no comments."""
+    around: set[Node] = set()
+    for node in nodes:
+        if node.size and _kind(node) in CONTENT_TAGS:
+            at = node.parent
+            while at is not None and at not in around:
+                around.add(at)
+                at = at.parent
+    quiet = lambda n: COMMENT_WORDS.isdisjoint(_tokens(n))
+    large = {n for n in nodes if 2 * n.size > nodes[0].size and n.tag not in ("nav", "footer", "aside") and quiet(n)}
+    return {n for n in around if quiet(n)}, large
 
 
-def _content(root: Node) -> list[Node]:
+def _content(root: Node, spared: set[Node]) -> list[Node]:
     """Outermost `article` elements with text, else `main`, else the page; none inside what is dropped."""
     found: dict[str, list[Node]] = {tag: [] for tag in CONTENT_TAGS}
     stack = [(root, frozenset())]
     while stack:
         node, inside = stack.pop()
-        if _is_dropped(node, bool(inside)):
+        if _is_dropped(node, bool(inside), spared):
             continue
-        kind = "main" if node.marks.get("role") == "main" else node.tag
+        kind = _kind(node)
         if kind in found and kind not in inside:
             found[kind].append(node)
             inside = inside | {kind}
@@ -205,7 +233,14 @@ def extract(html: str, template: set[int]) -> str:
             blocks.append(text)
         line.clear()
 
-    for content in _content(nodes[0]):
+    around, large = _holders(nodes)
+    # A form may wrap the whole page. Other marked elements count as wrappers of the article if there is none besides.
+    forms = {n for n in around | large if n.tag == "form" or n.marks.get("role") == "form"}
+    contents = _content(nodes[0], forms)
+    if contents == [nodes[0]]:
+        contents = _content(nodes[0], around | large)
+    spared = around | large if contents == [nodes[0]] else large
+    for content in contents:
         has_article = content is not nodes[0]
         stack: list[Node | str] = [content]
         while stack:
@@ -218,7 +253,7 @@ def extract(html: str, template: set[int]) -> str:
                 continue
             if item is not content:
                 repeated = item.hash in template and not (has_article and item.tag in PROSE)
-                if repeated and item.tag in BLOCK or _is_dropped(item, has_article):
+                if repeated and item.tag in BLOCK or _is_dropped(item, has_article, spared):
                     if item.tag in BLOCK:
                         flush()
                     continue
