@@ -389,3 +389,40 @@ def test_comments_are_never_the_text():
     page = f'<div><p>Own</p></div><section id="comments"><article>{LONGEST}</article></section>'
     assert html.extract(page, set()) == "Own"
     assert html.extract("<article><p>Own</p></article>" + page, set()) == "Own"
+
+
+def wrapped_at(width, indent=""):
+    """Base64 of text that crosses every line, of which only the first line starts with a magic number."""
+    data = base64.b64encode(gzip.compress((" ".join(str(i * i) for i in range(400)) + " " + SECRET).encode())).decode()
+    return ("\n" + indent).join(data[i : i + width] for i in range(0, len(data), width))
+
+
+@pytest.mark.parametrize(
+    "packed",
+    [
+        base64.b64encode(gzip.compress(gzip.compress(SECRET.encode()))).decode(),
+        base64.b64encode(bz2.compress(zlib.compress(SECRET.encode()))).decode(),
+        base64.b64encode(gzip.compress(b"nothing here") + gzip.compress(SECRET.encode())).decode(),
+        base64.b64encode(bz2.compress(b"nothing here") + bz2.compress(SECRET.encode())).decode(),
+        base64.b64encode(b"\x00\x01head" + gzip.compress(SECRET.encode())).decode(),
+        "".join(f"%{b:02X}" for b in gzip.compress(SECRET.encode())),
+        quote(gzip.compress(SECRET.encode()), safe=""),
+        "".join(f"\\x{b:02x}" for b in zlib.compress(SECRET.encode())),
+        repr(gzip.compress(SECRET.encode()))[2:-1],
+        *(wrapped_at(w, i) for w in (48, 64, 80, 100) for i in ("", "    ")),
+    ],
+)
+def test_compressed_layers_to_a_fixpoint(packed):
+    spans, complete = secrets.find(f"some words <{packed}> and more")
+    assert complete and any(kind == 0 and depth > 0 for _, kind, _, depth in spans)
+
+
+def test_a_stream_cut_short_is_not_complete():
+    data = gzip.compress((SECRET + " " + " ".join(str(i * i) for i in range(900))).encode())
+    spans, complete = secrets.find(base64.b64encode(data[: len(data) // 2]).decode())
+    assert not complete and spans
+
+
+def test_text_before_compressed_data_is_read():
+    packed = base64.b64encode(SECRET.encode() + b" then " + gzip.compress(b"nothing here")).decode()
+    assert any(kind == 0 for _, kind, _, _ in secrets.find(packed)[0])

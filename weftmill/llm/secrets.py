@@ -13,6 +13,7 @@ import bz2
 import lzma
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -43,9 +44,20 @@ _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPES = re.compile(
     r"(?:\\u[0-9A-Fa-f]{4}|%u[0-9A-Fa-f]{4})+|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\x[0-9A-Fa-f]{2})+|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};"
 )
-_BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{60,76}\r?\n)+[A-Za-z0-9+/]+={0,2}|[A-Za-z0-9+/_-]{" + str(MIN_BASE64) + ",}={0,2}")
+_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{" + str(MIN_BASE64) + ",}={0,2}")
+# Lines of data, however wide and indented; `_wrapped` takes those of one width together.
+_LINES = re.compile(r"[A-Za-z0-9+/_-]{" + str(MIN_BASE64) + r",}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+_LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _PRINTABLE = re.compile(rb"[\x20-\x7e]{8}")
 _MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd")
+# Beginnings that don't turn up by chance, looked for inside of data too.
+_STRONG = re.compile(rb"\x1f\x8b\x08[\x00-\x1f]|BZh[1-9]1AY&SY|\xfd7zXZ\x00|\x28\xb5\x2f\xfd")
+# Bytes written as escapes, the printable ones perhaps as they are.
+_BYTES = re.compile(
+    r"(?:%[0-9A-Fa-f]{2}|\\x[0-9A-Fa-f]{2})(?:%[0-9A-Fa-f]{2}|\\x[0-9A-Fa-f]{2}|\\[nrtabfv0\\'\"]|[!-$&-;=?-\[\]-~])+"
+)
+_NAMED = {"n": 10, "r": 13, "t": 9, "a": 7, "b": 8, "f": 12, "v": 11, "0": 0, "\\": 92, "'": 39, '"': 34}
+_UNIT = re.compile(r"%([0-9A-Fa-f]{2})|\\x([0-9A-Fa-f]{2})|\\(.)|(.)", re.S)
 _READABLE = bytes(b if 32 <= b < 127 or b in (9, 10, 13) else 0 for b in range(256))
 
 
@@ -131,26 +143,59 @@ def _escape(run: str) -> tuple[str, np.ndarray, np.ndarray] | None:
     return chr(code), np.array([0]), np.array([len(run) - 1])
 
 
+def _escaped_bytes(run: str) -> bytes:
+    return bytes(int(m[1] or m[2], 16) if m[1] or m[2] else _NAMED[m[3]] if m[3] else ord(m[4]) for m in _UNIT.finditer(run))
+
+
 def _inflate(data: bytes, room: int) -> tuple[bytes, bool] | None:
-    """Decompressed data, and whether it is all; None if it isn't compressed data."""
-    try:
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
-            tool = zlib.decompressobj(47)
-            out = tool.decompress(data, room)
-            return (out, not tool.unconsumed_tail) if out else None
-        if data[:3] == b"BZh":
-            tool = bz2.BZ2Decompressor()
-        elif data[:6] == b"\xfd7zXZ\x00":
-            tool = lzma.LZMADecompressor(memlimit=256 << 20)
-        else:
-            import zstandard
-
-            out = zstandard.ZstdDecompressor().decompressobj().decompress(data) if zstandard.frame_content_size(data) <= room else b""
-            return (out, True) if out else None
-        out = tool.decompress(data, room)
-        return (out, tool.eof or tool.needs_input) if out else None
-    except Exception:  # damaged data of any of these formats: no layer
-        return None
+    """Data of all compressed streams that follow each other, and whether that is all of it; None if it
+    isn't compressed data."""
+    parts, whole = [], True
+    while data.startswith(_MAGIC):
+        try:
+            if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
+                tool = zlib.decompressobj(47)
+            elif data[:3] == b"BZh":
+                tool = bz2.BZ2Decompressor()
+            elif data[:6] == b"\xfd7zXZ\x00":
+                tool = lzma.LZMADecompressor(memlimit=256 << 20)
+            else:
+                import zstandard
+
+                if zstandard.frame_content_size(data) > room:
+                    return b"".join(parts), False
+                tool = zstandard.ZstdDecompressor().decompressobj()
+                room = max(room, 1)
+            out = tool.decompress(data) if data[:4] == _MAGIC[-1] else tool.decompress(data, max(room, 1))
+        except Exception:  # damaged data of any of these formats: no layer
+            break
+        parts.append(out)
+        room -= len(out)
+        if not tool.eof:  # cut short, or no room for the rest
+            whole = False
+            break
+        data = tool.unused_data.lstrip(b"\0")
+    found = b"".join(parts)
+    return (found, whole) if found else None
+
+
+def _wrapped(text: str) -> Iterator[tuple[int, int]]:
+    """Ranges of base64 data: runs of lines of one width with a last one that may be shorter, and every
+    line by itself."""
+    for m in _LINES.finditer(text):
+        lines = [x.span() for x in _LINE.finditer(text, m.start(), m.end())]
+        at = 0
+        while at < len(lines):
+            begin, width, end = at, lines[at][1] - lines[at][0], at + 1
+            while end < len(lines) and lines[end][1] - lines[end][0] == width:
+                end += 1
+            if end < len(lines) and lines[end][1] - lines[end][0] < width:
+                end += 1
+            if end - begin > 1:
+                yield lines[begin][0], lines[end - 1][1]
+            at = max(begin + 1, end - 1) if end < len(lines) else end
+    for m in _BASE64.finditer(text):
+        yield m.span()
 
 
 class _Worklist:
@@ -173,15 +218,42 @@ class _Worklist:
         self.seen.add(key)
         self.layers.append(layer)
 
+    def inflate(self, data: bytes, low: int, high: int, depth: int) -> bool:
+        """Layers of compressed data and of what is compressed in it again; whether it was any."""
+        found = False
+        for at in sorted({0, *(m.start() for m in _STRONG.finditer(data))}):
+            inflated = _inflate(data[at:], self.room)
+            if not inflated:
+                continue
+            inner, whole = inflated
+            found, self.complete = True, self.complete and whole
+            if self.inflate(inner, low, high, depth + 1) and inner.startswith(_MAGIC):
+                self.room -= len(inner)
+                continue
+            text, _, _ = _from_bytes(inner)
+            n = len(text)
+            self.add(Layer(text, np.full(n, low), np.full(n, high), depth + 1))
+        return found
+
     def unwrap(self, layer: Layer) -> None:
         if not _ENCODED.search(layer.text):
             return
+        for m in _BYTES.finditer(layer.text):
+            data = _escaped_bytes(m[0])
+            if _STRONG.search(data) or data.startswith(_MAGIC):
+                low, high = layer.ranges()
+                self.inflate(data, low[m.start()], high[m.end() - 1], layer.depth + 1)
         self.add(_rewritten(layer, _PERCENT, _percent))
         self.add(_rewritten(layer, _ESCAPES, _escape))
         low = high = None
-        for m in _BASE64.finditer(layer.text):
-            letters = [i for i, c in enumerate(m[0]) if c not in "=\r\n"]
-            run = "".join(m[0][i] for i in letters).replace("-", "+").replace("_", "/")
+        inflated: list[tuple[int, int]] = []
+        for start, stop_ in _wrapped(layer.text):
+            # The lines of a compressed payload are no payloads of their own.
+            if any(a <= start and stop_ <= b + 2 for a, b in inflated):
+                continue
+            part = layer.text[start:stop_]
+            letters = [i for i, c in enumerate(part) if c not in "=\r\n \t"]
+            run = "".join(part[i] for i in letters).replace("-", "+").replace("_", "/")
             # What stands before the data may have run into it: any of four starts can be the right one.
             for skip in range(4):
                 own = run[skip:]
@@ -190,19 +262,17 @@ class _Worklist:
                     data = base64.b64decode(own + "=" * (-len(own) % 4))
                 except binascii.Error:
                     continue
-                packed = data.startswith(_MAGIC)
+                packed = data.startswith(_MAGIC) or _STRONG.search(data)
                 if not packed and not _PRINTABLE.search(data):
                     continue
                 if low is None:
                     low, high = layer.ranges()
-                at = m.start() + np.array(letters[skip:])
-                if packed and (inflated := _inflate(data, self.room)):
-                    inner, whole = inflated
-                    self.complete &= whole
-                    text, _, _ = _from_bytes(inner)
-                    n = len(text)
-                    self.add(Layer(text, np.full(n, low[at[0]]), np.full(n, high[m.end() - 1]), layer.depth + 2))
-                    continue
+                at = start + np.array(letters[skip:])
+                if packed and self.inflate(data, low[at[0]], high[stop_ - 1], layer.depth + 1):
+                    if _STRONG.match(data):
+                        inflated.append((start, stop_))
+                    if data.startswith(_MAGIC):
+                        continue
                 text, first, last = _from_bytes(data)
                 # Byte b comes from characters 4b/3 to (4b + 7) // 3 - 1 of the run.
                 begin, stop = at[first * 4 // 3], at[np.minimum((last * 4 + 7) // 3 - 1, len(at) - 1)]
