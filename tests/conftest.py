@@ -50,8 +50,3 @@ def token_rows(embeddings):
     from weftmill import fixtures
 
     return fixtures.embedding_sequences(embeddings)
-
-
-def values_of(df, keys, column="values"):
-    """Vectors by key, for numpy comparison."""
-    return {tuple(r[k] for k in keys): r[column] for r in df.collect()}

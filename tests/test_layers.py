@@ -4,7 +4,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import values_of
+from frames import values_of
 from pyspark.sql import functions as F
 
 from weftmill import fixtures
