@@ -94,23 +94,128 @@ def soft_rows(m: Matrix) -> Matrix:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def _heads(m: Matrix, n_head: int) -> Matrix:
+    """Rows by heads side by side to `(head, row, element)`."""
+    return m.reshape(len(m), n_head, -1).transpose(1, 0, 2)
+
+
 def attend(qkv: Matrix, offsets: np.ndarray, n_head: int) -> Matrix:
-    """Causal attention inside each sequence; places after the query have weight zero."""
+    """Causal attention inside each sequence; places after the query have weight zero. Queries go through in
+    runs, so that no more than about `SCORE_CELLS` scores are held whatever the length."""
     width = qkv.shape[1] // 3
     out = np.empty((len(qkv), width))
     for lo, hi in zip(offsets[:-1], offsets[1:]):
         if lo == hi:
             continue
-        q, k, v = (
-            part.reshape(hi - lo, n_head, -1).transpose(1, 0, 2)
-            for part in np.split(qkv[lo:hi], 3, axis=1)
-        )
-        scores = q @ k.transpose(0, 2, 1) / np.sqrt(q.shape[-1])
-        scores[:, np.triu(np.ones((hi - lo, hi - lo), dtype=bool), 1)] = -np.inf
-        out[lo:hi] = (soft_rows(scores) @ v).transpose(1, 0, 2).reshape(hi - lo, width)
+        q, k, v = (_heads(part, n_head) for part in np.split(qkv[lo:hi], 3, axis=1))
+        n = hi - lo
+        step = max(1, SCORE_CELLS // (n_head * n))
+        for a in range(0, n, step):
+            b = min(a + step, n)
+            scores = q[:, a:b] @ k[:, :b].transpose(0, 2, 1) / np.sqrt(q.shape[-1])
+            scores[:, np.triu(np.ones((b - a, b), dtype=bool), a + 1)] = -np.inf
+            mixed = soft_rows(scores) @ v[:, :b]
+            out[lo + a : lo + b] = mixed.transpose(1, 0, 2).reshape(b - a, width)
     return out
 
 
+class MergedAttention:
+    """Attention of some query rows, key block after key block. The state per query and head is the highest
+    score so far, the sum of the exponentials below it, and the values weighted by them; `add` merges a
+    block into it, in any grouping of the keys."""
+
+    def __init__(self, q: Matrix, places: np.ndarray, n_head: int):
+        self.q, self.places = _heads(q, n_head), places
+        self.high = np.full(self.q.shape[:2], -np.inf)
+        self.total = np.zeros(self.q.shape[:2])
+        self.mixed = np.zeros(self.q.shape)
+
+    def add(self, k: Matrix, v: Matrix, places: np.ndarray) -> None:
+        k, v = _heads(k, len(self.q)), _heads(v, len(self.q))
+        scores = self.q @ k.transpose(0, 2, 1) / np.sqrt(self.q.shape[-1])
+        scores[:, places[None, :] > self.places[:, None]] = -np.inf
+        high = np.maximum(self.high, scores.max(axis=-1))
+        # A query that has met no key of its past keeps its empty state.
+        base = np.where(np.isneginf(high), 0.0, high)
+        e, kept = _safe_exp(scores - base[..., None]), _safe_exp(self.high - base)
+        self.total = self.total * kept + e.sum(axis=-1)
+        self.mixed = self.mixed * kept[..., None] + e @ v
+        self.high = high
+
+    def result(self) -> Matrix:
+        out = self.mixed / self.total[..., None]
+        return out.transpose(1, 0, 2).reshape(len(self.places), -1)
+
+
+def _safe_exp(diff: Matrix) -> Matrix:
+    return np.where(diff < EXP_UNDERFLOW, 0.0, np.exp(np.maximum(diff, EXP_UNDERFLOW)))
+
+
+def _sequences(matrices: list[Matrix]) -> pa.Array:
+    """One sequence per matrix."""
+    none = np.zeros((0, 0))
+    return pa.concat_arrays([_close(m, np.array([0, len(m)], np.int32)) for m in matrices] or [_close(none, np.zeros(1, np.int32))])
+
+
+def _rows_of_one(column: pa.Array, i: int) -> Matrix:
+    return _open(column.slice(i, 1))[0]
+
+
+def merged_attention(n_head: int) -> Callable:
+    """For `mapInArrow` over rows `(seq_id, tile, key_tile, places, a, b)`, by tile: one row of queries
+    (`key_tile` -1, a the queries, b what is carried along), then rows of keys (a) and values (b). Gives
+    `(seq_id, places, rows, carry)` per query row; one tile and one state are held at a time."""
+
+    def run(batches):
+        state, held = None, None
+
+        def close():
+            seq, places, carry = held
+            rows = _close(state.result(), np.array([0, len(state.places)], np.int32))
+            return pa.RecordBatch.from_arrays([seq, places, rows, carry], ["seq_id", "places", "rows", "carry"])
+
+        for batch in batches:
+            seq, tile, key_tile, places, a, b = batch.columns
+            for i in range(batch.num_rows):
+                at = places[i].values.to_numpy(zero_copy_only=False)
+                if key_tile[i].as_py() < 0:
+                    if state is not None:
+                        yield close()
+                    state = MergedAttention(_rows_of_one(a, i), at, n_head)
+                    held = (seq.slice(i, 1), places.slice(i, 1), b.slice(i, 1))
+                    owner = (seq[i].as_py(), tile[i].as_py())
+                elif state is not None and owner == (seq[i].as_py(), tile[i].as_py()):
+                    state.add(_rows_of_one(a, i), _rows_of_one(b, i), at)
+        if state is not None:
+            yield close()
+
+    return run
+
+
+def self_attention_column(n_head: int) -> Callable:
+    """Sequences of q, k and v side by side to their attention."""
+    return _column(SEQUENCE, lambda m, offsets: attend(m, offsets, n_head))
+
+
+@F.arrow_udf(SEQUENCE)
+def multiply_blocks(x: pa.Array, w: pa.Array) -> pa.Array:
+    """Rows times weight rows, block by block."""
+    return _sequences([_rows_of_one(x, i) @ _rows_of_one(w, i).T for i in range(len(x))])
+
+
+@F.arrow_udf(SEQUENCE)
+def sum_blocks(out: pa.Array, parts: pa.Array) -> pa.Array:
+    """Partial products, ordered by output block, summed per output block and put side by side."""
+    found = []
+    for i in range(len(out)):
+        blocks: dict[int, Matrix] = {}
+        for o, part in zip(out[i].as_py(), range(len(parts[i]))):
+            m = _rows_of_one(parts[i].values, part)
+            blocks[o] = blocks[o] + m if o in blocks else m
+        found.append(np.concatenate(list(blocks.values()), axis=1))
+    return _sequences(found)
+
+
 def _column(kind: T.DataType, fn: Callable[[Matrix, np.ndarray | None], Matrix]) -> Callable[[Column | str], Column]:
     """Column function of a matrix function. Null rows stay null. The matrix is worked on in slices of
     whole sequences, so what a function holds besides its input and output doesn't depend on the
@@ -235,6 +340,88 @@ def embed_prompt_column(params) -> Callable:
     return run
 
 
+_SCORED_PLACE = T.StructType([T.StructField("candidates", CANDIDATES), T.StructField("kv", VECTOR)])
+_SCORED_PROMPT = T.StructType([T.StructField("candidates", CANDIDATES), T.StructField("kv", SEQUENCE)])
+
+
+def _through_blocks(x: Matrix, params, n_block: int, eps: float, attention: Callable[[int, Matrix], Matrix]) -> tuple[Matrix, Matrix]:
+    """Rows through all blocks, and the keys and values they leave behind, block after block. `attention` is
+    given the block and the rows' q, k and v."""
+    kept = []
+    for block in range(n_block):
+        p = lambda name, block=block: params.of(name, block)
+        qkv = norm(x, p("ln_1_g"), p("ln_1_b"), eps) @ p("c_attn_w").T + p("c_attn_b")
+        kept.append(qkv[:, x.shape[1] :])
+        x = x + attention(block, qkv) @ p("c_proj_w").T + p("c_proj_b")
+        up = norm(x, p("ln_2_g"), p("ln_2_b"), eps) @ p("mlp_c_fc_w").T + p("mlp_c_fc_b")
+        x = x + gelu(up) @ p("mlp_c_proj_w").T + p("mlp_c_proj_b")
+    return x, np.concatenate(kept, axis=1) if kept else np.zeros((len(x), 0))
+
+
+def _candidate_lists(last: Matrix, has: np.ndarray, params, eps: float, n: int) -> pa.Array:
+    """Candidates of the rows that have a last vector, none for the others."""
+    normed = norm(last, params.of("ln_f_g"), params.of("ln_f_b"), eps)
+    ids, values = best_of(normed, params.of("wte"), params.of("wte_id"), n)
+    found = pa.StructArray.from_arrays([pa.array(ids.ravel()), pa.array(values.ravel())], names=["token", "value"])
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(has * ids.shape[1])]).astype(np.int32)), found)
+
+
+def scored_prompt_column(params, n_block: int, n_head: int, eps: float, n: int) -> Callable:
+    """Token arrays to `(candidates, kv)`: the `n` best next tokens, and per kept place the keys and values of
+    all blocks. Places and tokens without a vector drop; a sequence whose last one drops has neither."""
+
+    @F.arrow_udf(_SCORED_PROMPT)
+    def run(tokens: pa.Array) -> pa.Array:
+        at, _place, place_row, keep, ends = _known(tokens, None, params)
+        has = np.array([hi > lo and keep[hi - 1] for lo, hi in zip(ends[:-1], ends[1:])], bool)
+        keep &= np.repeat(has, np.diff(ends))
+        offsets = _kept_offsets(keep, ends)
+        x = params.of("wte")[at[keep]] + params.of("wpe")[place_row[keep]]
+        last, kv = [], []
+        bounds = _cut_points(len(x), offsets, max(1, SLICE_CELLS // max(1, x.shape[1])))
+        for lo, hi in zip(bounds, bounds[1:]):
+            inner = offsets[(offsets >= lo) & (offsets <= hi)] - lo
+            out, cells = _through_blocks(x[lo:hi], params, n_block, eps, lambda _b, qkv, o=inner: attend(qkv, o, n_head))
+            last.append(out[np.unique(inner[1:][np.diff(inner) > 0]) - 1])
+            kv.append(cells)
+        width = x.shape[1]
+        lists = _candidate_lists(np.concatenate(last) if last else np.zeros((0, width)), has, params, eps, n)
+        cells = _close(np.concatenate(kv) if kv else np.zeros((0, 2 * width * n_block)), offsets)
+        return pa.StructArray.from_arrays([lists, cells], names=["candidates", "kv"])
+
+    return run
+
+
+def scored_place_column(params, n_block: int, n_head: int, eps: float, n: int) -> Callable:
+    """Last token, its place and the kept keys and values of the places before to `(candidates, kv)` of
+    that one place: whatever the length, one row of each sequence goes through the blocks."""
+
+    @F.arrow_udf(_SCORED_PLACE)
+    def run(token: pa.Array, place: pa.Array, kept: pa.Array) -> pa.Array:
+        row, has_token = _rows_of(params.of("wte_id"), token.to_numpy(zero_copy_only=False))
+        place_row, has_place = _rows_of(params.of("wpe_id"), place.to_numpy(zero_copy_only=False))
+        has = has_token & has_place & np.asarray(kept.is_valid())
+        x = params.of("wte")[row[has]] + params.of("wpe")[place_row[has]]
+        cells, offsets = _open(kept.filter(pa.array(has)))
+        width = x.shape[1]
+
+        def attention(block: int, qkv: Matrix) -> Matrix:
+            out = np.empty((len(qkv), width))
+            here = slice(2 * width * block, 2 * width * (block + 1))
+            for i, (lo, hi) in enumerate(zip(offsets[:-1], offsets[1:])):
+                k, v = np.split(np.concatenate([cells[lo:hi, here], qkv[i : i + 1, width:]]), 2, axis=1)
+                scores = _heads(qkv[i : i + 1, :width], n_head) @ _heads(k, n_head).transpose(0, 2, 1)
+                out[i] = (soft_rows(scores / np.sqrt(width // n_head)) @ _heads(v, n_head)).ravel()
+            return out
+
+        x, own = _through_blocks(x, params, n_block, eps, attention)
+        lists = _candidate_lists(x, has, params, eps, n)
+        places = pa.array(np.cumsum(has) - 1, pa.int64(), mask=~has)
+        return pa.StructArray.from_arrays([lists, _close(own, None).take(places)], names=["candidates", "kv"])
+
+    return run
+
+
 @F.arrow_udf(SEQUENCE)
 def tail(seq: pa.Array) -> pa.Array:
     """Sequences cut down to their last row; empty ones stay empty."""

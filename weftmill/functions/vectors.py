@@ -24,14 +24,21 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _paired(value: Column) -> Column:
+    """`value` of a pair of elements; one that is missing on either side fails the job."""
+    return F.coalesce(value, F.raise_error(F.lit("vectors differ in width or have a null element")))
+
+
 def vec_add(a: Column | str, b: Column | str) -> Column:
-    """Element-wise sum."""
-    return F.zip_with(_col(a), _col(b), lambda x, y: x + y)
+    """Element-wise sum. A null vector gives null; other widths or a null element fail the job."""
+    if isinstance(a, str) and isinstance(b, str):
+        return F.expr(f"zip_with(`{a}`, `{b}`, (x, y) -> coalesce(x + y, {_WRONG}))")
+    return F.zip_with(_col(a), _col(b), lambda x, y: _paired(x + y))
 
 
 def vec_mul(a: Column | str, b: Column | str) -> Column:
-    """Element-wise product."""
-    return F.zip_with(_col(a), _col(b), lambda x, y: x * y)
+    """Element-wise product. A null vector gives null; other widths or a null element fail the job."""
+    return F.zip_with(_col(a), _col(b), lambda x, y: _paired(x * y))
 
 
 def vec_scale(a: Column | str, factor: Column | float) -> Column:
@@ -55,27 +62,28 @@ def vec_preview(v: Column | str, n: int = 5) -> Column:
     return F.slice(_col(v), 1, n)
 
 
-def normalise(v: Column | str, gain: Column, bias: Column, eps: float = NORM_EPSILON) -> Column:
-    """`(v - mean) / sqrt(population variance + eps) * gain + bias`."""
-    vec = _col(v)
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x)
-    width = F.size(vec).cast("double")
-    return bind(
-        total(vec) / width,
-        lambda mean: bind(
-            F.transform(vec, lambda x: x - mean),
-            lambda centred: bind(
-                F.sqrt(inner_product(centred, centred) / width + F.lit(eps)),
-                lambda sd: vec_add(vec_mul(F.transform(centred, lambda x: x / sd), gain), bias),
-            ),
-        ),
-    )
+_WRONG = "raise_error('vectors differ in width or have a null element')"
+
+
+def normalise(v: str, gain: str, bias: str, eps: float = NORM_EPSILON) -> Column:
+    """`(v - mean) / sqrt(population variance + eps) * gain + bias` of three columns by name.
+
+    One SQL expression: nested lambdas are slow to build one by one.
+    """
+    once = lambda value, name, body: f"get(transform(array({value}), {name} -> {body}), 0)"
+    scaled = f"zip_with(transform(c, x -> x / s), `{gain}`, (x, y) -> coalesce(x * y, {_WRONG}))"
+    moved = f"zip_with({scaled}, `{bias}`, (x, y) -> coalesce(x + y, {_WRONG}))"
+    spread = f"sqrt(aggregate(c, 0D, (a, x) -> a + x * x) / size(c) + {eps!r}D)"
+    centred = once(f"transform(`{v}`, x -> x - m)", "c", once(spread, "s", moved))
+    return F.expr(once(f"aggregate(`{v}`, 0D, (a, x) -> a + x) / size(`{v}`)", "m", centred))
 
 
 def gelu(v: Column | str) -> Column:
     """tanh form of GELU on every element."""
+    if isinstance(v, str):
+        return F.expr(f"transform(`{v}`, x -> 0.5D * x * (1D + tanh({GELU_SCALE}D * (x + {GELU_CUBIC}D * x * x * x))))")
     return F.transform(
-        _col(v),
+        v,
         lambda x: F.lit(0.5)
         * x
         * (F.lit(1.0) + F.tanh(F.lit(GELU_SCALE) * (x + F.lit(GELU_CUBIC) * x * x * x))),

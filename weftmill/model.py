@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from weftmill.functions.vectors import NORM_EPSILON
 from weftmill.lineage import fits
-from weftmill.sources.tables import MODEL_SCHEMAS, read_model_table, write_model_table
+from weftmill.sources.loading import current_version, load_tables
+from weftmill.sources.tables import MODEL_SCHEMAS, model_specs, read_model_table, write_model_table
 
 # A model is broadcast to the workers when its tables have at most this many bytes together, a single
 # table when it has at most this many.
@@ -42,9 +43,12 @@ class Model:
     n_block: int
     eps: float = NORM_EPSILON
     _shared: SharedParameters | None = field(default=None, repr=False)
+    _single: dict[str, SharedParameters | None] = field(default_factory=dict, repr=False)
 
     @classmethod
     def read(cls, spark: SparkSession, folder: str, n_head: int, n_block: int) -> Model:
+        """Tables that `write` or `load` has left in `folder`; of loaded ones the current version."""
+        folder = current_version(spark, folder) or folder
         tables = {n: read_model_table(spark, f"{folder}/{n}", n) for n in MODEL_SCHEMAS}
         return cls(tables, n_head, n_block)
 
@@ -52,17 +56,42 @@ class Model:
         for name, df in self.tables.items():
             write_model_table(df, f"{folder}/{name}")
 
+    def load(self, folder: str) -> str:
+        """Write all tables as a new checked version of `folder` (see `loading.load_tables`); its path."""
+        sizes = {n: (self.tables[n].select(F.size("values").alias("n")).first() or [0])[0] for n in ("wpe", "mlp_c_proj_w")}
+        return load_tables(self.tables, folder, model_specs(sizes["wpe"], sizes["mlp_c_proj_w"]))
+
     def table(self, name: str, block: int | None = None) -> DataFrame:
         df = self.tables[name]
         return df if block is None else df.filter(F.col("block") == block)
 
+    def shared_table(self, name: str) -> SharedParameters | None:
+        """One table as broadcast arrays, read once per model; None when it is beyond the bound of a table."""
+        if self._shared is not None:
+            return self._shared
+        if name not in self._single:
+            df = self.tables[name]
+            shared = SharedParameters(df.sparkSession, {name: collect_matrix(df)[0]}) if table_fits(df) else None
+            self._single[name] = shared
+        return self._single[name]
+
+    def fits(self) -> bool:
+        """Whether all parameters can be broadcast together."""
+        if self._shared is None:
+            found = self._sizes()
+            return sum(found.values()) <= MAX_MODEL_BYTES and max(found.values(), default=0) <= MAX_TABLE_BYTES
+        return True
+
+    def _sizes(self) -> dict[str, int]:
+        stacked = reduce(DataFrame.unionByName, (_keyed(n, df) for n, df in self.tables.items()))
+        sizes = stacked.groupBy("name").agg(F.sum(F.size("values") * 8).alias("bytes"))
+        return {name: size or 0 for name, size in sizes.collect()}
+
     def shared(self) -> SharedParameters:
         """All parameters as broadcast arrays; an error when they are beyond the bound together (the
         relational operators take any size)."""
         if self._shared is None:
-            stacked = reduce(DataFrame.unionByName, (_keyed(n, df) for n, df in self.tables.items()))
-            sizes = stacked.groupBy("name").agg(F.sum(F.size("values") * 8).alias("bytes"))
-            found = {name: size or 0 for name, size in sizes.collect()}
+            found = self._sizes()
             if sum(found.values()) > MAX_MODEL_BYTES or max(found.values(), default=0) > MAX_TABLE_BYTES:
                 raise ValueError(f"{found} bytes of parameters are too many to broadcast; use method='relational'")
             arrays: dict[str, dict[int, np.ndarray]] = {}
@@ -72,7 +101,7 @@ class Model:
                 arrays[name], ids = _matrices(part, _row_key(df) is not None)
                 if name in ("wte", "wpe"):
                     arrays[f"{name}_id"] = {0: ids}
-            self._shared = SharedParameters(stacked.sparkSession, arrays)
+            self._shared = SharedParameters(df.sparkSession, arrays)
         return self._shared
 
 
@@ -106,6 +135,8 @@ def _matrices(rows: pa.Table, is_matrix: bool) -> tuple[dict[int, np.ndarray], n
         at = np.flatnonzero(blocks == b)
         at = at[np.argsort(ids[at], kind="stable")]
         order = ids[at]
+        if not is_matrix and len(at) > 1:
+            raise ValueError(f"one parameter row expected for block {b}, found {len(at)}")
         out[int(b)] = matrix[at] if is_matrix else matrix[at[0]]
     return out, order
 

@@ -8,6 +8,9 @@ all groups by `seq_id` are bounded by the model, not by the data.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,9 +24,9 @@ from weftmill.functions.vectors import (
     safe_exp,
     vec_add,
 )
-from weftmill.lineage import lookup, ordered, salted_join
+from weftmill.lineage import lookup, ordered
 from weftmill.model import collect_matrix, table_fits
-from weftmill.operators.ingest import transpose_row_vectors
+from weftmill.operators.matrix import block_product
 from weftmill.operators.vectors import sum_elements
 
 
@@ -61,16 +64,17 @@ def embed_dropped(tokens: DataFrame, wte: DataFrame, wpe: DataFrame) -> DataFram
 
 
 def with_parameter(df: DataFrame, table: DataFrame, name: str) -> DataFrame:
-    """Attach the single vector of a one-row table as column `name`."""
-    one = table.select(F.lit(0).alias("_one"), F.col("values").alias(name))
-    return df.withColumn("_one", F.lit(0)).join(F.broadcast(one), "_one").drop("_one")
+    """Attach the single vector of a one-row table as column `name`: a scalar subquery, evaluated once and
+    without a join. A table of any other number of rows fails the job."""
+    none = F.raise_error(F.lit(f"no parameter row for {name}"))
+    return df.withColumn(name, F.coalesce(table.select("values").scalar(), none))
 
 
 def layer_norm(df: DataFrame, gain: DataFrame, bias: DataFrame, eps: float = NORM_EPSILON) -> DataFrame:
     """Normalise `values` per row with population variance. Map side only."""
     keys = [c for c in df.columns if c != "values"]
     wide = with_parameter(with_parameter(df, gain, "_g"), bias, "_b")
-    return wide.select(*keys, normalise("values", F.col("_g"), F.col("_b"), eps).alias("values"))
+    return wide.select(*keys, normalise("values", "_g", "_b", eps).alias("values"))
 
 
 def linear(df: DataFrame, weights: DataFrame, bias: DataFrame, method: str = "auto") -> DataFrame:
@@ -78,37 +82,40 @@ def linear(df: DataFrame, weights: DataFrame, bias: DataFrame, method: str = "au
 
     `auto`: `arrow` while the weights are within the broadcast bound, else `shuffle`.
     `arrow`: one matrix product per Arrow batch against broadcast weights. No shuffle.
-    `packed`: weights as one array-of-arrays row, higher-order functions only. No shuffle.
-    `shuffle`: elements joined to weight columns and summed per row; weights of any size.
+    `packed`: weights as one array-of-arrays row, higher-order functions only. No shuffle; an error beyond
+    the bound.
+    `shuffle`: rows and weights cut into a grid of blocks, see `matrix.block_product`; weights of any size.
     """
     keys = [c for c in df.columns if c != "values"]
     row_key = next(c for c in weights.columns if c not in ("block", "values"))
+    if method not in ("auto", "arrow", "packed", "shuffle"):
+        raise ValueError(f"unknown method {method!r}")
     if method == "auto":
         method = "arrow" if table_fits(weights) else "shuffle"
     if method == "arrow":
         sc = df.sparkSession.sparkContext
         w = sc.broadcast(next(iter(collect_matrix(weights)[0].values())))
         b = sc.broadcast(next(iter(collect_matrix(bias)[0].values())))
-        column = kernels.linear_column(lambda: w.value, lambda: b.value)
-        # The generator keeps the optimizer from merging nested higher-order functions into the
-        # arguments of the Arrow function, from where Spark 4.1 does not extract it.
-        held = df.select(*keys, F.explode(F.array("values")).alias("values"))
-        return held.select(*keys, column("values").alias("values"))
+        return linear_shared(df, lambda: w.value, lambda: b.value)
     if method == "packed":
+        if not table_fits(weights):
+            raise ValueError("the weights are too large to broadcast; use method='shuffle'")
         packed = weights.agg(ordered(row_key, "values").alias("values"))
         wide = with_parameter(with_parameter(df, packed, "_w"), bias, "_b")
         product = F.transform("_w", lambda w: inner_product(F.col("values"), w))
         return wide.select(*keys, vec_add(product, "_b").alias("values"))
-    if method != "shuffle":
-        raise ValueError(f"unknown method {method!r}")
-    n_out = weights.count()
-    columns = transpose_row_vectors(weights, row_key, "values").withColumnRenamed("values", "_w")
-    elements = df.select(*keys, F.posexplode("values").alias("_i", "_x"))
-    joined = salted_join(
-        elements, columns.withColumnRenamed("place", "_i"), "_i", keys
+    return with_parameter(block_product(df, weights, row_key), bias, "_b").select(
+        *keys, vec_add("values", "_b").alias("values")
     )
-    summed = joined.groupBy(*keys).agg(sum_elements("_w", n_out, F.col("_x")).alias("values"))
-    return with_parameter(summed, bias, "_b").select(*keys, vec_add("values", "_b").alias("values"))
+
+
+def linear_shared(df: DataFrame, weights: Callable[[], np.ndarray], bias: Callable[[], np.ndarray]) -> DataFrame:
+    """The same against arrays that have been broadcast already; the calls give them in the worker."""
+    keys = [c for c in df.columns if c != "values"]
+    # The generator keeps the optimizer from merging nested higher-order functions into the
+    # arguments of the Arrow function, from where Spark 4.1 does not extract it.
+    held = df.select(*keys, F.explode(F.array("values")).alias("values"))
+    return held.select(*keys, kernels.linear_column(weights, bias)("values").alias("values"))
 
 
 def split_heads(df: DataFrame, n_head: int) -> DataFrame:

@@ -2,27 +2,30 @@
 
 Two ways with equal results. `arrow` packs each sequence into one row and runs every sublayer
 as an Arrow column function against broadcast parameters: one shuffle for the whole pass, whatever
-the number of blocks. `relational` composes the operators of `operators.layers` with joins, windows
-and aggregations, and takes parameters of any size.
+the number of blocks. `relational` keeps places as rows: attention goes by tiles of places with a merged
+softmax, and a weight table that can't be broadcast is multiplied block by block, so sequences and parameters
+are of any size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftmill.functions import kernels
 from weftmill.functions.vectors import vec_add
-from weftmill.lineage import cut
 from weftmill.model import Model
+from weftmill.operators.attention import TILE, tiled_attention
 from weftmill.operators.layers import (
-    add_rows,
-    attention_output,
     attention_scores,
     embed,
     gelu_rows,
     layer_norm,
     linear,
+    linear_shared,
     pack_sequences,
     softmax,
     split_heads,
@@ -56,19 +59,32 @@ def model_width(model: Model) -> int:
     return model.table("wpe").select(F.size("values").alias("n")).first()["n"]
 
 
+def project(df: DataFrame, model: Model, name: str, block: int) -> DataFrame:
+    """`values` through one linear layer of a block: against broadcast weights, read once per model, or block
+    by block when the table is beyond the bound."""
+    weights, bias = model.shared_table(f"{name}_w"), model.shared_table(f"{name}_b")
+    if weights is None or bias is None:
+        return linear(df, model.table(f"{name}_w", block), model.table(f"{name}_b", block), "shuffle")
+    return linear_shared(df, lambda: weights.of(f"{name}_w", block), lambda: bias.of(f"{name}_b", block))
+
+
 def multi_head_attention(
-    df: DataFrame, model: Model, block: int, residual: bool = True, method: str = "arrow"
+    df: DataFrame, model: Model, block: int, residual: bool = True, method: str = "arrow", tile: int = TILE
 ) -> DataFrame:
-    """Attention sublayer; without `residual` the input is not added back."""
+    """Attention sublayer; without `residual` the input is not added back.
+
+    The relational way evaluates q, k and v once, carries the input along as a column, and shuffles once to
+    put tiles together (once more for sequences of several tiles).
+    """
     if not _relational(method):
         column = kernels.attention_column(model.shared(), block, model.n_head, model.eps, residual)
         return _on_packed(df, column)
-    t = lambda name: model.table(name, block)
-    # Read three times (q, k and v), evaluated once.
-    heads = cut(attention_heads(df, model, block))
-    mixed = attention_output(attention_weights(heads), heads, model_width(model) // model.n_head)
-    out = linear(mixed, t("c_proj_w"), t("c_proj_b"))
-    return add_rows(out, df) if residual else out
+    held = df.select("seq_id", "place", "values", *([F.col("values").alias("_input")] if residual else []))
+    normed = layer_norm(held, model.table("ln_1_g", block), model.table("ln_1_b", block), model.eps)
+    qkv = project(normed, model, "c_attn", block)
+    mixed = tiled_attention(qkv, model.n_head, "_input" if residual else None, tile)
+    out = project(mixed, model, "c_proj", block)
+    return out.select("seq_id", "place", vec_add("values", "_input").alias("values")) if residual else out
 
 
 def feed_forward(df: DataFrame, model: Model, block: int, method: str = "arrow") -> DataFrame:
@@ -77,18 +93,24 @@ def feed_forward(df: DataFrame, model: Model, block: int, method: str = "arrow")
     if not _relational(method):
         column = kernels.feed_forward_column(model.shared(), block, model.eps, kernels.VECTOR)
         return df.withColumn("values", column("values"))
-    t = lambda name: model.table(name, block)
-    normed = layer_norm(df.withColumn("_input", F.col("values")), t("ln_2_g"), t("ln_2_b"), model.eps)
-    up = gelu_rows(linear(normed, t("mlp_c_fc_w"), t("mlp_c_fc_b")))
-    down = linear(up, t("mlp_c_proj_w"), t("mlp_c_proj_b"))
+    held = df.withColumn("_input", F.col("values"))
+    normed = layer_norm(held, model.table("ln_2_g", block), model.table("ln_2_b", block), model.eps)
+    down = project(gelu_rows(project(normed, model, "mlp_c_fc", block)), model, "mlp_c_proj", block)
     return down.select(*[c for c in df.columns if c != "values"], vec_add("values", "_input").alias("values"))
 
 
+def block_functions(model: Model, blocks: range | None = None) -> list[Callable[[Column], Column]]:
+    """The sublayers of some blocks (of all by default) as functions of a packed-sequence column."""
+    p, out = model.shared(), []
+    for block in range(model.n_block) if blocks is None else blocks:
+        out.append(kernels.attention_column(p, block, model.n_head, model.eps, True))
+        out.append(kernels.feed_forward_column(p, block, model.eps, kernels.SEQUENCE))
+    return out
+
+
 def block_column(model: Model, block: int, rows: Column) -> Column:
     """One block on a packed-sequence column."""
-    p = model.shared()
-    attended = kernels.attention_column(p, block, model.n_head, model.eps, True)(rows)
-    return kernels.feed_forward_column(p, block, model.eps, kernels.SEQUENCE)(attended)
+    return reduce(lambda r, function: function(r), block_functions(model, range(block, block + 1)), rows)
 
 
 def transformer_block(df: DataFrame, model: Model, block: int, method: str = "arrow") -> DataFrame:
@@ -100,9 +122,7 @@ def transformer_block(df: DataFrame, model: Model, block: int, method: str = "ar
 
 
 def _all_blocks(model: Model, rows: Column) -> Column:
-    for block in range(model.n_block):
-        rows = block_column(model, block, rows)
-    return rows
+    return reduce(lambda r, function: function(r), block_functions(model), rows)
 
 
 def transform(df: DataFrame, model: Model, method: str = "arrow") -> DataFrame:
@@ -110,10 +130,8 @@ def transform(df: DataFrame, model: Model, method: str = "arrow") -> DataFrame:
     if not _relational(method):
         return _on_packed(df, lambda rows: _all_blocks(model, rows))
     for block in range(model.n_block):
-        # The block input is read twice (norm and residual), so the state is written between
-        # sublayers: the plan stays linear in the number of blocks.
-        df = cut(multi_head_attention(df, model, block, method=method))
-        df = cut(feed_forward(df, model, block, method=method))
+        # Each block is read once by the next, up to the tiles that its attention writes.
+        df = transformer_block(df, model, block, method)
     return df
 
 
@@ -121,13 +139,17 @@ def final_norm(df: DataFrame, model: Model) -> DataFrame:
     return layer_norm(df, model.table("ln_f_g"), model.table("ln_f_b"), model.eps)
 
 
-def encode_sequences(tokens: DataFrame, model: Model, method: str = "arrow") -> DataFrame:
+def encode_sequences(tokens: DataFrame, model: Model, method: str = "auto") -> DataFrame:
     """`(seq_id, place, token)` through embedding, all blocks and the final norm.
 
+    `auto`: `arrow` while all parameters can be broadcast together, else `relational`.
+
     The Arrow way brings the token ids of a sequence together and embeds them afterwards: the one
     shuffle moves a few bytes per token and never a vector. Places past the place table, which
     embedding drops, are left out before, so that no sequence is longer than that table.
     """
+    if method == "auto":
+        method = "arrow" if model.fits() else "relational"
     if _relational(method):
         rows = embed(tokens, model.table("wte"), model.table("wpe"))
         return final_norm(transform(rows, model, method), model)
