@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftmill.functions import kernels
-from weftmill.functions.vectors import safe_exp
+from weftmill.functions.vectors import EXP_UNDERFLOW, safe_exp
 from weftmill.lineage import cut, fits
 from weftmill.model import collect_matrix
 
@@ -150,3 +150,27 @@ def weighted_sample(intervals: DataFrame, u: Column, mode: str = "rows") -> Data
     )
 
 
+def draw_token(candidates: str, top_n: str, temperature: str, u: str) -> Column:
+    """The token that `u` draws from a row's candidate array `array<struct<token, value>>`, best first: softmax
+    of the first `top_n` at the row's temperature, adjoining intervals in `(softmax, token)` order, and the
+    first one whose end lies above `u`, else the last. As `temperature_softmax`, `cumulative_intervals` and
+    `weighted_sample` one after the other, inside the row: no window and no shuffle. Null without candidates.
+
+    The arguments are column names; one SQL expression, since nested lambdas are slow to build one by one.
+    """
+    once = lambda value, name, body: f"get(transform(array({value}), {name} -> {body}), 0)"
+    kept = f"slice({candidates}, 1, greatest({top_n}, 0))"
+    diff = f"(c.value - h) / {temperature}"
+    power = f"if({diff} < {EXP_UNDERFLOW}D, 0D, exp({diff}))"
+    powers = once(
+        f"array_max(transform({kept}, c -> c.value))", "h",
+        f"transform({kept}, c -> struct({power} AS e, cast(c.token AS bigint) AS token))",
+    )
+    chances = once("aggregate(p, 0D, (a, r) -> a + r.e)", "t", "array_sort(transform(p, r -> struct(r.e / t AS softmax, r.token AS token)))")
+    # Until an interval ends above u the token so far is the last one.
+    picked = f"""aggregate(
+      {chances}, named_struct('high', 0D, 'token', cast(NULL AS bigint), 'done', false),
+      (a, r) -> named_struct('high', a.high + r.softmax, 'token', if(a.done, a.token, r.token),
+                             'done', a.done OR {u} < a.high + r.softmax),
+      a -> a.token)"""
+    return F.expr(once(powers, "p", picked))

@@ -5,23 +5,17 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from weftmill.functions import kernels
-from weftmill.lineage import cut
+from weftmill.lineage import cut, remove_cut
 from weftmill.model import Model
 from weftmill.operators.layers import sequence_rows
-from weftmill.operators.ranking import (
-    cumulative_intervals,
-    last_place,
-    temperature_softmax,
-    top_n_by_inner_product,
-    uniform,
-    weighted_sample,
-)
+from weftmill.operators.ranking import draw_token, last_place, top_n_by_inner_product, uniform
 from weftmill.operators.tokens import decode_sequences, text_sequences
-from weftmill.plans.forward import block_column, encode_sequences
+from weftmill.plans.forward import block_functions, encode_sequences
+from weftmill.sources.bucketed import BucketedTable
 
 # Fixed id of the end-of-text token.
 END_OF_TEXT = 50256
@@ -40,17 +34,20 @@ def model_scorer(model: Model, top_n: int) -> ScoreFn:
     gets no candidates.
     """
     params = model.shared()
+    # Made once: a function is serialised when it is first used and not again in each step.
+    embed = kernels.embed_prompt_column(params)
+    blocks = block_functions(model)
     norm = kernels.norm_column(params, "ln_f_g", "ln_f_b", 0, model.eps, kernels.SEQUENCE)
     top = kernels.top_column(lambda: (params.of("wte_id"), params.of("wte")), top_n)
 
     def score(tokens: Column) -> Column:
         # Past the place table a sequence has no last vector: nothing of it is computed.
-        live = F.when(F.size(tokens) <= len(params.of("wpe")), tokens)
-        rows = kernels.embed_prompt_column(params)(live)
-        for block in range(model.n_block):
-            rows = block_column(model, block, rows)
+        rows = embed(F.when(F.size(tokens) <= len(params.of("wpe")), tokens))
+        for function in blocks:
+            rows = function(rows)
         return top(norm(kernels.tail(rows)))
 
+    score.top_n = top_n
     return score
 
 
@@ -68,6 +65,57 @@ class RelationalScorer:
         return top_n_by_inner_product(last, self.model.table("wte"), self.top_n)
 
 
+OPTIONS = {"threshold": "int", "top_n": "int", "temperature": "double", "eos": "long"}
+
+
+def _first_state(prompts: DataFrame, defaults: dict) -> DataFrame:
+    """`(seq_id, input, original_length, options, active)`: options are the prompt's own columns where it has
+    them (a null means the default), else the run's."""
+    settings = []
+    for name, kind in OPTIONS.items():
+        default = F.lit(defaults[name]).cast(kind)
+        own = F.coalesce(F.col(name).cast(kind), default) if name in prompts.columns else default
+        settings.append(own.alias(name))
+    rows = prompts.select("seq_id", "input", F.size("input").alias("original_length"), *settings)
+    return rows.withColumn("active", F.col("threshold") > 0)
+
+
+def _spread(written: DataFrame) -> tuple[DataFrame, dict]:
+    """The written first state dealt out over tasks, and what all sequences together ask for."""
+    asked = written.agg(
+        F.count(F.lit(1)).alias("n"), F.max("threshold").alias("steps"), F.max("top_n").alias("top_n"),
+        F.coalesce(F.count_if("active"), F.lit(0)).alias("active"),
+    ).first().asDict()
+    cores = written.sparkSession.sparkContext.defaultParallelism
+    asked["tasks"] = max(cores, math.ceil(asked["n"] / SEQUENCES_PER_TASK))
+    return written.repartition(asked["tasks"]), asked
+
+
+def _check_scorer(score: object, asked: dict) -> None:
+    held = getattr(score, "top_n", None)
+    if held is not None and (asked["top_n"] or 0) > held:
+        raise ValueError(f"a prompt asks for {asked['top_n']} candidates, the scorer gives {held}")
+
+
+def _advanced(scored: DataFrame, u: Column, *more: str) -> tuple[DataFrame, int]:
+    """The next state from one with `_c`, the candidates of the active sequences: written, with the number of
+    sequences that are still active (counted while writing)."""
+    drawn = scored.withColumn("_u", u).withColumn("_token", draw_token("_c", "top_n", "temperature", "_u"))
+    goes_on = F.col("active") & F.coalesce(F.col("_token") != F.col("eos"), F.lit(False))
+    grown = F.when(goes_on, F.array_append("input", F.col("_token").cast("int"))).otherwise(F.col("input"))
+    state = drawn.select("seq_id", grown.alias("input"), "original_length", *OPTIONS, goes_on.alias("_on"), *more)
+    short = F.size("input") < F.col("original_length") + F.col("threshold")
+    state = state.withColumn("active", F.col("_on") & short).drop("_on")
+    seen = Observation()
+    written = cut(state.observe(seen, F.coalesce(F.count_if("active"), F.lit(0)).alias("active")))
+    return written, seen.get["active"]
+
+
+def _finished(state: DataFrame, *more: str) -> DataFrame:
+    full = F.size("input") == F.col("original_length") + F.col("threshold")
+    return state.select("seq_id", "input", "original_length", full.alias("complete"), *more)
+
+
 def generate(
     prompts: DataFrame,
     score: ScoreFn | RelationalScorer,
@@ -78,70 +126,121 @@ def generate(
     seed: int = 20231231,
     draw: Callable[[int], Column] | None = None,
 ) -> DataFrame:
-    """`(seq_id, input)` to `(seq_id, input, original_length, complete)`.
+    """`(seq_id, input[, options])` to `(seq_id, input, original_length, complete)`.
 
     Each step scores the unfinished sequences, draws one token for each and appends it. A
     sequence ends early on the end-of-text token (which is not appended) or without candidates;
     `complete` says that all `threshold` tokens were added. The state is written after every step,
-    so a lost executor repeats at most one step.
+    so a lost executor repeats at most one step; the state before is deleted then.
+
+    `threshold`, `eos`, `top_n` and `temperature` hold for the sequences whose row has no column of that name
+    (or a null in it), so one run may mix settings; sequences end at steps of their own. The scorer has to give
+    as many candidates as any row asks for. A `top_n` below one gives no candidate.
 
     `draw(step)` gives the uniform number of a sequence; by default a hash of seed, sequence and
-    step. With `top_n = 1` the only candidate has probability 1 and no draw is needed.
+    step. Drawing happens inside the row, from its candidate array.
     """
     draw = draw or (lambda step: uniform(seed, "seq_id", F.lit(step)))
-    state = cut(
-        prompts.select(
-            "seq_id", "input", F.size("input").alias("original_length"), F.lit(True).alias("active")
-        )
-    )
-    cores = state.sparkSession.sparkContext.defaultParallelism
-    state = state.repartition(max(cores, math.ceil(state.count() / SEQUENCES_PER_TASK)))
-    for step in range(threshold):
-        if state.filter("active").isEmpty():
+    defaults = {"threshold": threshold, "top_n": top_n, "temperature": temperature, "eos": eos}
+    written = cut(_first_state(prompts, defaults))
+    state, asked = _spread(written)
+    _check_scorer(score, asked)
+    active = asked["active"]
+    for step in range(asked["steps"] or 0):
+        if not active:
             break
-        if top_n == 1 and not isinstance(score, RelationalScorer):
-            live = F.when(F.col("active"), F.col("input"))
-            drawn = state.withColumn("_c", score(live)).withColumn(
-                "token", F.get("_c", F.lit(0))["token"]
-            )
+        if isinstance(score, RelationalScorer):
+            rows = score(state.filter("active").select("seq_id", "input"))
+            best = F.sort_array(F.collect_list(F.struct((-F.col("value")).alias("low"), "token", "value")))
+            lists = rows.groupBy("seq_id").agg(F.transform(best, lambda c: F.struct(c["token"], c["value"])).alias("_c"))
+            scored = state.join(lists, "seq_id", "left")
         else:
-            active = state.filter("active")
-            if isinstance(score, RelationalScorer):
-                rows = cut(score(active.select("seq_id", "input")))
+            scored = state.withColumn("_c", score(F.when(F.col("active"), F.col("input"))))
+        spent = written
+        written, active = _advanced(scored, draw(step))
+        state = written
+        remove_cut(spent)
+    return _finished(state)
+
+
+def generate_cached(
+    prompts: DataFrame,
+    model: Model,
+    candidates: int = 1,
+    threshold: int = 10,
+    eos: int = END_OF_TEXT,
+    top_n: int = 1,
+    temperature: float = 2.0,
+    seed: int = 20231231,
+    draw: Callable[[int], Column] | None = None,
+) -> DataFrame:
+    """As `generate` with the model as scorer (`candidates` of them), but a step only sends the newest place of
+    each sequence through the blocks. `(seq_id, input, original_length, complete, n_scored)`, `n_scored` being
+    the places that went through the blocks for the sequence.
+
+    Keys and values of all places and blocks are kept in a table of their own, bucketed by sequence, to which a step
+    appends its one new place per sequence: nothing kept is ever rewritten, and a step reads it without a
+    shuffle. What a sequence keeps is bounded by the place table. The first pass scores the whole prompt.
+    """
+    draw = draw or (lambda step: uniform(seed, "seq_id", F.lit(step)))
+    defaults = {"threshold": threshold, "top_n": top_n, "temperature": temperature, "eos": eos}
+    written = cut(_first_state(prompts, defaults))
+    state, asked = _spread(written)
+    if (asked["top_n"] or 0) > candidates:
+        raise ValueError(f"a prompt asks for {asked['top_n']} candidates, the scorer is set to {candidates}")
+    active, params = asked["active"], model.shared()
+    shape = (params, model.n_block, model.n_head, model.eps, candidates)
+    first, later = kernels.scored_prompt_column(*shape), kernels.scored_place_column(*shape)
+    kept = BucketedTable(state.sparkSession, "seq_id", "place", asked["tasks"])
+    # Past the place table a sequence has no last vector: nothing of it is computed.
+    fits = F.when(F.col("active") & (F.size("input") <= len(params.of("wpe"))), F.col("input"))
+    newest = [F.when(F.col("active"), c) for c in (F.element_at("input", -1), F.size("input") - 1)]
+    in_order = F.expr("transform(sort_array(collect_list(struct(place, kv))), r -> r.kv)").alias("_kept")
+    state = state.withColumn("n_scored", F.lit(0).cast("long"))
+    try:
+        for step in range(asked["steps"] or 0):
+            if not active:
+                break
+            if step == 0:
+                scored = state.withColumn("_s", first(fits)).withColumn("kv", F.col("_s.kv"))
             else:
-                rows = active.select("seq_id", F.inline(score(F.col("input"))))
-            chances = temperature_softmax(rows, [temperature])
-            sample = weighted_sample(cumulative_intervals(chances), draw(step))
-            drawn = state.join(sample, "seq_id", "left")
-        goes_on = F.col("active") & F.coalesce(F.col("token") != eos, F.lit(False))
-        grown = F.array_append("input", F.col("token").cast("int"))
-        state = cut(
-            drawn.select(
-                "seq_id",
-                F.when(goes_on, grown).otherwise(F.col("input")).alias("input"),
-                "original_length",
-                goes_on.alias("active"),
-            )
-        )
-    full = F.size("input") == F.col("original_length") + F.lit(threshold)
-    return state.select("seq_id", "input", "original_length", full.alias("complete"))
+                joined = state.drop("kv").join(kept.table.groupBy("seq_id").agg(in_order), "seq_id", "left")
+                scored = joined.withColumn("_s", later(*newest, "_kept"))
+                scored = scored.withColumn("kv", F.when(F.col("_s.kv").isNotNull(), F.array("_s.kv")))
+            scored = scored.withColumn("n_scored", F.col("n_scored") + F.greatest(F.coalesce(F.size("kv"), F.lit(0)), F.lit(0)))
+            scored = scored.withColumn("place", F.lit(0) if step == 0 else F.size("input") - 1).withColumn("_c", F.col("_s.candidates"))
+            spent = written
+            # Written once with the new keys and values, which only the append below reads.
+            written, active = _advanced(scored, draw(step), "n_scored", "place", "kv")
+            state = written
+            if active:
+                places = written.filter("active").select("seq_id", "place", F.posexplode("kv").alias("_at", "kv"))
+                kept.append(places.select("seq_id", (F.col("place") + F.col("_at")).alias("place"), "kv"))
+            remove_cut(spent)
+    finally:
+        kept.drop()
+    return _finished(state, "n_scored")
 
 
 def complete_prompts(
     prompts: DataFrame,
     text_col: str,
     vocab: DataFrame,
-    score: ScoreFn,
+    score: ScoreFn | RelationalScorer | Model,
     partial: bool = False,
     **options,
 ) -> DataFrame:
-    """`(seq_id, text)` to `(seq_id, bytes, response)`: prompt and generated text.
+    """`(seq_id, text[, options])` to `(seq_id, bytes, response)`: prompt and generated text.
 
     One row per prompt. A sequence that ended early has null `bytes` and `response`, unless
-    `partial` is set. `options` go to `generate`.
+    `partial` is set. With a scorer `options` go to `generate`, with a model to `generate_cached`; a prompt's
+    own columns `threshold`, `eos`, `top_n` and `temperature` go before them.
     """
     start = text_sequences(prompts, text_col, ["seq_id"], vocab)
-    grown = generate(start, score, **options)
+    own = [c for c in OPTIONS if c in prompts.columns]
+    if own:
+        start = start.join(prompts.select("seq_id", *own), "seq_id")
+    grown = (generate_cached if isinstance(score, Model) else generate)(start, score, **options)
     kept = grown if partial else grown.filter("complete")
     decoded = decode_sequences(kept, vocab, "input", ["seq_id"])
     return prompts.select("seq_id").join(decoded, "seq_id", "left")
