@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -18,12 +20,13 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle  # noqa: E402
 from weftmill import fixtures  # noqa: E402
 from weftmill.functions import vectors as V  # noqa: E402
+from weftmill.lineage import checkpoint_root, cut  # noqa: E402
 from weftmill.model import Model  # noqa: E402
-from weftmill.operators import bpe, ingest, layers, ranking, text, tokens  # noqa: E402
+from weftmill.operators import attention, bpe, ingest, layers, matrix, ordering, ranking, text, tokens  # noqa: E402
 from weftmill.operators import vectors as vops  # noqa: E402
 from weftmill.plans import forward, generation, reports  # noqa: E402
 from weftmill.session import configure  # noqa: E402
-from weftmill.sources.tables import read_table  # noqa: E402
+from weftmill.sources.tables import MODEL_SCHEMAS, read_json_dictionary, read_table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 TEMPERATURES = [0.5, 1, 2]
@@ -139,6 +142,27 @@ def q_validate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def q_load_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All parameter tables loaded as one checked job and read back by block, the vocabulary through JSON."""
+    folder = f"{checkpoint_root(spark)}/load-{uuid.uuid4().hex}"
+    model = _model(spark, sf_dir)
+    model.load(folder)
+    loaded = Model.read(spark, folder, model.n_head, model.n_block)
+    total = F.sum(F.aggregate("values", F.lit(0.0), lambda a, x: a + x))
+    found = []
+    for name, schema in MODEL_SCHEMAS.items():
+        block = F.col("block") if "block" in schema.names else F.lit(0)
+        rows = loaded.table(name).groupBy(block.cast("long").alias("block"))
+        found.append(rows.agg(F.count(F.lit(1)).alias("n_rows"), total.alias("total")).withColumn("table_name", F.lit(name)))
+    words = F.map_from_entries(F.collect_list(F.struct("cluster", "token")))
+    _vocab(spark, sf_dir).agg(F.to_json(words)).write.text(f"{folder}/vocabulary")
+    read = read_json_dictionary(spark, f"{folder}/vocabulary", "token", "cluster")
+    sums = read.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("token").cast("double").alias("total"))
+    found.append(sums.select(F.lit(0).cast("long").alias("block"), "*", F.lit("tokenizer").alias("table_name")))
+    rows = reduce(DataFrame.unionByName, found)
+    return rows.select("table_name", "block", "n_rows", _round("total").alias("total"))
+
+
 # --- Text ------------------------------------------------------------------------------------
 
 
@@ -313,6 +337,21 @@ def _linear_query(method: str) -> Query:
     return run
 
 
+def q_linear_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and weights in a grid of small blocks."""
+    x, m = _normed(spark, sf_dir)
+    product = matrix.block_product(x, m.table("c_attn_w", 0), "y", rows=64, out=48, inner=24)
+    biased = layers.with_parameter(product, m.table("c_attn_b", 0), "_b")
+    return _long(biased.select(*PLACE, V.vec_add("values", "_b").alias("values")), PLACE)
+
+
+def q_attention_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attention with the softmax merged over tiles of four places."""
+    x, m = _normed(spark, sf_dir)
+    qkv = layers.linear(x, m.table("c_attn_w", 0), m.table("c_attn_b", 0))
+    return _long(attention.tiled_attention(qkv, m.n_head, tile=4), PLACE)
+
+
 def _heads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Model]:
     x, m = _embedded(spark, sf_dir)
     return forward.attention_heads(x, m, 0), m
@@ -351,6 +390,8 @@ def q_attention_softmax_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_attention_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     heads, m = _heads(spark, sf_dir)
+    # Read three times (q, k and v), evaluated once.
+    heads = cut(heads)
     out = layers.attention_output(forward.attention_weights(heads), heads, WIDTH // m.n_head)
     return _long(out, PLACE)
 
@@ -495,6 +536,53 @@ def q_generate_relational(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_generate_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `generate_sampled`, with keys and values kept between the steps."""
+    out = generation.generate_cached(
+        _sequences(spark, sf_dir), _model(spark, sf_dir), candidates=3, threshold=oracle.SAMPLED_STEPS,
+        eos=oracle.SAMPLED_EOS, top_n=3, temperature=2.0, draw=arithmetic_draw,
+    )
+    return _generated(out)
+
+
+def _with_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences with settings of their own."""
+    return _sequences(spark, sf_dir).selectExpr(
+        "*", "1 + seq_id % 4 AS threshold", "1 + seq_id % 3 AS top_n",
+        "element_at(array(0.5D, 1D, 2D), cast(1 + seq_id % 3 AS int)) AS temperature",
+        f"if(seq_id % 2 = 0, {oracle.SAMPLED_EOS}, {NO_EOS}) AS eos",
+    )
+
+
+def q_generate_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Threshold, number of candidates, temperature and end token of each row's own."""
+    score = generation.model_scorer(_model(spark, sf_dir), 3)
+    return _generated(generation.generate(_with_options(spark, sf_dir), score, draw=arithmetic_draw))
+
+
+def q_generate_options_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _model(spark, sf_dir)
+    return _generated(generation.generate_cached(_with_options(spark, sf_dir), model, 3, draw=arithmetic_draw))
+
+
+def q_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantities of all line items up to each price; equal prices share their sum."""
+    rows = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    out = ordering.running_sum(rows, ["l_extendedprice"], "l_quantity")
+    return out.select(*_big("l_orderkey", "l_linenumber"), _round("running", 2).alias("running"))
+
+
+def q_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One part for every order, drawn by price from the running sum over all parts."""
+    parts = _table(spark, sf_dir, "part").selectExpr("p_partkey", "cast(round(p_retailprice * 100) AS bigint) AS cents")
+    sums = cut(ordering.running_sum(parts, ["cents", "p_partkey"], "cents", "high", frame="rows"))
+    total = sums.agg(F.max("high")).first()[0]
+    spans = sums.select("p_partkey", (F.col("high") - F.col("cents")).alias("low"), "high")
+    mixed = "(o_orderkey * 1103515245 + 12345) % 1048573"
+    draws = _table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"({mixed}) * {total}L div 1048573 AS u")
+    return ordering.interval_join(draws, "u", spans).select(*_big("o_orderkey", "p_partkey", "u", "low", "high"))
+
+
 def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "conversations").selectExpr("conv_id * 100000 + turn AS seq_id", "text")
 
@@ -547,6 +635,7 @@ def own_queries() -> dict[str, Query]:
         "transpose_row_vectors": q_transpose_row_vectors,
         "transpose_long": q_transpose_long,
         "validate_table": q_validate_table,
+        "load_parameters": q_load_parameters,
         "pretokenize": q_pretokenize,
         "byte_symbols": q_byte_symbols,
         "bpe_merge": q_bpe_merge,
@@ -578,12 +667,14 @@ def own_queries() -> dict[str, Query]:
         "linear": _linear_query("auto"),
         "linear_packed": _linear_query("packed"),
         "linear_shuffle": _linear_query("shuffle"),
+        "linear_blocks": q_linear_blocks,
         "split_heads": q_split_heads,
         "attention_scores": q_attention_scores,
         "attention_scores_full": q_attention_scores_full,
         "attention_softmax": q_attention_softmax,
         "attention_softmax_full": q_attention_softmax_full,
         "attention_output": q_attention_output,
+        "attention_merged": q_attention_merged,
         "multi_head_attention": _stage_query(lambda x, m: forward.multi_head_attention(x, m, 0)),
         "multi_head_attention_no_residual": _stage_query(
             lambda x, m: forward.multi_head_attention(x, m, 0, residual=False)
@@ -591,6 +682,9 @@ def own_queries() -> dict[str, Query]:
         "multi_head_attention_relational": _stage_query(
             lambda x, m: forward.multi_head_attention(x, m, 0, method="relational")
         ),
+        "multi_head_attention_tiled": _stage_query(
+            lambda x, m: forward.multi_head_attention(x, m, 0, method="relational", tile=4)
+        ),
         "feed_forward": _stage_query(lambda x, m: forward.feed_forward(x, m, 0)),
         "feed_forward_relational": _stage_query(
             lambda x, m: forward.feed_forward(x, m, 0, method="relational")
@@ -617,6 +711,11 @@ def own_queries() -> dict[str, Query]:
         "generate": q_generate,
         "generate_relational": q_generate_relational,
         "generate_sampled": q_generate_sampled,
+        "generate_cached": q_generate_cached,
+        "generate_options": q_generate_options,
+        "generate_options_cached": q_generate_options_cached,
+        "running_sum": q_running_sum,
+        "interval_join": q_interval_join,
         "complete_prompts": q_complete_prompts,
         "complete_prompts_blocks": q_complete_prompts_blocks,
     }

@@ -419,6 +419,84 @@ def generated_query(steps: int, top_n: int, eos: int) -> str:
     )
 
 
+def options_query(steps: int, most: int) -> str:
+    """Generation with settings per row: at most `steps` tokens and `most` candidates."""
+    ctes: Ctes = [
+        *BASE,
+        (
+            "s0",
+            f"""SELECT seq_id, list(token ORDER BY place) AS input, count(*) AS n, true AS active,
+                       1 + seq_id % 4 AS threshold, 1 + seq_id % 3 AS top_n,
+                       ([0.5::DOUBLE, 1, 2])[1 + seq_id % 3] AS temperature,
+                       CASE WHEN seq_id % 2 = 0 THEN {SAMPLED_EOS} ELSE -1 END AS eos
+                FROM seq GROUP BY seq_id""",
+        ),
+    ]
+    for t in range(steps):
+        p = f"o{t}_"
+        rows = f"SELECT seq_id, unnest(input) AS token, generate_subscripts(input, 1) - 1 AS place FROM s{t} WHERE active"
+        w = "OVER (PARTITION BY seq_id)"
+        ctes += [
+            (f"{p}rows", rows),
+            *forward_ctes(p, f"{p}rows"),
+            (
+                f"{p}last",
+                f'SELECT o.seq_id, o."values" FROM {p}out o JOIN s{t} s ON s.seq_id = o.seq_id AND o.place = len(s.input) - 1',
+            ),
+            top_cte(f"{p}best", f"{p}last", most),
+            (
+                f"{p}top",
+                f"""SELECT b.*, s.temperature FROM {p}best b JOIN s{t} s ON s.seq_id = b.seq_id
+                    QUALIFY row_number() OVER (PARTITION BY b.seq_id ORDER BY value DESC, token) <= any_value(s.top_n) OVER (PARTITION BY b.seq_id)""",
+            ),
+            (
+                f"{p}hot",
+                f"""SELECT seq_id, token, e / sum(e) {w} AS softmax
+                    FROM (SELECT *, CASE WHEN diff < -745.13 THEN 0 ELSE exp(diff) END AS e
+                          FROM (SELECT *, (value - max(value) {w}) / temperature AS diff FROM {p}top))""",
+            ),
+            interval_cte(f"{p}spans", f"{p}hot"),
+            draw_cte(f"{p}draw", f"{p}spans", t),
+            (
+                f"s{t + 1}",
+                f"""SELECT seq_id, CASE WHEN goes_on THEN list_append(input, token) ELSE input END AS input, n,
+                           goes_on AND len(input) + 1 < n + threshold AS active, threshold, top_n, temperature, eos
+                    FROM (SELECT s.*, d.token, s.active AND coalesce(d.token <> s.eos, false) AS goes_on
+                          FROM s{t} s LEFT JOIN {p}draw d ON d.seq_id = s.seq_id)""",
+            ),
+        ]
+    return with_(
+        ctes,
+        f"""SELECT seq_id, generate_subscripts(input, 1) - 1 AS place, unnest(input) AS token,
+                   len(input) = n + threshold AS complete FROM s{steps}""",
+    )
+
+
+def load_query() -> str:
+    parts = [
+        f"""SELECT '{name}' AS table_name, b::BIGINT AS block, count(*) AS n_rows, round(sum(list_sum("values")), 6) + 0.0 AS total
+            FROM {name} GROUP BY b"""
+        for name in MODEL_TABLES
+    ]
+    parts += [
+        f"""SELECT '{name}', 0, count(*), round(sum(list_sum("values")), 6) + 0.0 FROM {name}""" for name in ("wte", "wpe")
+    ]
+    parts.append("SELECT 'tokenizer', 0, count(*), sum(token)::DOUBLE FROM vocab")
+    return with_([*text_ctes()[:7], *BASE], "\nUNION ALL\n".join(parts), recursive=True)
+
+
+RUNNING_SUM = """SELECT l_orderkey, l_linenumber, round(sum(l_quantity) OVER (ORDER BY l_extendedprice), 2) AS running
+FROM lineitem"""
+INTERVAL_JOIN = """WITH sums AS (
+  SELECT p_partkey, cents, (sum(cents) OVER (ORDER BY cents, p_partkey ROWS UNBOUNDED PRECEDING))::BIGINT AS high
+  FROM (SELECT p_partkey, round(p_retailprice * 100)::BIGINT AS cents FROM part)
+), spans AS (SELECT p_partkey, high - cents AS low, high FROM sums),
+draws AS (
+  SELECT o_orderkey, ((o_orderkey * 1103515245 + 12345) % 1048573) * (SELECT max(high) FROM spans) // 1048573 AS u FROM orders
+)
+SELECT o_orderkey, p_partkey, u, low, high FROM draws JOIN spans ON u >= low AND u < high"""
+
+
 def prompts_query() -> str:
     start = """SELECT conv_id * 100000 + turn AS seq_id, list(token ORDER BY part_position, position) AS input,
                       count(*) AS n, true AS active FROM occ JOIN tok USING (part) GROUP BY ALL"""
@@ -526,6 +604,7 @@ def statements() -> dict[str, str]:
             f"""SELECT generate_subscripts(v, 1) - 1 AS place, vec_id AS row_key, {rounded('unnest(v)')} AS value FROM emb"""
         ),
         "validate_table": checks_query(),
+        "load_parameters": load_query(),
         "pretokenize": with_([("occ", occurrences("documents", "doc_id"))], "SELECT doc_id, part_position, part FROM occ"),
         "byte_symbols": with_(
             [("enc", ENCODER), ("occ", occurrences("documents", "doc_id")), ("parts", "SELECT DISTINCT part FROM occ"),
@@ -582,6 +661,7 @@ def statements() -> dict[str, str]:
         "linear": linear,
         "linear_packed": linear,
         "linear_shuffle": linear,
+        "linear_blocks": linear,
         "split_heads": with_(
             STAGES,
             f"""SELECT seq_id, head, place, i, {rounded('q')} AS q, {rounded('k')} AS k, {rounded('v')} AS v
@@ -593,8 +673,10 @@ def statements() -> dict[str, str]:
         "attention_softmax": score_query("b0_soft", "y <= x"),
         "attention_softmax_full": score_query("b0_soft"),
         "attention_output": stage_query("b0_mix"),
+        "attention_merged": stage_query("b0_mix"),
         "multi_head_attention": stage_query("b0_mha"),
         "multi_head_attention_relational": stage_query("b0_mha"),
+        "multi_head_attention_tiled": stage_query("b0_mha"),
         "multi_head_attention_no_residual": stage_query("b0_att"),
         "feed_forward": feed_forward,
         "feed_forward_relational": feed_forward,
@@ -626,5 +708,10 @@ def statements() -> dict[str, str]:
         "generate": generated_query(GREEDY_STEPS, 1, -1),
         "generate_relational": generated_query(GREEDY_STEPS, 1, -1),
         "generate_sampled": generated_query(SAMPLED_STEPS, 3, SAMPLED_EOS),
+        "generate_cached": generated_query(SAMPLED_STEPS, 3, SAMPLED_EOS),
+        "generate_options": options_query(4, 3),
+        "generate_options_cached": options_query(4, 3),
+        "running_sum": RUNNING_SUM,
+        "interval_join": INTERVAL_JOIN,
         "complete_prompts": prompts_query(),
     }
