@@ -26,7 +26,7 @@ from weftmill.operators import attention, bpe, ingest, layers, matrix, ordering,
 from weftmill.operators import vectors as vops  # noqa: E402
 from weftmill.plans import forward, generation, reports  # noqa: E402
 from weftmill.session import configure  # noqa: E402
-from weftmill.sources.tables import MODEL_SCHEMAS, read_json_dictionary, read_table  # noqa: E402
+from weftmill.sources.tables import MODEL_SCHEMAS, read_table  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 TEMPERATURES = [0.5, 1, 2]
@@ -143,7 +143,7 @@ def q_validate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_load_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All parameter tables loaded as one checked job and read back by block, the vocabulary through JSON."""
+    """All parameter tables loaded as one checked job and read back by block."""
     folder = f"{checkpoint_root(spark)}/load-{uuid.uuid4().hex}"
     model = _model(spark, sf_dir)
     model.load(folder)
@@ -154,11 +154,6 @@ def q_load_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
         block = F.col("block") if "block" in schema.names else F.lit(0)
         rows = loaded.table(name).groupBy(block.cast("long").alias("block"))
         found.append(rows.agg(F.count(F.lit(1)).alias("n_rows"), total.alias("total")).withColumn("table_name", F.lit(name)))
-    words = F.map_from_entries(F.collect_list(F.struct("cluster", "token")))
-    _vocab(spark, sf_dir).agg(F.to_json(words)).write.text(f"{folder}/vocabulary")
-    read = read_json_dictionary(spark, f"{folder}/vocabulary", "token", "cluster")
-    sums = read.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("token").cast("double").alias("total"))
-    found.append(sums.select(F.lit(0).cast("long").alias("block"), "*", F.lit("tokenizer").alias("table_name")))
     rows = reduce(DataFrame.unionByName, found)
     return rows.select("table_name", "block", "n_rows", _round("total").alias("total"))
 

@@ -481,8 +481,7 @@ def load_query() -> str:
     parts += [
         f"""SELECT '{name}', 0, count(*), round(sum(list_sum("values")), 6) + 0.0 FROM {name}""" for name in ("wte", "wpe")
     ]
-    parts.append("SELECT 'tokenizer', 0, count(*), sum(token)::DOUBLE FROM vocab")
-    return with_([*text_ctes()[:7], *BASE], "\nUNION ALL\n".join(parts), recursive=True)
+    return with_(BASE, "\nUNION ALL\n".join(parts))
 
 
 RUNNING_SUM = """SELECT l_orderkey, l_linenumber, round(sum(l_quantity) OVER (ORDER BY l_extendedprice), 2) AS running
