@@ -147,12 +147,81 @@ def test_spans_of_a_part_of_a_layer():
 
 def test_decoding_ends_on_cycles_and_bombs(monkeypatch):
     assert secrets.find("%2525252525252525%25" * 50)[1]
-    monkeypatch.setattr(secrets, "MAX_DECODED", 10_000)
     bomb = base64.b64encode(zlib.compress(b"z" * 1_000_000)).decode()
+    assert secrets.find(bomb + " " + SECRET)[1]
+    monkeypatch.setattr(secrets, "MAX_SCANNED", 10_000)
     spans, complete = secrets.find(bomb + " " + SECRET)
     assert not complete and [s[3] for s in spans] == [0]
 
 
+def test_data_that_inflates_to_itself(monkeypatch):
+    """A stream whose content is the stream again."""
+
+    class Same(secrets.Inflated):
+        def parts(self):
+            yield bytes(self.data)
+
+    monkeypatch.setattr(secrets, "Inflated", Same)
+    assert secrets.find(base64.b64encode(gzip.compress(b"x" * 100)).decode())[1]
+
+
+def test_deep_nesting():
+    """1,200 compressed layers of one another in a text of some 40,000 characters."""
+    data = SECRET.encode()
+    for _ in range(1200):
+        data = gzip.compress(data, mtime=0)
+    spans, complete = secrets.find("x " + base64.b64encode(data).decode())
+    assert complete and [(s[1], s[3] > 1200) for s in spans] == [(0, True)]
+
+
+@pytest.mark.parametrize("window", [4096, 1 << 20])
+def test_windows_of_inflated_data(monkeypatch, window):
+    """Secrets at any place of a stream that is longer than a window, plain and encoded once more."""
+    monkeypatch.setattr(secrets, "WINDOW", window)
+    monkeypatch.setattr(secrets, "OVERLAP", window // 4)
+    for at in (0, 100, 4000, 4090, 5100, 9000, 99_000):
+        for inner in (SECRET, base64.b64encode(gzip.compress(SECRET.encode())).decode()):
+            text = ("words and words " * 10_000)[:at] + " " + inner + " " + "wörter " * 15_000
+            for pack in (gzip.compress, bz2.compress, lzma.compress, zstandard.compress):
+                spans, complete = secrets.find(base64.b64encode(pack(text.encode())).decode())
+                assert complete and 0 in {s[1] for s in spans}, (at, inner, pack)
+
+
+MEASURE = """
+import base64, resource, sys
+sys.path.insert(0, {root!r})
+from weftmill.llm import secrets
+import zstandard
+{make}
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+spans, complete = secrets.find(text)
+assert complete, "not complete"
+assert {n} <= len(spans), spans[:3]
+print((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+ZSTD = """
+tool = zstandard.ZstdCompressor(write_content_size=False).compressobj()
+block = b"a" * (1 << 20)
+data = b"".join(tool.compress(block) for _ in range(400)) + tool.compress(b" password = abcdefgh1234 ") + tool.flush()
+text = "x " + base64.b64encode(data).decode()
+"""
+LONG_TEXT = """text = "some words %41 and &#39; more, of which there are many " * 100_000 + "password = abcdefgh1234 " + "ordinary words " * 1_800_000"""
+
+
+@pytest.mark.parametrize("make, megabytes", [(ZSTD, 600), (LONG_TEXT, 400)], ids=["zstd", "text"])
+def test_memory_is_bounded(make, megabytes):
+    """400 MB out of some kilobytes, and a text of 32 MB with 200,000 escapes."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = MEASURE.format(root=root, make=make, n=1)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert int(out.stdout) < megabytes
+
+
 def test_prose_is_no_secret():
     prose = "An ordinary sentence with a_rather_long_identifier_name_in_it and https://example.org/some/very/long/path/segment"
     assert secrets.find(prose) == ([], True)
@@ -426,3 +495,22 @@ def test_a_stream_cut_short_is_not_complete():
 def test_text_before_compressed_data_is_read():
     packed = base64.b64encode(SECRET.encode() + b" then " + gzip.compress(b"nothing here")).decode()
     assert any(kind == 0 for _, kind, _, _ in secrets.find(packed)[0])
+
+
+@pytest.mark.parametrize("end", ["\u0085", "\u2028", "\u2029"])
+def test_words_before_line_separators(spark, end):
+    """These characters are words, also at the end of a text."""
+    df = spark.createDataFrame([(1, f"a b {end}", "s"), (2, end, "s"), (3, f" a{end} ", "s")], "doc_id long, text string, source string")
+    plan = {r["doc_id"]: r["size"] for r in mixing.plan_mix(df, [3, 1, 2], 1.5, 2).collect()}
+    assert plan == {1: 3, 2: 1, 3: 1}
+    rules = {r["doc_id"]: r["n_words"] for r in quality.judge(df, F.col("source")).collect()}
+    assert rules == plan
+
+
+@pytest.mark.parametrize("drop", [dedup.drop_duplicates, simhash.drop_near_duplicates])
+def test_tied_rows_have_one_survivor(spark, drop):
+    """Rows of equal id and text that differ elsewhere: the same one stays however the rows are dealt out."""
+    rows = [(1, "the same text in every one of these rows", f"s{i}", i) for i in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    found = {tuple(drop(df.orderBy(F.desc("n_chars") if n % 2 else F.asc("n_chars")).repartition(n)).collect()[0]) for n in (1, 2, 5, 8)}
+    assert found == {(1, "the same text in every one of these rows", "s0", 0)}

@@ -1,8 +1,11 @@
 """Secret scans with a recursive decoding worklist.
 
 A text is layer 0. Each layer is scanned, and every part of it that is URL-escaped, Unicode-escaped,
-base64 or compressed data is unwrapped into a further layer until none is left. Each layer keeps, per
-character, the range of the original text it came from, so a finding deep inside is a span of the text.
+base64 or compressed data is unwrapped into a further layer until none is left. A layer knows for each
+character the part of its parent that it came from, by runs and not by character, so a finding deep inside is
+a span of the text. Layers, and bytes that may be compressed once more, are entries of one list and never
+nested calls; what has been met at the same place isn't entered again, which ends cycles. Data that inflates
+to more than `WINDOW` bytes goes through in windows, so a text of a few kilobytes can't fill the memory.
 """
 
 from __future__ import annotations
@@ -13,8 +16,12 @@ import bz2
 import lzma
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from bisect import bisect_right
+from collections import deque
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +42,17 @@ MIN_VALUE = 8
 
 # The shortest secret (an assignment of 14 bytes) takes this many base64 characters.
 MIN_BASE64 = 19
-# What all layers of one text may hold together, against decompression bombs. A text that would go
-# beyond is marked (`complete` is false).
-MAX_DECODED = 64 << 20
+# Inflated data is held up to this many bytes at a time; what is beyond comes in windows of as many that share
+# `OVERLAP` bytes, and encoded data inside such a stream is whole if it is within one window.
+WINDOW = 32 << 20
+OVERLAP = 4 << 20
+# Bytes that one call of a decompressor gives at most, and that one is given at a time; a zstd one can't be told
+# how much to give, but a small part of its input doesn't hold more than a few megabytes.
+STEP = 1 << 20
+INPUT, ZSTD_INPUT = 1 << 16, 256
+# Characters and bytes that are scanned for one text in all. Only bombs, and escapes of escapes by the
+# thousand, come near; a text that does is marked (`complete` is false), since it might never end.
+MAX_SCANNED = 4 << 30
 
 _ENCODED = re.compile(r"%[0-9A-Fa-f]{2}|%u[0-9A-Fa-f]{4}|\\[ux]|&#|[A-Za-z0-9+/_-]{" + str(MIN_BASE64) + "}")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
@@ -46,7 +61,9 @@ _ESCAPES = re.compile(
 )
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{" + str(MIN_BASE64) + ",}={0,2}")
 # Lines of data, however wide and indented; `_wrapped` takes those of one width together.
-_LINES = re.compile(r"[A-Za-z0-9+/_-]{" + str(MIN_BASE64) + r",}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+_LINES = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{" + str(MIN_BASE64) + r",}+(?:\r?\n[ \t]*[A-Za-z0-9+/_-]++)+={0,2}"
+)
 _LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 _PRINTABLE = re.compile(rb"[\x20-\x7e]{8}")
 _MAGIC = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd")
@@ -63,18 +80,49 @@ _READABLE = bytes(b if 32 <= b < 127 or b in (9, 10, 13) else 0 for b in range(2
 
 @dataclass
 class Layer:
-    """`low[i] : high[i]` is the range of the original text behind character i; None: the text itself."""
+    """A text and where it came from: `behind(i)` is the first and the last character of `parent` behind
+    character i. Without a parent, `fixed` is the span of the original text that all of it stands for; without
+    either it is the original text."""
 
     text: str
-    low: np.ndarray | None
-    high: np.ndarray | None
     depth: int
+    parent: Layer | None = None
+    behind: Callable[[int], tuple[int, int]] | None = None
+    fixed: tuple[int, int] | None = None
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        """The span of the original text behind `text[start:end]`. Decoding keeps the order, so the first
+        and the last character decide."""
+        layer, first, last = self, start, end - 1
+        while layer.parent is not None:
+            first, last = layer.behind(first)[0], layer.behind(last)[1]
+            layer = layer.parent
+        return layer.fixed or (first, last + 1)
+
+    def child(self, text: str, behind: Callable[[int], tuple[int, int]]) -> Layer:
+        if self.parent is None and self.fixed is not None:
+            return Layer(text, self.depth + 1, fixed=self.fixed)
+        return Layer(text, self.depth + 1, self, behind)
+
 
-    def ranges(self) -> tuple[np.ndarray, np.ndarray]:
-        if self.low is None:
-            at = np.arange(len(self.text) + 1)
-            return at[:-1], at[1:]
-        return self.low, self.high
+class Pieces:
+    """Where the runs of a rewritten text came from: character i of a run stands for `size` characters of the
+    old text, the i-th `size` of them."""
+
+    def __init__(self):
+        self.new, self.old, self.size, self.length = array("i"), array("i"), array("i"), 0
+
+    def add(self, old: int, size: int, n: int) -> None:
+        if n:
+            self.new.append(self.length)
+            self.old.append(old)
+            self.size.append(size)
+            self.length += n
+
+    def __call__(self, i: int) -> tuple[int, int]:
+        at = bisect_right(self.new, i) - 1
+        first = self.old[at] + (i - self.new[at]) * self.size[at]
+        return first, first + self.size[at] - 1
 
 
 def scan(text: str) -> list[tuple[int, int, int]]:
@@ -85,98 +133,162 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     return found
 
 
-def _from_bytes(data: bytes) -> tuple[str, np.ndarray, np.ndarray] | None:
-    """Text of bytes and per character the first and last byte; bytes that aren't UTF-8 text are read
-    as ASCII with anything else blanked out."""
+def _text_of(data: bytes) -> str:
+    """Text of bytes; bytes that aren't UTF-8 are read as ASCII with anything else blanked out."""
     try:
-        text = data.decode()
+        return data.decode()
     except UnicodeDecodeError:
-        text = data.translate(_READABLE).decode()
-    if text.isascii():
-        at = np.arange(len(text))
-        return text, at, at
-    widths = np.array([len(c.encode("utf-8", "surrogatepass")) for c in text])
-    ends = np.cumsum(widths)
-    return text, ends - widths, ends - 1
+        return data.translate(_READABLE).decode()
+
+
+def _widths(text: str) -> list[int]:
+    """UTF-8 bytes of each character."""
+    return [1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4 for c in text]
 
 
 def _rewritten(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
-    """The layer with each match replaced by `decode(match)`, which gives (text, first, last character
-    of the match behind each new character) or None to leave it."""
-    low, high = layer.ranges()
-    texts, lows, highs, at = [], [], [], 0
+    """The layer with each match replaced by `decode(match)`: the new text, and the number of old characters
+    behind each new one (one number if they are all the same), or None to leave the match."""
+    texts, pieces, at = [], Pieces(), 0
     for m in pattern.finditer(layer.text):
         new = decode(m[0])
         if new is None:
             continue
-        text, first, last = new
+        text, sizes = new
         texts += [layer.text[at : m.start()], text]
-        lows += [low[at : m.start()], low[m.start() + first]]
-        highs += [high[at : m.start()], high[m.start() + last]]
+        pieces.add(at, 1, m.start() - at)
+        at = m.start()
+        if isinstance(sizes, int):
+            pieces.add(at, sizes, len(text))
+        else:
+            for size in sizes:
+                pieces.add(at, size, 1)
+                at += size
         at = m.end()
     if not texts:
         return None
     texts.append(layer.text[at:])
-    return Layer("".join(texts), np.concatenate([*lows, low[at:]]), np.concatenate([*highs, high[at:]]), layer.depth + 1)
+    pieces.add(at, 1, len(layer.text) - at)
+    return layer.child("".join(texts), pieces)
+
 
+def _bytes_run(data: bytes, unit: int) -> tuple[str, int | list[int]]:
+    """Text of a run of escaped bytes of `unit` characters each."""
+    text = _text_of(data)
+    return text, unit if text.isascii() else [unit * w for w in _widths(text)]
 
-def _percent(run: str) -> tuple[str, np.ndarray, np.ndarray] | None:
-    data = bytes.fromhex(run.replace("%", ""))
-    text, first, last = _from_bytes(data)
-    return text, 3 * first, 3 * last + 2
 
+def _percent(run: str) -> tuple[str, int | list[int]]:
+    return _bytes_run(bytes.fromhex(run.replace("%", "")), 3)
 
-def _escape(run: str) -> tuple[str, np.ndarray, np.ndarray] | None:
+
+def _escape(run: str) -> tuple[str, int | list[int]] | None:
     if run[:2] == "\\x":
-        text, first, last = _from_bytes(bytes.fromhex(run.replace("\\x", "")))
-        return text, 4 * first, 4 * last + 3
+        return _bytes_run(bytes.fromhex(run.replace("\\x", "")), 4)
     if run[:2] in ("\\u", "%u") and run[2] != "{":
-        units = bytes.fromhex(re.sub(r"[\\%]u", "", run))
-        text = units.decode("utf-16-be", "replace")
-        widths = np.array([6 * (1 + (ord(c) > 0xFFFF)) for c in text])
-        ends = np.cumsum(widths)
-        return text, ends - widths, ends - 1
+        text = bytes.fromhex(re.sub(r"[\\%]u", "", run)).decode("utf-16-be", "replace")
+        return text, 6 if max(text) < "\U00010000" else [6 * (1 + (c > "\uffff")) for c in text]
     digits = run[2:-1] if run[0] == "&" else run[3:-1]
     code = int(digits) if run[0] == "&" and digits[0] not in "xX" else int(digits.lstrip("xX"), 16)
     if code > 0x10FFFF or 0xD800 <= code < 0xE000:
         return None
-    return chr(code), np.array([0]), np.array([len(run) - 1])
+    return chr(code), len(run)
 
 
 def _escaped_bytes(run: str) -> bytes:
     return bytes(int(m[1] or m[2], 16) if m[1] or m[2] else _NAMED[m[3]] if m[3] else ord(m[4]) for m in _UNIT.finditer(run))
 
 
-def _inflate(data: bytes, room: int) -> tuple[bytes, bool] | None:
-    """Data of all compressed streams that follow each other, and whether that is all of it; None if it
-    isn't compressed data."""
-    parts, whole = [], True
-    while data.startswith(_MAGIC):
-        try:
-            if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
-                tool = zlib.decompressobj(47)
-            elif data[:3] == b"BZh":
-                tool = bz2.BZ2Decompressor()
-            elif data[:6] == b"\xfd7zXZ\x00":
-                tool = lzma.LZMADecompressor(memlimit=256 << 20)
-            else:
-                import zstandard
-
-                if zstandard.frame_content_size(data) > room:
-                    return b"".join(parts), False
-                tool = zstandard.ZstdDecompressor().decompressobj()
-                room = max(room, 1)
-            out = tool.decompress(data) if data[:4] == _MAGIC[-1] else tool.decompress(data, max(room, 1))
-        except Exception:  # damaged data of any of these formats: no layer
-            break
-        parts.append(out)
-        room -= len(out)
-        if not tool.eof:  # cut short, or no room for the rest
-            whole = False
-            break
-        data = tool.unused_data.lstrip(b"\0")
-    found = b"".join(parts)
-    return (found, whole) if found else None
+class _Zstd:
+    """A zstd frame."""
+
+    def __init__(self):
+        import zstandard
+
+        self.tool, self.unused_data, self.eof = zstandard.ZstdDecompressor(max_window_size=1 << 27).decompressobj(), b"", False
+
+    def chunks(self, data: bytes) -> Iterator[bytes]:
+        for at in range(0, len(data), ZSTD_INPUT):
+            yield self.tool.decompress(bytes(data[at : at + ZSTD_INPUT]))
+            if self.tool.eof:
+                self.eof, self.unused_data = True, self.tool.unused_data + bytes(data[at + ZSTD_INPUT :])
+                return
+
+
+class _Zlib:
+    """A gzip or zlib stream."""
+
+    def __init__(self):
+        self.tool, self.unused_data, self.eof = zlib.decompressobj(47), b"", False
+
+    def chunks(self, data: bytes) -> Iterator[bytes]:
+        for at in range(0, len(data), INPUT):
+            part = data[at : at + INPUT]
+            while len(part) and not self.tool.eof:
+                yield self.tool.decompress(part, STEP)
+                part = self.tool.unconsumed_tail
+            if self.tool.eof:
+                self.eof, self.unused_data = True, self.tool.unused_data + bytes(data[at + INPUT :])
+                return
+
+
+class _Buffered:
+    """A bzip2 or xz stream, whose decompressor keeps its own input."""
+
+    def __init__(self, tool):
+        self.tool = tool
+
+    def chunks(self, data: bytes) -> Iterator[bytes]:
+        yield self.tool.decompress(data, STEP)
+        while not self.tool.eof and not self.tool.needs_input:
+            yield self.tool.decompress(b"", STEP)
+
+    eof = property(lambda self: self.tool.eof)
+    unused_data = property(lambda self: self.tool.unused_data)
+
+
+def _decompressor(data: bytes):
+    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
+        return _Zlib()
+    if data[:3] == b"BZh":
+        return _Buffered(bz2.BZ2Decompressor())
+    if data[:6] == b"\xfd7zXZ\x00":
+        return _Buffered(lzma.LZMADecompressor(memlimit=256 << 20))
+    return _Zstd()
+
+
+class Inflated:
+    """What compressed streams that follow each other hold, in parts of bounded size. Afterwards `whole` tells
+    whether none was damaged or cut short, and `used` how many bytes they took. Data that fails at once is no
+    stream."""
+
+    def __init__(self, data: bytes | memoryview):
+        self.data, self.whole, self.used = data, True, 0
+
+    def parts(self) -> Iterator[bytes]:
+        data = self.data
+        while bytes(data[:8]).startswith(_MAGIC):
+            held, given = b"", False
+            try:
+                tool = _decompressor(bytes(data[:8]))
+                for part in tool.chunks(data):
+                    # The first part is only given when there is a second: what fails before isn't a stream.
+                    if len(held) + len(part) > STEP:
+                        yield held
+                        given, held = True, part
+                    else:
+                        held += part
+            except Exception:  # damaged data of any of these formats
+                if given:
+                    self.whole = False
+                    yield held
+                return
+            yield held
+            if not tool.eof:
+                self.whole, self.used = False, len(self.data)
+                return
+            self.used = len(self.data) - len(tool.unused_data)
+            data = tool.unused_data.lstrip(b"\0")
 
 
 def _wrapped(text: str) -> Iterator[tuple[int, int]]:
@@ -198,42 +310,112 @@ def _wrapped(text: str) -> Iterator[tuple[int, int]]:
         yield m.span()
 
 
+_BASE64_LETTER = np.zeros(128, bool)
+_BASE64_LETTER[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"]] = True
+_TO_STANDARD = {ord("-"): "+", ord("_"): "/", **dict.fromkeys(map(ord, "=\r\n \t"))}
+
+
+def _base64_places(start: int, letters: np.ndarray | None, skip: int, text: str) -> Callable[[int], tuple[int, int]]:
+    """Characters of the layer behind each character of decoded `text`: bit 8b of the data is in character
+    8b // 6 of the run, and bit 8b + 7 in (8b + 7) // 6. The run begins at `start`; `letters` are its places if lines were joined."""
+    ends = None if text.isascii() else np.cumsum(np.array(_widths(text), np.int32))
+
+    def behind(i: int) -> tuple[int, int]:
+        first, last = (i, i) if ends is None else (int(ends[i - 1]) if i else 0, int(ends[i]) - 1)
+        a, b = skip + first * 8 // 6, skip + (last * 8 + 7) // 6
+        if letters is None:
+            return start + a, start + b
+        return start + int(letters[a]), start + int(letters[b])
+
+    return behind
+
+
 class _Worklist:
+    """Entries are layers, bytes that may be compressed, and streams of windows."""
+
     def __init__(self, text: str):
-        self.layers = [Layer(text, None, None, 0)]
-        self.seen = {(text, 0, len(text))}
-        self.room, self.complete = MAX_DECODED, True
+        self.todo: deque = deque([Layer(text, 0)])
+        self.seen: set[tuple[bytes, int, int]] = {self.key(text.encode("utf-8", "surrogatepass"), 0, len(text))}
+        self.left, self.complete = MAX_SCANNED, True
 
-    def add(self, layer: Layer | None) -> None:
-        """Append a layer unless it has been met at the same place: that ends cycles."""
-        if layer is None or not layer.text:
-            return
-        key = (layer.text, int(layer.low.min()), int(layer.high.max()))
+    @staticmethod
+    def key(data: bytes, low: int, high: int) -> tuple[bytes, int, int]:
+        return blake2b(data, digest_size=16).digest(), low, high
+
+    def is_new(self, data: bytes, low: int, high: int) -> bool:
+        """Whether the content hasn't been met at this place: that ends cycles. Counts what is scanned."""
+        key = self.key(data, low, high)
         if key in self.seen:
-            return
-        if len(layer.text) > self.room:
+            return False
+        self.left -= len(data)
+        if self.left < 0:
             self.complete = False
-            return
-        self.room -= len(layer.text)
+            return False
         self.seen.add(key)
-        self.layers.append(layer)
+        return True
 
-    def inflate(self, data: bytes, low: int, high: int, depth: int) -> bool:
-        """Layers of compressed data and of what is compressed in it again; whether it was any."""
-        found = False
+    def add(self, layer: Layer | None) -> None:
+        if layer is not None and layer.text:
+            span = layer.span(0, len(layer.text))
+            if self.is_new(layer.text.encode("utf-8", "surrogatepass"), *span):
+                self.todo.append(layer)
+
+    def inflate(self, data: bytes, span: tuple[int, int], depth: int) -> bool:
+        """Enter what the compressed streams in `data` hold; whether there is one at its beginning."""
+        at_start, used = False, 0
         for at in sorted({0, *(m.start() for m in _STRONG.finditer(data))}):
-            inflated = _inflate(data[at:], self.room)
-            if not inflated:
-                continue
-            inner, whole = inflated
-            found, self.complete = True, self.complete and whole
-            if self.inflate(inner, low, high, depth + 1) and inner.startswith(_MAGIC):
-                self.room -= len(inner)
+            # Data that doesn't shrink lies open in a stream that holds it: it comes out of that one.
+            if at < used:
                 continue
-            text, _, _ = _from_bytes(inner)
-            n = len(text)
-            self.add(Layer(text, np.full(n, low), np.full(n, high), depth + 1))
-        return found
+            stream = Inflated(memoryview(data)[at:])
+            held, parts = bytearray(), stream.parts()
+            for part in parts:
+                held += part
+                if len(held) > WINDOW:
+                    self.todo.append(self.windows(held, parts, stream, span, depth))
+                    used = len(data)
+                    break
+            else:
+                used = max(used, at + stream.used)
+                if held:
+                    self.complete &= stream.whole
+                    if self.is_new(bytes(held), *span):
+                        self.todo.append((bytes(held), span, depth))
+            at_start |= at == 0 and bool(held)
+        return at_start
+
+    def windows(self, held: bytearray, parts: Iterator[bytes], stream: Inflated, span: tuple[int, int], depth: int):
+        """Entries of bytes of at most about `WINDOW`, each beginning with the end of the one before."""
+        while held:
+            more = True
+            while len(held) <= WINDOW and more:
+                part = next(parts, None)
+                more = part is not None
+                held += part or b""
+            if self.is_new(bytes(held), *span):
+                yield bytes(held), span, depth
+            if self.left < 0:
+                return
+            del held[: max(len(held) - OVERLAP, 0) if more else len(held)]
+            # Not in the middle of a character.
+            while held and held[0] & 0xC0 == 0x80 and more:
+                del held[0]
+        self.complete &= stream.whole
+
+    def layers(self) -> Iterator[Layer]:
+        while self.todo:
+            entry = self.todo.popleft()
+            if isinstance(entry, Layer):
+                yield entry
+            elif isinstance(entry, tuple):
+                data, span, depth = entry
+                if not ((data.startswith(_MAGIC) or _STRONG.search(data)) and self.inflate(data, span, depth + 1) and data.startswith(_MAGIC)):
+                    yield Layer(_text_of(data), depth, fixed=span)
+            else:
+                following = next(entry, None)
+                if following is not None:
+                    self.todo.appendleft(entry)
+                    self.todo.appendleft(following)
 
     def unwrap(self, layer: Layer) -> None:
         if not _ENCODED.search(layer.text):
@@ -241,19 +423,19 @@ class _Worklist:
         for m in _BYTES.finditer(layer.text):
             data = _escaped_bytes(m[0])
             if _STRONG.search(data) or data.startswith(_MAGIC):
-                low, high = layer.ranges()
-                self.inflate(data, low[m.start()], high[m.end() - 1], layer.depth + 1)
+                self.inflate(data, layer.span(m.start(), m.end()), layer.depth + 2)
         self.add(_rewritten(layer, _PERCENT, _percent))
         self.add(_rewritten(layer, _ESCAPES, _escape))
-        low = high = None
         inflated: list[tuple[int, int]] = []
-        for start, stop_ in _wrapped(layer.text):
+        for start, stop in _wrapped(layer.text):
             # The lines of a compressed payload are no payloads of their own.
-            if any(a <= start and stop_ <= b + 2 for a, b in inflated):
+            if any(a <= start and stop <= b + 2 for a, b in inflated):
                 continue
-            part = layer.text[start:stop_]
-            letters = [i for i, c in enumerate(part) if c not in "=\r\n \t"]
-            run = "".join(part[i] for i in letters).replace("-", "+").replace("_", "/")
+            part = layer.text[start:stop]
+            mask = _BASE64_LETTER[np.frombuffer(part.encode("ascii"), np.uint8)]
+            run = part.translate(_TO_STANDARD)
+            # Places of the letters, if anything stands between them.
+            letters = None if mask[: len(run)].all() else np.flatnonzero(mask).astype(np.int32)
             # What stands before the data may have run into it: any of four starts can be the right one.
             for skip in range(4):
                 own = run[skip:]
@@ -265,18 +447,14 @@ class _Worklist:
                 packed = data.startswith(_MAGIC) or _STRONG.search(data)
                 if not packed and not _PRINTABLE.search(data):
                     continue
-                if low is None:
-                    low, high = layer.ranges()
-                at = start + np.array(letters[skip:])
-                if packed and self.inflate(data, low[at[0]], high[stop_ - 1], layer.depth + 1):
+                begin = start + (skip if letters is None else int(letters[skip]))
+                if packed and self.inflate(data, layer.span(begin, stop), layer.depth + 2):
                     if _STRONG.match(data):
-                        inflated.append((start, stop_))
-                    if data.startswith(_MAGIC):
-                        continue
-                text, first, last = _from_bytes(data)
-                # Byte b comes from characters 4b/3 to (4b + 7) // 3 - 1 of the run.
-                begin, stop = at[first * 4 // 3], at[np.minimum((last * 4 + 7) // 3 - 1, len(at) - 1)]
-                self.add(Layer(text, low[begin], high[stop], layer.depth + 1))
+                        inflated.append((start, stop))
+                    continue
+                text = _text_of(data)
+                if text:
+                    self.add(layer.child(text, _base64_places(start, letters, skip, text)))
 
 
 def find(text: str) -> tuple[list[tuple[int, int, int, int]], bool]:
@@ -287,12 +465,13 @@ def find(text: str) -> tuple[list[tuple[int, int, int, int]], bool]:
     """
     work = _Worklist(text)
     found: dict[tuple[int, int, int], int] = {}
-    for layer in work.layers:  # grows while it is read
+    for layer in work.layers():
         for start, kind, end in scan(layer.text):
-            if layer.low is not None:
-                start, end = int(layer.low[start:end].min()), int(layer.high[start:end].max())
-            found.setdefault((start, kind, end), layer.depth)
+            low, high = layer.span(start, end)
+            found.setdefault((low, kind, high), layer.depth)
         work.unwrap(layer)
+        # Later layers only ask where their parents came from.
+        layer.text = ""
     return sorted((*span, depth) for span, depth in found.items()), work.complete
 
 
