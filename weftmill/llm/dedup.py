@@ -219,6 +219,13 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         text_digest(docs[text_col]).alias("row_digest"),
     )
     same = (F.col("row_digest") == F.col("digest")) & F.col("row_id").eqNullSafe(F.col("doc_id"))
-    first = Window.partitionBy("row_digest", "row_id").orderBy(F.lit(0))
+    # Rows that repeat id and text may differ elsewhere: the first one by all columns stays, in every run.
+    first = Window.partitionBy("row_digest", "row_id").orderBy(*[F.col(f"doc.`{c}`") for c in _others(docs, id_col, text_col)])
     found = rows.join(kept, same, "left_semi").withColumn("row", F.row_number().over(first))
     return found.filter("row = 1").select("doc.*")
+
+
+def _others(docs: DataFrame, id_col: str, text_col: str) -> list[str]:
+    """The columns besides id and text that rows can be ordered by."""
+    names = [f.name for f in docs.schema.fields if not f.dataType.simpleString().startswith(("map", "variant"))]
+    return [c for c in names if c not in (id_col, text_col)] or [id_col]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftmill.lineage import cut, fits, salted_join
-from weftmill.llm.texts import BLANKS
+from weftmill.llm.texts import WORD
 
 # A document above this share of its source's words goes before the others of a pass, longest first,
 # so that the last, partial pass ends at a small document.
@@ -27,8 +27,7 @@ SCHEDULES: list[Schedule] = [[(0, 1), (1, 1)], [(0, 3), (0.5, 2), (1, 1)], [(0,
 def word_count(text: str | Column) -> Column:
     """Number of words; null and empty texts have none."""
     text = F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
-    trimmed = F.regexp_replace(text, f"^{BLANKS}|{BLANKS}$", "")
-    return F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, BLANKS))).cast("long")
+    return F.regexp_count(text, F.lit(WORD)).cast("long")
 
 
 def source_targets(

@@ -69,7 +69,8 @@ def document_rules(docs: DataFrame, text_col: str = "text", *carry: Column) -> D
     """
     rows = docs.select(F.coalesce(docs[text_col], F.lit("")).alias("t"), *carry)
     names = rows.columns[1:]
-    trimmed = F.regexp_replace("t", f"^{BLANKS}|{BLANKS}$", "")
+    # \z and not $, which also matches before some characters that end a line.
+    trimmed = F.regexp_replace("t", f"^{BLANKS}|{BLANKS}\\z", "")
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, BLANKS))
     rows = rows.select("t", *names, words.alias("w"))
     lines = F.filter(F.split("t", "\n"), lambda line: F.regexp_like(line, F.lit("[^\\x20\\x09-\\x0D]")))
