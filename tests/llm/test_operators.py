@@ -331,6 +331,19 @@ def test_curriculum_is_in_order(spark, sf_dir):
     assert found == sorted(found) and len(found) == plan.agg(F.sum("copies")).first()[0]
 
 
+def test_the_schedule_decides_what_is_taken(spark, sf_dir):
+    """A schedule whose inverse ends early takes less: the documents are taken by position, not beside it."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    whole = mixing.plan_mix(docs, [3, 1, 2], 1.5, 2).agg(F.sum("copies")).first()[0]
+    cut_off, plain = 0.5, mixing.position
+    try:
+        mixing.position = lambda d, place, schedules: F.when(plain(d, place, schedules) < cut_off, plain(d, place, schedules))
+        half = mixing.plan_mix(docs, [3, 1, 2], 1.5, 2).agg(F.sum("copies"), F.max(F.array_max("positions"))).first()
+    finally:
+        mixing.position = plain
+    assert 0 < half[0] < whole and half[1] < cut_off
+
+
 def test_targets_are_shared_out(spark):
     sizes = spark.createDataFrame([("a", 10, 1), ("b", 1000, 1), (None, 0, 1), ("c", 500, 1)], "source string, source_size long, n_docs long")
     found = {r["source"]: r["target"] for r in mixing.source_targets(sizes, [3, 1, 2], 1.5, 2).collect()}

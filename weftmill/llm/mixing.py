@@ -69,7 +69,8 @@ def source_targets(
 
 
 def position(demand: Column, place: Column, schedules: list[Schedule] = SCHEDULES) -> Column:
-    """Training time at which the share `demand` (0..1) of a source's words has been dealt out.
+    """Training time at which the share `demand` (0..1) of a source's words has been dealt out; null from 1 on,
+    when training is over.
 
     The integral of a piecewise linear weight is quadratic on each piece and is inverted there.
     """
@@ -77,7 +78,7 @@ def position(demand: Column, place: Column, schedules: list[Schedule] = SCHEDULE
     for at, knots in enumerate(schedules):
         pieces = list(zip(knots, knots[1:]))
         areas = [(t1 - t0) * (a + b) / 2 for (t0, a), (t1, b) in pieces]
-        time, done = F.lit(float(knots[-1][0])), sum(areas)
+        time, done = F.lit(None).cast("double"), sum(areas)
         for ((t0, a), (t1, b)), area in reversed(list(zip(pieces, areas))):
             done -= area
             inside = demand * F.lit(float(sum(areas))) - F.lit(float(done))
@@ -105,9 +106,10 @@ def plan_mix(
 ) -> DataFrame:
     """`(doc_id, source, size, source_size, target, copies, positions[, payload])`, one row per row of `docs`.
 
-    `copies` is how often the mix takes the whole document and `positions` when (0 to 1). In each
-    pass documents come by md5 of their id, long ones first (see `LARGE_SHARE`); a document is in the
-    last, partial pass if its middle word is within the target. So a source misses its target by at
+    `positions` is when (0 to 1) the mix takes the whole document and `copies` how often. In each
+    pass documents come by md5 of their id, long ones first (see `LARGE_SHARE`). The words up to a copy's middle
+    one, as a share of the target, are turned into its training position by the inverted schedule; a copy
+    whose demand comes after the end of training isn't taken. So a source misses its target by at
     most half of the document at the boundary, and no document is taken more than `cap` times,
     rounded up. Repeated rows are documents of their own. A null text has size 0, a null id the md5
     of the empty string, a null source is a source of its own, the last. No rows give no rows.
@@ -144,10 +146,11 @@ def plan_mix(
     same = rows["source"].eqNullSafe(buckets["source"]) & (rows["bucket"] == buckets["bucket"])
     rows = rows.join(buckets, same).drop(buckets["source"]).drop(buckets["bucket"])
     start = F.col("within") + F.col("offset")
-    passes = F.sequence(F.lit(0), F.lit(int(-(-cap // 1)) - 1))
-    middle = lambda p: p * F.col("source_size") + start + F.col("size") / F.lit(2)
-    taken = F.filter(passes, lambda p: middle(p) < F.col("target"))
-    when = lambda p: position((p * F.col("source_size") + start) / F.col("target"), F.col("place"), schedules)
+    # A copy stands where the demand of its middle word is met; without such a time it isn't taken.
+    middle = "CAST(p * source_size + _start + size / 2 AS DOUBLE)"
+    rows = rows.withColumn("_start", start)
+    demands = F.expr(f"transform(sequence(0, {int(-(-cap // 1)) - 1}), p -> try_divide({middle}, target))")
+    taken = F.array_compact(F.transform(demands, lambda d: position(d, F.col("place"), schedules)))
     return rows.select(
         "doc_id",
         "source",
@@ -155,7 +158,7 @@ def plan_mix(
         "source_size",
         "target",
         F.size(taken).cast("long").alias("copies"),
-        F.transform(taken, when).alias("positions"),
+        taken.alias("positions"),
         *([] if payload is None else ["payload"]),
     )
 

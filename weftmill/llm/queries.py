@@ -51,7 +51,11 @@ def op2_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"), **MIX)
     taken = (F.col("size") * F.col("copies")).alias("taken")
-    return plan.select("doc_id", "size", "source_size", "target", taken, "copies")
+    when = [F.round(F.get("positions", F.lit(i)), 9).alias(name) for i, name in enumerate(("position", "second_position"))]
+    rows = plan.select("doc_id", "source", "size", "source_size", "target", taken, "copies", *when)
+    # In training order; what the mix leaves out comes last.
+    order = [F.asc_nulls_last("position"), F.asc("source"), F.asc("doc_id")]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).drop("source")
 
 
 def op4_decoding_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -35,16 +35,27 @@ WITH doc AS (
                     CASE WHEN size > t.source_size / 256.0 THEN -size ELSE 0 END, key, size
            ROWS UNBOUNDED PRECEDING) - size AS start
   FROM doc d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
-), copies AS (
-  SELECT *, (CASE WHEN start + size / 2.0::DOUBLE < target THEN 1 ELSE 0 END
-           + CASE WHEN source_size + start + size / 2.0::DOUBLE < target THEN 1 ELSE 0 END) AS copies,
-         start / target AS demand
-  FROM sums
+), demands AS (
+  SELECT *, (start + size / 2.0::DOUBLE) / target AS d0, (source_size + start + size / 2.0::DOUBLE) / target AS d1 FROM sums
+), times AS (
+  SELECT *, {first} AS t0, {second} AS t1 FROM demands
 )
-SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies
-FROM copies
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS BIGINT) AS copies,
+       round(list_extract(held, 1), 9) AS position, round(list_extract(held, 2), 9) AS second_position
+FROM (SELECT *, len(held) AS copies FROM (SELECT *, list_filter([t0, t1], lambda t: t IS NOT NULL) AS held FROM times))
 """
 
+
+
+def _time(d: str) -> str:
+    """The schedules (steady, falling, rising) integrated and inverted: the time of demand `d`, null from 1 on."""
+    falling = f"""CASE WHEN 2 * {d} - 0 < 1.25 THEN 0 + (sqrt(9 + 2.0 * -2.0 * greatest(2 * {d} - 0, 0)) - 3) / -2.0
+         WHEN 2 * {d} - 1.25 < 0.75 THEN 0.5 + (sqrt(4 + 2.0 * -2.0 * greatest(2 * {d} - 1.25, 0)) - 2) / -2.0 END"""
+    rising = f"""CASE WHEN 2 * {d} - 0 < 0.75 THEN 0 + (sqrt(1 + 2.0 * 2.0 * greatest(2 * {d} - 0, 0)) - 1) / 2.0
+         WHEN 2 * {d} - 0.75 < 1.25 THEN 0.5 + (sqrt(4 + 2.0 * 2.0 * greatest(2 * {d} - 0.75, 0)) - 2) / 2.0 END"""
+    return f"CASE WHEN target > 0 THEN CASE place % 3 WHEN 0 THEN CASE WHEN {d} < 1 THEN {d} END WHEN 1 THEN {falling} ELSE {rising} END END"
+
+
 DEDUP = r"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
@@ -122,4 +133,4 @@ QUALIFY rank <= 10
 
 
 def statements() -> dict[str, str]:
-    return {"op3_curriculum_mix": MIX, "op7_host_rules": RULES, "op9_cuckoo_dedup": DEDUP, "op12_threshold_negatives": NEGATIVES}
+    return {"op3_curriculum_mix": MIX.replace("{first}", _time("d0")).replace("{second}", _time("d1")), "op7_host_rules": RULES, "op9_cuckoo_dedup": DEDUP, "op12_threshold_negatives": NEGATIVES}
