@@ -561,21 +561,21 @@ def q_generate_options_cached(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantities of all line items up to each price; equal prices share their sum."""
-    rows = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
-    out = ordering.running_sum(rows, ["l_extendedprice"], "l_quantity")
-    return out.select(*_big("l_orderkey", "l_linenumber"), _round("running", 2).alias("running"))
+    """Characters of all documents up to each length; equal lengths share their sum."""
+    rows = _table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    out = ordering.running_sum(rows, ["n_chars"], "n_chars")
+    return out.select(*_big("doc_id", "running"))
 
 
 def q_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One part for every order, drawn by price from the running sum over all parts."""
-    parts = _table(spark, sf_dir, "part").selectExpr("p_partkey", "cast(round(p_retailprice * 100) AS bigint) AS cents")
-    sums = cut(ordering.running_sum(parts, ["cents", "p_partkey"], "cents", "high", frame="rows"))
-    total = sums.agg(F.max("high")).first()[0]
-    spans = sums.select("p_partkey", (F.col("high") - F.col("cents")).alias("low"), "high")
-    mixed = "(o_orderkey * 1103515245 + 12345) % 1048573"
-    draws = _table(spark, sf_dir, "orders").selectExpr("o_orderkey", f"({mixed}) * {total}L div 1048573 AS u")
-    return ordering.interval_join(draws, "u", spans).select(*_big("o_orderkey", "p_partkey", "u", "low", "high"))
+    """One document for every conversation turn, drawn by length from the running sum over all documents."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    sums = cut(ordering.running_sum(docs, ["n_chars", "doc_id"], "n_chars", "high", frame="rows"))
+    total = sums.agg(F.max("high")).first()[0] or 0
+    spans = sums.select("doc_id", (F.col("high") - F.col("n_chars")).alias("low"), "high")
+    mixed = "((conv_id * 1000 + turn) * 1103515245 + 12345) % 1048573"
+    turns = _table(spark, sf_dir, "conversations").selectExpr("conv_id", "turn", f"({mixed}) * {total}L div 1048573 AS u")
+    return ordering.interval_join(turns, "u", spans).select(*_big("conv_id", "turn", "doc_id", "u", "low", "high"))
 
 
 def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -484,16 +484,16 @@ def load_query() -> str:
     return with_(BASE, "\nUNION ALL\n".join(parts))
 
 
-RUNNING_SUM = """SELECT l_orderkey, l_linenumber, round(sum(l_quantity) OVER (ORDER BY l_extendedprice), 2) AS running
-FROM lineitem"""
+RUNNING_SUM = "SELECT doc_id, (sum(n_chars) OVER (ORDER BY n_chars))::BIGINT AS running FROM documents"
 INTERVAL_JOIN = """WITH sums AS (
-  SELECT p_partkey, cents, (sum(cents) OVER (ORDER BY cents, p_partkey ROWS UNBOUNDED PRECEDING))::BIGINT AS high
-  FROM (SELECT p_partkey, round(p_retailprice * 100)::BIGINT AS cents FROM part)
-), spans AS (SELECT p_partkey, high - cents AS low, high FROM sums),
+  SELECT doc_id, n_chars, (sum(n_chars) OVER (ORDER BY n_chars, doc_id ROWS UNBOUNDED PRECEDING))::BIGINT AS high FROM documents
+), spans AS (SELECT doc_id, high - n_chars AS low, high FROM sums),
 draws AS (
-  SELECT o_orderkey, ((o_orderkey * 1103515245 + 12345) % 1048573) * (SELECT max(high) FROM spans) // 1048573 AS u FROM orders
+  SELECT conv_id, turn,
+         (((conv_id * 1000 + turn) * 1103515245 + 12345) % 1048573) * (SELECT max(high) FROM spans) // 1048573 AS u
+  FROM conversations
 )
-SELECT o_orderkey, p_partkey, u, low, high FROM draws JOIN spans ON u >= low AND u < high"""
+SELECT conv_id, turn, doc_id, u, low, high FROM draws JOIN spans ON u >= low AND u < high"""
 
 
 def prompts_query() -> str:
