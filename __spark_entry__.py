@@ -22,7 +22,7 @@ from weftmill import fixtures  # noqa: E402
 from weftmill.functions import vectors as V  # noqa: E402
 from weftmill.lineage import checkpoint_root, cut  # noqa: E402
 from weftmill.model import Model  # noqa: E402
-from weftmill.operators import attention, bpe, ingest, layers, matrix, ordering, ranking, text, tokens  # noqa: E402
+from weftmill.operators import attention, bpe, dictionary, ingest, layers, matrix, ordering, ranking, text, tokens  # noqa: E402
 from weftmill.operators import vectors as vops  # noqa: E402
 from weftmill.plans import forward, generation, reports  # noqa: E402
 from weftmill.session import configure  # noqa: E402
@@ -176,6 +176,16 @@ def q_bpe_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_merge(parts, _vocab(spark, sf_dir)).select("part", *_big("position"), "cluster")
 
 
+def q_extend_part_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations tokenised as a second corpus, after their user turns: only unseen parts are merged."""
+    turns = _table(spark, sf_dir, "conversations")
+    folder = f"{checkpoint_root(spark)}/parts-{uuid.uuid4().hex}"
+    kept = dictionary.PartDictionary(spark, folder, fixtures.prefix_vocab(turns, "text"))
+    kept.entries(turns.filter("role = 'user'"), "text")
+    rows = kept.entries(turns, "text").select("part", F.posexplode("clusters").alias("_i", "cluster"))
+    return rows.select("part", (F.col("_i") + 1).cast("long").alias("position"), "cluster")
+
+
 def q_bpe_merge_long_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its blanks as one part: thousands of symbols each."""
     whole = F.regexp_replace("text", f"[{text.BLANK}]", "").alias("part")
@@ -635,6 +645,7 @@ def own_queries() -> dict[str, Query]:
         "byte_symbols": q_byte_symbols,
         "bpe_merge": q_bpe_merge,
         "bpe_merge_long_parts": q_bpe_merge_long_parts,
+        "extend_part_dictionary": q_extend_part_dictionary,
         "bpe_trace": q_bpe_trace,
         "tokenize": q_tokenize,
         "token_sequences": q_token_sequences,

@@ -56,11 +56,11 @@ FROM (SELECT part, hex(encode(part)) AS h, unnest(range(1, octet_length(encode(p
 JOIN enc e ON e.hx = substr(x.h, (2 * i - 1)::INT, 2)"""
 
 
-def text_ctes(table: str = "documents", ids: str = "doc_id") -> Ctes:
-    """Vocabulary from documents, and occurrences `occ` and final symbols `fin` of `table`."""
+def text_ctes(table: str = "documents", ids: str = "doc_id", words: str = "documents") -> Ctes:
+    """Vocabulary from the texts of `words`, and occurrences `occ` and final symbols `fin` of `table`."""
     return [
         ("enc", ENCODER),
-        ("doc_occ", occurrences("documents", "doc_id")),
+        ("doc_occ", occurrences(words, "1 AS one")),
         ("doc_parts", "SELECT part, count(*) AS n FROM doc_occ GROUP BY part"),
         ("top_parts", f"SELECT part FROM doc_parts ORDER BY n DESC, part LIMIT {SEED_PARTS}"),
         ("top_symbols", symbols("top_parts")),
@@ -611,6 +611,10 @@ def statements() -> dict[str, str]:
             "SELECT part, position, symbol AS character FROM syms",
         ),
         "bpe_merge": text_query("SELECT part, position, cluster FROM fin"),
+        "extend_part_dictionary": with_(
+            text_ctes("conversations", "conv_id, turn", "conversations"), "SELECT part, position, cluster FROM fin",
+            recursive=True,
+        ),
         "bpe_trace": text_query(
             """SELECT part, step, token, v.cluster AS combined, symbols
                FROM (SELECT part, step, max(token) AS token, string_agg(symbol, ' ' ORDER BY position) AS symbols

@@ -283,3 +283,24 @@ def test_part_counts_combine_before_the_shuffle(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = text.distinct_parts(docs, "text")._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_kept_dictionary_merges_only_unseen_parts(spark, tmp_path):
+    """A second corpus, and a second session over the same folder, merge what is new to them."""
+    from weftmill.functions.bytesym import encoder_rows
+    from weftmill.operators.dictionary import PartDictionary
+
+    words = [(b, c) for c, b in encoder_rows()] + [(300, "ab"), (301, "abc")]
+    vocab = spark.createDataFrame(words, "token int, cluster string")
+    corpus = lambda *texts: spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    first, second = corpus("abc ab", "xyz"), corpus("abc abd", "xyz xyz abc")
+    kept = PartDictionary(spark, str(tmp_path), vocab)
+    assert kept.extend(tokens.distinct_parts(first, "text")) == 3
+    assert PartDictionary(spark, str(tmp_path), vocab).extend(tokens.distinct_parts(second, "text")) == 3
+    assert kept.extend(tokens.distinct_parts(second, "text")) == 0
+    with_kept = tokens.text_sequences(second, "text", ["id"], vocab, kept)
+    assert sorted(map(str, with_kept.collect())) == sorted(map(str, tokens.text_sequences(second, "text", ["id"], vocab).collect()))
+    # Another vocabulary never gets these entries.
+    other = PartDictionary(spark, str(tmp_path), vocab.filter("token <> 301"))
+    assert other.table.count() == 0
+    assert other.entries(second, "text").filter("part = 'abc'").first()["clusters"] == ["ab", "c"]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from weftmill.functions.bytesym import known_symbols, symbol_bytes
 from weftmill.lineage import cut, fits, lookup, ordered
 from weftmill.operators.bpe import merge_parts
+from weftmill.operators.dictionary import PartDictionary
 from weftmill.operators.text import distinct_parts, parts_of, pretokenize
 
 # A dictionary beyond the broadcast bound is joined in two ways: parts that hold more than
@@ -40,9 +41,12 @@ def _with_tokens(occurrences: DataFrame, dictionary: DataFrame, max_rows: int |
     return occurrences.join(hot, "part").unionByName(cold)
 
 
-def part_tokens(df: DataFrame, text_col: str, id_cols: list[str], vocab: DataFrame) -> DataFrame:
-    """`(ids, part_position, part, clusters, tokens)`: tokens of each part as arrays."""
-    dictionary = part_dictionary(df, text_col, vocab)
+def part_tokens(
+    df: DataFrame, text_col: str, id_cols: list[str], vocab: DataFrame, kept: PartDictionary | None = None
+) -> DataFrame:
+    """`(ids, part_position, part, clusters, tokens)`: tokens of each part as arrays. With a `kept` dictionary
+    (of the same vocabulary) only parts that it doesn't have are merged."""
+    dictionary = cut(kept.entries(df, text_col)) if kept else part_dictionary(df, text_col, vocab)
     return _with_tokens(pretokenize(df, text_col, id_cols), dictionary).select(
         *id_cols, "part_position", "part", "clusters", "tokens"
     )
@@ -81,10 +85,12 @@ def token_sequences(tokens: DataFrame, id_cols: list[str]) -> DataFrame:
     )
 
 
-def text_sequences(df: DataFrame, text_col: str, id_cols: list[str], vocab: DataFrame) -> DataFrame:
+def text_sequences(
+    df: DataFrame, text_col: str, id_cols: list[str], vocab: DataFrame, kept: PartDictionary | None = None
+) -> DataFrame:
     """Texts straight to `(ids, input, n_seq)`; the per-part arrays are never exploded. A text
-    without tokens gives no row."""
-    arrays = part_tokens(df, text_col, id_cols, vocab).select(
+    without tokens gives no row. `kept`: see `part_tokens`."""
+    arrays = part_tokens(df, text_col, id_cols, vocab, kept).select(
         *id_cols, "part_position", F.array_compact("tokens").alias("input")
     )
     return (
