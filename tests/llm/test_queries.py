@@ -42,7 +42,7 @@ def test_odd_rows(spark, odd_tables, name):
     n = spark.read.parquet(f"{odd_tables}/{table}.parquet").count()
     assert len(found[found.piece == 0] if name.startswith("op6") else found) == n
     for column in found.columns:
-        if column not in ("doc_id", "page_id", "url", "keep_id", "component_id", "target", "start", "length", "period", "exponent_milli"):
+        if column not in ("doc_id", "page_id", "url", "keep_id", "component_id", "target", "start", "length", "period", "exponent_milli", "position", "second_position"):
             assert found[column].notna().all(), column
 
 
