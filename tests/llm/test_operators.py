@@ -527,3 +527,47 @@ def test_tied_rows_have_one_survivor(spark, drop):
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
     found = {tuple(drop(df.orderBy(F.desc("n_chars") if n % 2 else F.asc("n_chars")).repartition(n)).collect()[0]) for n in (1, 2, 5, 8)}
     assert found == {(1, "the same text in every one of these rows", "s0", 0)}
+
+
+def bundled(text):
+    """The vector of a text, trigram by trigram and element by element."""
+    letters, out = " ", np.zeros(langid.DIMENSIONS, np.int64)
+    for c in text.lower() + " ":
+        if c.isalpha() or letters[-1] != " ":
+            letters += c if c.isalpha() else " "
+    if not any(c != " " for c in letters):
+        return out
+    codes = [langid.BOUNDARY if c == " " else ord(c) for c in letters]
+    base = {c: langid._letter_vectors(np.array([c]))[0].astype(np.int64) for c in set(codes)}
+    for a, b, c in zip(codes, codes[1:], codes[2:]):
+        out += np.array([base[a][i - 2] * base[b][i - 1] * base[c][i] for i in range(langid.DIMENSIONS)])
+    return out
+
+
+def test_languages_equal_naive_bundling(spark):
+    """Prototypes and choices of a small corpus, bound and added up one by one."""
+    rows = [
+        (1, "The cat sat on the mat, and the dog did not.", "en"), (2, "there is nothing that they think", "en"),
+        (3, "Der Hund und die Katze schliefen; das Haus war still!", "de"), (4, "ich weiss nicht, was es ist", "de"),
+        (5, "le chat était sur la table et le chien dormait", "fr"), (6, "the other thing", None), (7, "die andere Sache", None),
+        (8, "la première chose", None), (9, "123 !!", None), (10, None, "de"), (11, "", "en"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    naive = {i: bundled(t or "") for i, t, _ in rows}
+    expected = {}
+    for i, _, lang in rows:
+        if lang:
+            expected[lang] = expected.get(lang, 0) + naive[i]
+    found = langid.prototypes(docs)
+    assert list(found) == sorted(expected)
+    assert all(np.array_equal(found[k], expected[k]) for k in expected)
+    predicted = {r["doc_id"]: r for r in langid.predict(docs, found, carry=[F.col("doc_id")]).collect()}
+    names = sorted(expected)
+    for i, _, _ in rows:
+        if not naive[i].any():
+            assert (predicted[i]["lang_pred"], predicted[i]["score"]) == ("und", 0.0)
+            continue
+        cosines = np.array([naive[i] @ expected[k] / np.linalg.norm(naive[i]) / np.linalg.norm(expected[k]) for k in names])
+        assert predicted[i]["lang_pred"] == names[int(cosines.argmax())]
+        odds = np.exp((cosines - cosines.max()) / langid.TEMPERATURE)
+        assert abs(predicted[i]["score"] - 1 / odds.sum()) < 1e-4

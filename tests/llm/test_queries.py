@@ -94,6 +94,7 @@ def test_toxicity_on_held_out(spark):
     area = (ranks[toxic].sum() - toxic.sum() * (toxic.sum() + 1) / 2) / (toxic.sum() * (~toxic).sum())
     assert area > 0.8
     assert rows[rows.predicted == 1].toxic.mean() > 0.75
+    assert rows[toxic].predicted.mean() > 0.5
     assert ((found.score >= 0) & (found.score <= 1) & (found.predicted == (found.score >= 0.7))).all()
 
 
