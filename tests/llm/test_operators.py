@@ -571,3 +571,16 @@ def test_languages_equal_naive_bundling(spark):
         assert predicted[i]["lang_pred"] == names[int(cosines.argmax())]
         odds = np.exp((cosines - cosines.max()) / langid.TEMPERATURE)
         assert abs(predicted[i]["score"] - 1 / odds.sum()) < 1e-4
+
+
+def test_host_that_fails_by_half_is_dropped(spark):
+    """Thirty hosts fail in 1 of 20 documents, one in 11 of 20: its sound documents go too, no others do."""
+    sound = " ".join(f"word{i}" for i in range(30))
+    rows = [(h * 100 + i, f"h{h}", "short" if i < (11 if h == 7 else 1) else sound) for h in range(30) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    found = quality.judge(docs, F.col("source")).collect()
+    assert {r["doc_id"] // 100 for r in found if not r["base_failed"] and not r["kept"]} == {7}
+    assert all(0.3 <= r["bar"] < 0.55 for r in found)
+    # Hosts that are alike are all kept: the bar doesn't fall below its least value.
+    alike = docs.filter("source <> 'h7'")
+    assert all(r["kept"] != r["base_failed"] for r in quality.judge(alike, F.col("source")).collect())

@@ -16,8 +16,11 @@ MAX_REPEAT_PERCENT = 30
 MAX_SYMBOL_PERCENT = 50
 MAX_LINE_PERCENT = 10
 MIN_WORD_CHARS, MAX_WORD_CHARS = 2, 20
-# A host whose shrunk share of failing documents is above this is dropped whole.
-MAX_HOST_RATE = 0.8
+# A host is dropped whole if its shrunk share of failing documents lies above the prior's mean by so many of
+# the prior's standard deviations (2: the upper 2.3 % of hosts like these). Hosts below MIN_HOST_RATE are
+# never dropped, however alike the others are; hosts above MAX_HOST_RATE always are, however few others there are.
+HOST_DEVIATIONS = 2.0
+MIN_HOST_RATE, MAX_HOST_RATE = 0.3, 0.8
 # A prior is at least and at most worth so many documents.
 MIN_PRIOR, MAX_PRIOR = 1.0, 1e6
 
@@ -94,7 +97,8 @@ def document_rules(docs: DataFrame, text_col: str = "text", *carry: Column) -> D
 
 
 def host_rates(rows: DataFrame) -> DataFrame:
-    """`(host, n_docs, n_failed, host_rate)`: share of failing documents, shrunk by a beta prior.
+    """`(host, n_docs, n_failed, host_rate, bar)`: share of failing documents, shrunk by a beta prior, and
+    the rate above which a host is dropped.
 
     The prior's mean and weight are fitted to the rates of all hosts by moments: the variance between
     hosts is what remains of the rates' variance beyond that of drawing n documents. Counts are combined
@@ -115,22 +119,24 @@ def host_rates(rows: DataFrame) -> DataFrame:
     if between > 0:
         weight = min(max(mean * (1 - mean) / between - 1, MIN_PRIOR), MAX_PRIOR)
     shrunk = (F.col("n_failed") + F.lit(weight * mean)) / (F.col("n_docs") + F.lit(weight))
-    return counts.withColumn("host_rate", shrunk)
+    spread = (mean * (1 - mean) / (weight + 1)) ** 0.5
+    bar = min(max(mean + HOST_DEVIATIONS * spread, MIN_HOST_RATE), MAX_HOST_RATE)
+    return counts.withColumn("host_rate", shrunk).withColumn("bar", F.lit(bar))
 
 
 def judge(docs: DataFrame, host: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`(doc_id, counts, base_failed, failed, host_rate, kept)`, one row per row of `docs`.
+    """`(doc_id, counts, base_failed, failed, host_rate, bar, kept)`, one row per row of `docs`.
 
-    `kept` is false if a base rule fails or the host's shrunk rate of failing documents is above
-    `MAX_HOST_RATE`. A null host is a host of its own. Repeated rows count each. Extra columns aren't
+    `kept` is false if a base rule fails or the host's shrunk rate of failing documents is above the bar
+    that the prior sets (see `HOST_DEVIATIONS`). A null host is a host of its own. Repeated rows count each. Extra columns aren't
     read; no rows give no rows.
     """
     key = F.concat(F.when(host.isNull(), "0").otherwise("1"), F.coalesce(host, F.lit("")))
     rows = cut(document_rules(docs, text_col, docs[id_col].alias("doc_id"), key.alias("host")))
-    hosts = cut(host_rates(rows).select("host", "host_rate"))
+    hosts = cut(host_rates(rows).select("host", "host_rate", "bar"))
     if fits(hosts, F.octet_length("host")):
         joined = rows.join(F.broadcast(hosts), "host")
     else:
         joined = salted_join(rows, hosts, "host", ["doc_id"])
-    kept = ~F.col("base_failed") & (F.col("host_rate") <= MAX_HOST_RATE)
+    kept = ~F.col("base_failed") & (F.col("host_rate") <= F.col("bar"))
     return joined.withColumn("kept", kept).drop("host")

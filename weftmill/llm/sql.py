@@ -101,10 +101,12 @@ WITH doc AS (
 ), weights AS (
   SELECT mean, CASE WHEN between_ > 0 THEN least(greatest(mean * (1 - mean) / between_ - 1, 1.0), 1e6) ELSE 1e6 END AS weight FROM prior
 ), rates AS (
-  SELECT source, (f + weight * mean) / (n + weight) AS rate FROM hosts, weights
+  SELECT source, (f + weight * mean) / (n + weight) AS rate,
+         least(greatest(mean + 2.0::DOUBLE * sqrt(mean * (1 - mean) / (weight + 1)), 0.3::DOUBLE), 0.8::DOUBLE) AS bar
+  FROM hosts, weights
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND rate <= 0.8 AS kept
+       NOT base_failed AND rate <= bar AS kept
 FROM flags JOIN rates ON flags.source IS NOT DISTINCT FROM rates.source
 """
 
