@@ -584,3 +584,20 @@ def test_host_that_fails_by_half_is_dropped(spark):
     # Hosts that are alike are all kept: the bar doesn't fall below its least value.
     alike = docs.filter("source <> 'h7'")
     assert all(r["kept"] != r["base_failed"] for r in quality.judge(alike, F.col("source")).collect())
+
+
+def test_words_of_one_hash_keep_their_own_ids():
+    """The letters a and b by bit parity, and the other way round: their hashes are equal at 1,024 letters."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    parity = [bin(i).count("1") & 1 for i in range(1024)]
+    one, other = "".join("ab"[p] for p in parity), "".join("ba"[p] for p in parity)
+    both = texts.Words(pa.array([f"x {one} {other}"]))
+    assert both.hashes()[1] == both.hashes()[2] and both.distinct()[1].tolist() == [0, 1, 2]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [one, f"{one} {other} {one}", other, None, ""]
+    found = packing.Encoder(path).ids(pa.array(rows))
+    again = [packing.Encoder(path).ids(pa.array([r]))[0] for r in rows[:3]]
+    plain = [np.array(Tokenizer.from_file(path).encode(r or "", add_special_tokens=False).ids, "<u4").tobytes() for r in rows]
+    assert found == plain and again == plain[:3]

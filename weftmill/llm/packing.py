@@ -46,21 +46,19 @@ class Encoder:
         self.closing = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, number in self.tokenizer.get_vocab().items():
             self.closing[number] = token.endswith("</w>")
-        self.known: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def ids(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes."""
         words = Words(texts, tails=TAILS)
-        different, at, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        hashes = different.tolist()
-        if len(self.known) + len(hashes) > MEMO_WORDS:
+        at, which = words.distinct()
+        data = words.data.tobytes()
+        different = [data[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist())]
+        if len(self.known) + len(different) > MEMO_WORDS:
             self.known.clear()
         known = self.known
-        new = [i for i, h in enumerate(hashes) if h not in known]
-        data, at = words.data.tobytes(), at[new]
-        begins, ends = words.starts[at].tolist(), words.ends[at].tolist()
-        self._learn([hashes[i] for i in new], [data[a:b] for a, b in zip(begins, ends)])
-        parts = [known[h] for h in hashes]
+        self._learn([w for w in different if w not in known])
+        parts = [known[w] for w in different]
         size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         pool = np.frombuffer(b"".join(parts), "<u4")
         # The tokens of all words in order: where each word's ids lie in the pool, and where they go.
@@ -76,7 +74,7 @@ class Encoder:
             found[i] = np.array(whole.ids, "<u4").tobytes()
         return found
 
-    def _learn(self, hashes: list[int], words: list[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         strings = [w.decode() for w in words]
         letters = [i for i, w in enumerate(strings) if w.isalpha()]
         other = [i for i, w in enumerate(strings) if not w.isalpha()]
@@ -90,12 +88,12 @@ class Encoder:
                 continue
             blob, begin = ids.tobytes(), 0
             for i, stop in zip(some, (4 * stops).tolist()):
-                self.known[hashes[i]] = blob[begin:stop]
+                self.known[words[i]] = blob[begin:stop]
                 begin = stop
         for start in range(0, len(other), 2000):
             some = other[start : start + 2000]
             found = self.tokenizer.encode_batch([strings[i] for i in some], add_special_tokens=False)
-            self.known.update((hashes[i], np.array(e.ids, "<u4").tobytes()) for i, e in zip(some, found))
+            self.known.update((words[i], np.array(e.ids, "<u4").tobytes()) for i, e in zip(some, found))
 
 
 _encoders: dict[str, Encoder] = {}

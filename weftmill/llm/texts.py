@@ -153,3 +153,19 @@ class Words:
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE_CODES[self.data] * up[:n], out=sums[1:])
         return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
+
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """The number of one word for each different word, and for each word which of them it is.
+
+        Words meet by hash and are compared byte by byte; if two that differ have one hash, the batch
+        is grouped by the words themselves.
+        """
+        _, at, which = np.unique(self.hashes(), return_index=True, return_inverse=True)
+        sizes = self.ends - self.starts
+        if np.array_equal(sizes, sizes[at][which]):
+            places = np.repeat(self.starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+            if np.array_equal(self.data[places], self.data[places + np.repeat(self.starts[at][which] - self.starts, sizes)]):
+                return at, which
+        data, seen = self.data.tobytes(), {}
+        which = np.array([seen.setdefault(data[a:b], len(seen)) for a, b in zip(self.starts.tolist(), self.ends.tolist())])
+        return np.unique(which, return_index=True)[1], which
