@@ -601,3 +601,60 @@ def test_words_of_one_hash_keep_their_own_ids():
     again = [packing.Encoder(path).ids(pa.array([r]))[0] for r in rows[:3]]
     plain = [np.array(Tokenizer.from_file(path).encode(r or "", add_special_tokens=False).ids, "<u4").tobytes() for r in rows]
     assert found == plain and again == plain[:3]
+
+
+def test_templates_against_brute_force(spark):
+    """A host with four layouts, copies of a page, an article on several pages and a passage many quote."""
+    rows = []
+    for i in range(60):
+        layout = f"<div><p>Layout {i % 4}</p><ul><li>Links</li></ul></div>"
+        own = f"<div class='t'><h2>Head {i}</h2><p>Own text {i}</p>" + ("<p>A passage that six quote</p>" if i < 6 else "") + "</div>"
+        rows.append((i, "http://four.org/", f"<body>{layout}{own}<div>Rare {i // 4}</div></body>"))
+    same = "<body><div>Menu</div><div><div>Box in a story</div><p>Story</p></div></body>"
+    rows += [(100 + i, "http://copies.org/a", same) for i in range(40)]
+    rows += [(200 + i, "http://story.org/a", f"<body><p>{i}</p>" + same[6:]) for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["page_id"]: r["text"] for r in html.main_text(pages, by_name=False).collect()}
+    around, different, kinds = {}, {}, {}
+    for _, url, page in rows:
+        nodes = html.parse(page)
+        html.hash_subtrees(nodes)
+        different.setdefault(url[:12], set()).add(page)
+        for h, parent in html.page_hashes(page).items():
+            around.setdefault((url[:12], h), set()).add(parent)
+        kinds.update((n.hash, n.tag) for n in nodes)
+    for i, url, page in rows:
+        need = lambda h: max(5, len(different[url[:12]]) ** 0.5 if kinds[h] in html.TEXTUAL else 0)  # noqa: E731, B023
+        template = {h for h in html.page_hashes(page) if len(around[url[:12], h]) >= need(h)}
+        assert found[i] == html.extract(page, template, by_name=False)
+    # Layouts on a quarter of the pages go; what six pages of sixty quote stays, as do copies of one page.
+    assert found[3] == "Head 3\nOwn text 3\nA passage that six quote\nRare 0"
+    assert found[100] == "Menu\nBox in a story\nStory"
+    assert found[203] == "3"
+
+
+def test_templates_beyond_the_broadcast_bound(spark, monkeypatch):
+    """Hot pages, rare pages and pages without a template, through joins that don't broadcast."""
+    rows = [(i, "http://h.org/", f"<div>Box {i % 3}</div><p>Own {i % 30}</p>") for i in range(120)]
+    rows += [(500, "http://h.org/", None), (501, None, "<p>x</p>"), (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    expected = sorted(map(str, html.main_text(pages).collect()))
+    monkeypatch.setattr(html, "fits", lambda *a, **k: False)
+    monkeypatch.setattr(html, "HOT_SHARE", 0.02)
+    assert sorted(map(str, html.main_text(pages).collect())) == expected
+    assert "Row(page_id=7, url='http://h.org/', text='Own 7', n_chars=5)" in expected
+
+
+def test_counts_alone_find_templates_of_given_pages(spark, sf_dir):
+    """With tag, class and role rules off, what goes is no article text."""
+    import os
+
+    from weftmill.llm.texts import table
+
+    pages = table(spark, os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.1"), "pages")
+    alone = {r["page_id"]: r["text"] for r in html.main_text(pages, by_name=False).collect()}
+    plain = {r["page_id"]: (html.extract(r["html"] or "", set(), False), html.extract(r["html"] or "", set())) for r in pages.collect()}
+    raw, text = (sum(len(p[k]) for p in plain.values()) for k in (0, 1))
+    kept = sum(map(len, alone.values()))
+    lost = sum(len(line) for i, p in plain.items() for line in p[1].split("\n") if line not in alone[i])
+    assert (raw - kept) / (raw - text) > 0.1 and lost < 0.001 * text

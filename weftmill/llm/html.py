@@ -14,12 +14,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftmill.lineage import cut, fits, salted_join
+from weftmill.lineage import cut, fits, lookup, salted_join
 from weftmill.llm.texts import map_slices
 
-# A subtree is template if it is on so many pages of its host, and on this share of them.
+# A subtree is template if it stands in so many different surroundings on its host. Tags that mostly hold text
+# take at least the host's number of different pages to this power besides.
 MIN_PAGES = 5
-MIN_SHARE = 0.5
+PAGES_POWER = 0.5
+# Pages with more than this share of all rows as copies are joined by broadcast; there are at most 1 / HOT_SHARE.
+HOT_SHARE = 1e-4
 
 # Fixed values of the HTML standard and names in common use.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,7 +57,8 @@ DROPPED_WORDS = set(
 COMMENT_WORDS = set("comment comments respond reply replies disqus".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 CONTENT_TAGS = ("article", "main")
-PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th figcaption".split())
+PROSE = set("p h1 h2 h3 h4 h5 h6 blockquote pre li dd dt td th tr thead tbody tfoot caption figcaption".split())
+TEXTUAL = PROSE | set("ul ol dl table figure".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
@@ -142,7 +146,8 @@ def _close(here: Node, name: str) -> Node:
 
 
 def hash_subtrees(nodes: list[Node]) -> None:
-    """Hash (signed 64 bits) of each subtree from its tag, class, id, texts and children, bottom up."""
+    """Hash (signed 64 bits) of each subtree from its tag, class, id, texts and children, bottom up. The last
+    bit tells `TEXTUAL` elements."""
     for node in reversed(nodes):
         parts, size = [node.tag, node.marks.get("class", ""), node.marks.get("id", "")], 0
         for item in node.items:
@@ -152,7 +157,7 @@ def hash_subtrees(nodes: list[Node]) -> None:
             elif text := " ".join(item.split()):
                 parts.append("=" + text)
                 size += len(text)
-        value = xxhash.xxh64_intdigest("\n".join(parts))
+        value = xxhash.xxh64_intdigest("\n".join(parts)) & ~1 | (node.tag in TEXTUAL)
         node.hash, node.size = value - (1 << 64) if value >> 63 else value, size
 
 
@@ -161,13 +166,16 @@ def _tokens(node: Node) -> list[str]:
     return (node.marks.get("class", "") + " " + ("" if node.tag in HEADINGS else node.marks.get("id", ""))).split()
 
 
-def _is_dropped(node: Node, inside: bool, spared: set[Node]) -> bool:
+def _is_dropped(node: Node, inside: bool, spared: set[Node], by_name: bool = True) -> bool:
     """Whether an element is no article text by its tag, class, id or role. `inside` an article a header
-    holds the title and stays; `spared` elements hold the page's text and stay if they aren't hidden."""
+    holds the title and stays; `spared` elements hold the page's text and stay if they aren't hidden.
+    Without `by_name` only code, styles and hidden elements are none."""
     marks = node.marks
     is_page = node.tag in ("html", "body")
     if not is_page and ("hidden" in marks or marks.get("aria-hidden") == "true" or "display:none" in marks.get("style", "").replace(" ", "")):
         return True
+    if not by_name:
+        return node.tag in RAW or node.tag == "head"
     if node in spared:
         return False
     if node.tag in DROPPED_TAGS or node.tag == "header" and not inside:
@@ -217,9 +225,11 @@ def _content(root: Node, spared: set[Node]) -> list[Node]:
     return [root]
 
 
-def extract(html: str, template: set[int]) -> str:
+def extract(html: str, template: set[int], by_name: bool = True) -> str:
     """Main text of a page; `template` holds the subtree hashes that recur on its host.
 
+    Without `by_name` the counts decide alone, for the whole page.
+
     Inside an article, paragraphs, headings, list items and cells are prose: a passage that many pages
     quote stays, a repeated box or list goes. On pages without one, any repeated subtree goes.
     """
@@ -233,11 +243,11 @@ def extract(html: str, template: set[int]) -> str:
             blocks.append(text)
         line.clear()
 
-    around, large = _holders(nodes)
+    around, large = _holders(nodes) if by_name else (set(), set())
     # A form may wrap the whole page. Other marked elements count as wrappers of the article if there is none besides.
     forms = {n for n in around | large if n.tag == "form" or n.marks.get("role") == "form"}
-    contents = _content(nodes[0], forms)
-    if contents == [nodes[0]]:
+    contents = _content(nodes[0], forms) if by_name else [nodes[0]]
+    if by_name and contents == [nodes[0]]:
         contents = _content(nodes[0], around | large)
     spared = around | large if contents == [nodes[0]] else large
     for content in contents:
@@ -253,7 +263,7 @@ def extract(html: str, template: set[int]) -> str:
                 continue
             if item is not content:
                 repeated = item.hash in template and not (has_article and item.tag in PROSE)
-                if repeated and item.tag in BLOCK or _is_dropped(item, has_article, spared):
+                if repeated and item.tag in BLOCK or _is_dropped(item, has_article, spared, by_name):
                     if item.tag in BLOCK:
                         flush()
                     continue
@@ -267,11 +277,15 @@ def extract(html: str, template: set[int]) -> str:
     return "\n".join(blocks)
 
 
-def page_hashes(html: str) -> list[int]:
-    """Different hashes of the block elements with text."""
+def page_hashes(html: str) -> dict[int, int]:
+    """Hashes of the block elements with text, each with the hash of the element around it (the first such)."""
     nodes = parse(html)
     hash_subtrees(nodes)
-    return sorted({n.hash for n in nodes[1:] if n.size and n.tag in BLOCK})
+    found: dict[int, int] = {}
+    for node in nodes[1:]:
+        if node.size and node.tag in BLOCK:
+            found.setdefault(node.hash, node.parent.hash)
+    return found
 
 
 def _host(url: str):
@@ -279,44 +293,83 @@ def _host(url: str):
     return F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
 
 
-def template_hashes(pages: DataFrame) -> DataFrame:
-    """`(host, template)` of `(host, html)` rows: per host the hashes on at least `MIN_PAGES` rows and
-    `MIN_SHARE` of its rows.
-
-    Counts are combined before the shuffle, so a host with a third of all pages is no large group. A
-    host has at most the subtrees of 1 / MIN_SHARE average pages in its list.
-    """
+def subtrees(pages: DataFrame) -> DataFrame:
+    """`(host, key, hashes, parents)` of `(host, key, html)` rows."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [page_hashes(h or "") for h in batch.column("html").to_pylist()]
-        return pa.record_batch([batch.column("host"), pa.array(found, pa.list_(pa.int64()))], names=["host", "hashes"])
+        lists = [pa.array([list(x) for x in values], pa.list_(pa.int64())) for values in (found, [f.values() for f in found])]
+        return pa.record_batch([batch.column("host"), batch.column("key"), *lists], names=["host", "key", "hashes", "parents"])
+
+    rows = pages.select("host", "key", "html")
+    return map_slices(rows, "html", run, "host string, key binary, hashes array<long>, parents array<long>")
 
-    hashed = cut(map_slices(pages, "html", run, "host string, hashes array<long>"))
-    counts = hashed.select("host", F.explode("hashes").alias("hash")).groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-    sizes = hashed.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    often = counts.filter(F.col("n") >= MIN_PAGES).join(sizes, "host").filter(F.col("n") >= MIN_SHARE * F.col("pages"))
-    return often.groupBy("host").agg(F.collect_list("hash").alias("template"))
+
+def template_hashes(hashed: DataFrame) -> DataFrame:
+    """`(host, hash)` of the subtrees that recur on a host, from `subtrees`.
+
+    A subtree counts once per different element around it. So a box or a notice counts on every page whose
+    text is its own, but copies of a page, and the parts of an article that is on several pages, count once.
+    It takes `MIN_PAGES` however large the host is, since sites change their templates; paragraphs, lists and
+    tables take the root of the number of different pages where that is more, since texts quote. Counts are combined before each shuffle, and a host isn't a group of its own,
+    so one with a third of all pages is no large group.
+    """
+    pairs = hashed.select("host", F.explode(F.arrays_zip("hashes", "parents")).alias("x"))
+    pairs = pairs.select("host", F.col("x.hashes").alias("hash"), F.col("x.parents").alias("parent")).distinct()
+    counts = pairs.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MIN_PAGES)
+    sizes = hashed.select("host", "key").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    often = lookup(counts, sizes, "host", ["hash"], F.octet_length("host"))
+    boxes = F.col("hash").bitwiseAND(F.lit(1)) == 0
+    return often.filter(boxes | (F.col("n") >= F.pow("pages", F.lit(PAGES_POWER)))).select("host", "hash")
+
+
+def page_templates(hashed: DataFrame) -> DataFrame:
+    """`(key, template, n)`: per different page with any, its subtrees that recur on its host, and its rows."""
+    pair = F.xxhash64("host", "hash").alias("pair")
+    template = cut(template_hashes(hashed).select("host", "hash", pair))
+    own = hashed.select("host", "key", F.explode("hashes").alias("hash")).select("*", pair)
+    if fits(template, F.octet_length("host") + 16):
+        own = own.join(F.broadcast(template), ["pair", "host", "hash"], "left_semi")
+    else:
+        # Pairs of equal hash are told apart by the join's other columns.
+        again = template.select("pair", F.struct("host", "hash").alias("same")).groupBy("pair").agg(F.collect_list("same").alias("same"))
+        own = salted_join(own, again, "pair", ["key"]).filter(F.array_contains("same", F.struct("host", "hash")))
+    lists = own.groupBy("key").agg(F.collect_set("hash").alias("template"))
+    copies = hashed.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return lists.join(copies, "key")
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def main_text(
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", by_name: bool = True
+) -> DataFrame:
     """`(page_id, url, text, n_chars)`, one row per row of `pages`.
 
-    Null html is empty and gives an empty text; pages without a host share one. Repeated rows count as
-    pages of their own. Extra columns aren't read; no rows give no rows.
+    Null html is empty and gives an empty text; pages without a host share one. Repeated rows are one page
+    to the counts. Extra columns aren't read; no rows give no rows. Without `by_name` nothing but the
+    counts per host decides what goes.
     """
+    html = F.coalesce(pages[html_col], F.lit(""))
     rows = pages.select(
-        pages[id_col].alias("page_id"), pages[url_col].alias("url"), _host(url_col).alias("host"), pages[html_col].alias("html")
+        pages[id_col].alias("page_id"), pages[url_col].alias("url"), _host(url_col).alias("host"), html.alias("html")
     )
-    template = cut(template_hashes(rows.select("host", "html")))
-    if fits(template, F.size("template") * 8 + F.octet_length("host")):
-        joined = rows.join(F.broadcast(template), "host", "left")
+    # The same page on the same host has the same templates.
+    rows = rows.withColumn("key", F.unhex(F.md5(F.concat(F.unhex(F.md5(F.col("host").cast("binary"))), F.col("html").cast("binary")))))
+    hashed = cut(subtrees(rows))
+    own = cut(page_templates(hashed))
+    if fits(own, F.size("template") * 8 + 32):
+        joined = rows.join(F.broadcast(own.drop("n")), "key", "left")
     else:
-        every = rows.select("host").distinct().join(template, "host", "left")
-        joined = salted_join(rows, every, "host", ["page_id"])
+        hot = F.col("n") > HOT_SHARE * hashed.count()
+        often = own.filter(hot).select("key", F.col("template").alias("often"))
+        joined = rows.join(F.broadcast(often), "key", "left")
+        # Rows that have their list go anywhere.
+        spread = F.unhex(F.md5(F.concat_ws(":", F.col("page_id").cast("string"), "url")))
+        joined = joined.withColumn("key", F.when(F.col("often").isNull(), F.col("key")).otherwise(spread))
+        joined = joined.join(own.filter(~hot).drop("n"), "key", "left").withColumn("template", F.coalesce("often", "template"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         pages, lists = batch.column("html").to_pylist(), batch.column("template").to_pylist()
-        texts = [extract(h or "", set(t or ())) for h, t in zip(pages, lists)]
+        texts = [extract(h or "", set(t or ()), by_name) for h, t in zip(pages, lists)]
         return pa.record_batch(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
             names=["page_id", "url", "text", "n_chars"],
