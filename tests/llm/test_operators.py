@@ -658,3 +658,26 @@ def test_counts_alone_find_templates_of_given_pages(spark, sf_dir):
     kept = sum(map(len, alone.values()))
     lost = sum(len(line) for i, p in plain.items() for line in p[1].split("\n") if line not in alone[i])
     assert (raw - kept) / (raw - text) > 0.1 and lost < 0.001 * text
+
+
+@pytest.mark.parametrize("page", ["<center>" * 60_000, "<b>" * 60_000 + "</i>" * 60_000, "<i><div>" + "<b>" * 40_000 + "</i>" * 40_000])
+def test_deep_nesting_takes_time_in_proportion(page):
+    import time
+
+    start = time.time()
+    assert html.extract(page + "x", set()) == "x" and len(html.page_hashes(page + "x")) >= 0
+    assert time.time() - start < 20
+
+
+def test_language_bar_is_the_same_for_any_number_of_languages(spark):
+    """Thirty languages of their own letters: short sound texts stay, letters in no language's order go."""
+    rng = random.Random(4)
+    alphabets = ["".join(chr(0x4E00 + 40 * n + j) for j in range(12)) for n in range(30)]
+    rows = []
+    for n, alphabet in enumerate(alphabets):
+        words = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(3, 6))) for _ in range(10)]
+        rows += [(100 * n + i, " ".join(rng.choice(words) for _ in range(6)), f"l{n}") for i in range(20)]
+    rows += [(9000 + i, "".join(chr(0xAC00 + rng.randrange(9000)) for _ in range(400)), None) for i in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in langid.keep_identified(docs).collect()}
+    assert kept >= {r[0] for r in rows if r[2]} and len([i for i in kept if i >= 9000]) <= 1

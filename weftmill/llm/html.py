@@ -87,16 +87,58 @@ def _marks(attributes: str) -> dict[str, str]:
     return found
 
 
+class _Open:
+    """The open elements, outermost first, with the places of each tag and of blocks among them: a page's
+    nesting is never walked, so the work is in proportion to the page however deep it is."""
+
+    def __init__(self, root: Node):
+        self.path, self.places, self.blocks = [root], {}, [0]
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, [0]).append(len(self.path))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.path))
+        self.path.append(node)
+
+    def last(self, *tags: str) -> int:
+        """Place of the innermost open element of these tags, 0 for none."""
+        return max(self.places[t][-1] if t in self.places else 0 for t in tags)
+
+    def leave(self, place: int) -> None:
+        """Close the element at `place` and all in it."""
+        while len(self.path) > place:
+            tag = self.path.pop().tag
+            self.places[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+    def end(self, tags: set[str], until: set[str]) -> None:
+        """A start tag closes the innermost element of `tags` unless one of `until` is open within it."""
+        place = self.last(*tags)
+        if place and place > self.last(*until):
+            self.leave(place)
+
+    def close(self, name: str) -> None:
+        """End tag: the innermost open element of that name; an inline one only if no block was begun in it,
+        and what is around a cell only by a tag of the table or page."""
+        place = self.last(name)
+        blocked = self.blocks[-1] if name not in BLOCK else 0
+        if name not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
+            blocked = max(blocked, self.last("td", "th"))
+        if place and place >= blocked:
+            self.leave(place)
+
+
 def parse(html: str) -> list[Node]:
     """All elements in page order, the root first. Never fails: unknown ends are ignored, open
     elements end with the page."""
     root = Node("html", {}, None)
-    nodes, here, at, has_body = [root], root, 0, False
+    nodes, here, at, has_body = [root], _Open(root), 0, False
     while True:
         m = _TAG.search(html, at)
         text = html[at : m.start() if m else len(html)]
         if text:
-            here.items.append(unescape(text))
+            here.path[-1].items.append(unescape(text))
         if not m:
             return nodes
         at = m.end()
@@ -105,44 +147,23 @@ def parse(html: str) -> list[Node]:
             continue
         name = name.lower()
         if end:
-            here = _close(here, name)
+            here.close(name)
             continue
         if name == "html" or name == "body" and has_body:
             continue
         has_body |= name == "body"
         if name in CLOSES_P:
-            here = _end_open(here, {"p"}, {"table", "td", "th", "button", "article", "div", "section", "li"})
+            here.end({"p"}, {"table", "td", "th", "button", "article", "div", "section", "li"})
         if name in ENDS:
-            here = _end_open(here, *ENDS[name])
-        node = Node(name, _marks(attributes), here)
-        here.items.append(node)
+            here.end(*ENDS[name])
+        node = Node(name, _marks(attributes), here.path[-1])
+        here.path[-1].items.append(node)
         nodes.append(node)
         if name in RAW:
             stop = re.compile(f"</{name}[\\s/>]", re.I).search(html, at)
             at = html.find(">", stop.start()) + 1 or len(html) if stop else len(html)
         elif name not in VOID and not attributes.endswith("/"):
-            here = node
-
-
-def _end_open(here: Node, tags: set[str], until: set[str]) -> Node:
-    at = here
-    while at.parent is not None and at.tag not in until:
-        if at.tag in tags:
-            return at.parent
-        at = at.parent
-    return here
-
-
-def _close(here: Node, name: str) -> Node:
-    """End tag: the nearest open element of that name; an inline one only if no block was begun in it."""
-    at = here
-    while at.parent is not None:
-        if at.tag == name:
-            return at.parent
-        if name not in BLOCK and at.tag in BLOCK or at.tag in ("td", "th") and name not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
-            return here
-        at = at.parent
-    return here
+            here.push(node)
 
 
 def hash_subtrees(nodes: list[Node]) -> None:

@@ -125,18 +125,19 @@ def prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang")
 
 
 def predict(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "text", carry: list[Column] | None = None) -> DataFrame:
-    """`carry` columns with `lang_pred` and `score`, one row per row of `docs`.
+    """`carry` columns with `lang_pred`, `score` and `cosine`, one row per row of `docs`.
 
     Texts that are null, empty or without a letter, and all texts if there is no prototype, get
-    `und` and score 0. Equal cosines: the first language by name. `score` is the softmax of the
-    cosines, so it says how clear the choice is.
+    `und`, score 0 and cosine 0. Equal cosines: the first language by name. `score` is the softmax of the
+    cosines, so it says how clear the choice is; `cosine`, to the language's prototype, how much the text
+    is like the language at all.
     """
     names = np.array([*profiles, UNKNOWN], object)
     unit = np.stack([v / max(np.linalg.norm(v), 1e-300) for v in profiles.values()]).astype(np.float32) if profiles else None
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = batch.num_rows
-        best, score = np.full(n, len(names) - 1), np.zeros(n)
+        best, score, near = np.full(n, len(names) - 1), np.zeros(n), np.zeros(n)
         if unit is not None:
             vectors, has_letter = text_vectors(_strings(batch))
             length = np.linalg.norm(vectors, axis=1)
@@ -144,16 +145,19 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], text_col: str = "t
             odds = np.exp((cosines - cosines.max(axis=1, keepdims=True)) / TEMPERATURE)
             best = np.where(has_letter, cosines.argmax(axis=1), best)
             score = np.where(has_letter, 1 / odds.sum(axis=1), 0.0)
+            near = np.where(has_letter, cosines.max(axis=1), 0.0)
         kept = [batch.column(i) for i in range(1, batch.num_columns)]
-        more = [pa.array(names[best], pa.string()), pa.array(score)]
-        return pa.record_batch([*kept, *more], names=[*batch.schema.names[1:], "lang_pred", "score"])
+        more = [pa.array(names[best], pa.string()), pa.array(score), pa.array(near)]
+        return pa.record_batch([*kept, *more], names=[*batch.schema.names[1:], "lang_pred", "score", "cosine"])
 
     rows = docs.select(docs[text_col].alias("text"), *(carry or []))
-    return map_slices(rows, "text", run, with_fields(rows.schema[1:], "lang_pred string, score double"), STEP_BYTES)
+    return map_slices(rows, "text", run, with_fields(rows.schema[1:], "lang_pred string, score double, cosine double"), STEP_BYTES)
 
 
-def keep_identified(docs: DataFrame, min_score: float, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of `docs` whose language is clear: not `und`, and a score of at least `min_score`.
+def keep_identified(docs: DataFrame, deviations: float = 3.0, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of `docs` that are in one of the languages: not `und`, and closer to the best prototype than
+    `deviations` standard deviations of an unrelated vector's cosine (1 / sqrt(DIMENSIONS)). So the bar is the
+    same for any number of languages.
 
     Profiles come from all rows with a language; without any there is nothing to compare with, and only
     texts without a letter go.
@@ -163,4 +167,4 @@ def keep_identified(docs: DataFrame, min_score: float, text_col: str = "text", l
     if not profiles:
         return docs.filter(F.regexp_like(F.coalesce(docs[text_col], F.lit("")), F.lit("\\p{L}")))
     found = predict(docs, profiles, text_col, carry=[whole])
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select("doc.*")
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("cosine") > deviations / DIMENSIONS**0.5)).select("doc.*")
