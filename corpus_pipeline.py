@@ -14,14 +14,15 @@ from weftmill.llm import dedup, langid, mixing, packing, queries, simhash
 from weftmill.llm.texts import prepare, table
 
 
-# A document whose language is less clear than this is rejected, as is one without a letter.
-MIN_LANGUAGE_SCORE = 0.3
+# A document goes if it is no closer to any language than this many standard deviations of an unrelated
+# text, as does one without a letter.
+LANGUAGE_DEVIATIONS = 3.0
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told."""
     prepare(spark)
-    return langid.keep_identified(docs, MIN_LANGUAGE_SCORE)
+    return langid.keep_identified(docs, LANGUAGE_DEVIATIONS)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
