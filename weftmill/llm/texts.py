@@ -33,6 +33,8 @@ _LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE_CODES = np.random.Generator(np.random.PCG64(20261)).integers(1, 2**64, 256, dtype=np.uint64)
+# Mask of the first n bytes of eight.
+_HEADS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _BASE = 0x9E3779B97F4A7C15
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -162,10 +164,19 @@ class Words:
         """
         _, at, which = np.unique(self.hashes(), return_index=True, return_inverse=True)
         sizes = self.ends - self.starts
-        if np.array_equal(sizes, sizes[at][which]):
-            places = np.repeat(self.starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-            if np.array_equal(self.data[places], self.data[places + np.repeat(self.starts[at][which] - self.starts, sizes)]):
-                return at, which
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        # The first eight bytes of each word as one number, then what longer words have besides.
+        heads = np.ndarray(len(self.data) + 1, "<u8", padded, strides=(1,))[self.starts]
+        heads &= _HEADS[np.minimum(sizes, 8)]
+        same = np.array_equal(sizes, sizes[at][which]) and np.array_equal(heads, heads[at][which])
+        long = np.flatnonzero(sizes > 8)
+        if same and len(long):
+            rest, begin = sizes[long] - 8, self.starts[long] + 8
+            places = np.repeat(begin - (np.cumsum(rest) - rest), rest) + np.arange(rest.sum())
+            away = np.repeat(self.starts[at][which[long]] - self.starts[long], rest)
+            same = np.array_equal(self.data[places], self.data[places + away])
+        if same:
+            return at, which
         data, seen = self.data.tobytes(), {}
         which = np.array([seen.setdefault(data[a:b], len(seen)) for a, b in zip(self.starts.tolist(), self.ends.tolist())])
         return np.unique(which, return_index=True)[1], which
