@@ -116,3 +116,27 @@ def test_no_items_give_no_candidates(spark, max_bytes):
     queries = spark.createDataFrame([(1, [1.0, 2.0])], "seq_id int, values array<double>")
     items = spark.createDataFrame([], "token int, values array<double>")
     assert top_n_by_inner_product(queries, items, 3, max_item_bytes=max_bytes).collect() == []
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_tiles_are_neither_joined_nor_broadcast(tied):
+    queries, items, _ = tied
+    plan = plan_of(ranking.top_n_by_inner_product(queries, items, 7, max_item_bytes=0, tile_rows=16))
+    assert "Join" not in plan and "BroadcastExchange" not in plan
+
+
+def test_streamed_top_in_any_order():
+    from weftmill.functions.kernels import StreamedTop, best_of
+
+    rng = np.random.default_rng(5)
+    queries, items = rng.integers(-2, 3, (40, 4)).astype(float), rng.integers(-2, 3, (200, 4)).astype(float)
+    items[17] = np.nan
+    for order in (rng.permutation(200), np.argsort(items.sum(axis=1)), np.arange(200)[::-1]):
+        state = StreamedTop(queries, 6)
+        for at in np.array_split(order, 23):
+            state.add(items[at], at)
+        tokens, values = best_of(queries, items, np.arange(200), 6)
+        assert (state.tokens == tokens).all() and (state.values == values).all()
