@@ -304,3 +304,56 @@ def test_kept_dictionary_merges_only_unseen_parts(spark, tmp_path):
     other = PartDictionary(spark, str(tmp_path), vocab.filter("token <> 301"))
     assert other.table.count() == 0
     assert other.entries(second, "text").filter("part = 'abc'").first()["clusters"] == ["ab", "c"]
+
+
+def test_texts_are_tokenised_where_they_lie(spark):
+    df = spark.createDataFrame([(1, "ab ab"), (2, None), (3, "b")], "doc_id long, text string")
+    vocab = fixtures.prefix_vocab(df, "text", 5)
+    plan = tokens.text_sequences(df, "text", ["doc_id"], vocab)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_texts_of_one_id_are_put_together_by_part(spark):
+    rows = [(1, "ab ab c"), (1, "b ab"), (None, "c"), (None, "a c"), (2, "ab"), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    vocab = fixtures.prefix_vocab(df, "text", 5)
+    found = tokens.text_sequences(df, "text", ["doc_id"], vocab).collect()
+    expected = tokens._grouped_sequences(df, "text", ["doc_id"], vocab).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(map(tuple, expected), key=str) and len(found) == 3
+
+
+def test_runs_of_token_rows(spark):
+    """In any order, with gaps and with ordinalities that occur twice."""
+    vocab = spark.createDataFrame([(i, c) for i, c in enumerate("abc")], "token int, cluster string")
+    rows = [(1, 0, 0), (1, 1, 1), (1, 2, 2), (2, 5, 1), (2, 4, 0), (1, 0, 1), (1, 1, 0), (3, 0, 9), (3, 4097, 2), (3, 1, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, ordinality int, token int").coalesce(1)
+    found = {r["doc_id"]: r["response"] for r in tokens.detokenize(df, vocab, ["doc_id"]).collect()}
+    assert found == {1: "ababc", 2: "ab", 3: "ac"}
+    one_by_one = spark.createDataFrame([(1, i, i % 3) for i in range(9000)], "doc_id long, ordinality int, token int")
+    assert tokens.detokenize(one_by_one, vocab, ["doc_id"]).first()["response"] == "abc" * 3000
+    runs = tokens._runs(one_by_one.coalesce(1).withColumn("cluster", F.lit("a")), ["doc_id"])
+    assert runs.count() <= 4
+
+
+@pytest.mark.parametrize("square, most", [(0, 1 << 20), (1 << 22, 1), (1 << 22, 40)])
+def test_parts_merged_together_equal_each_alone(monkeypatch, square, most):
+    import random
+
+    import pyarrow as pa
+
+    from weftmill.functions import merging
+    from weftmill.functions.bytesym import encoder_rows
+
+    monkeypatch.setattr(merging, "SQUARE_PAIRS", square)
+    monkeypatch.setattr(merging, "SLICE_SYMBOLS", most)
+    letters, rng = {b: c for c, b in encoder_rows()}, random.Random(2)
+    draw = lambda low, high: bytes(rng.choice(b"abc\x00\xc3") for _ in range(rng.randint(low, high)))
+    for _ in range(20):
+        words = {"".join(letters[b] for b in draw(2, 6)) for _ in range(20)}
+        known = dict(zip(sorted(words), rng.sample(range(300), len(words))))
+        parts = [draw(0, 40) for _ in range(20)]
+        clusters, _ids = merging.clusters_and_tokens(merging.PairTable(known.items()), pa.array(parts, pa.binary()))
+        for part, found in zip(parts, clusters.to_pylist()):
+            s = "".join(letters[b] for b in part)
+            bounds = bpe._merged(len(s), lambda i, j, s=s: known.get(s[i:j]) if j - i > 1 else None)["bounds"]
+            assert found == [s[a:b] for a, b in zip(bounds, bounds[1:])]
