@@ -118,3 +118,23 @@ def test_prompts_through_blocks_equal_the_relational_way(spark, sf_dir):
     expected = {r["seq_id"]: None if r["bytes"] is None else bytes(r["bytes"]).hex().upper() for r in out.collect()}
     assert expected and {k: found[k] for k in expected} == expected
     assert len(found) == entry_module._prompts(spark, sf_dir).count()
+
+
+@pytest.mark.parametrize("name", ["generate", "generate_cached"])
+def test_token_table_beyond_its_bound(spark, sf_dir, model, monkeypatch, name):
+    """It is joined instead of broadcast, with equal results, and no worker is given it."""
+    import __spark_entry__ as entry
+    import weftmill.model as models
+
+    rows = lambda m: sorted(map(tuple, made(m).select("seq_id", "input", "complete").collect()))
+    start = entry._sequences(spark, sf_dir)
+    options = {"threshold": 2, "eos": -1, "top_n": 2, "draw": entry.arithmetic_draw}
+    if name == "generate":
+        made = lambda m: generation.generate(start, generation.model_scorer(m, 2), **options)
+    else:
+        made = lambda m: generation.generate_cached(start, m, 2, **options)
+    expected = rows(model)
+    monkeypatch.setattr(models, "MAX_TOKEN_BYTES", 1000)
+    large = models.Model(model.tables, model.n_head, model.n_block)
+    assert rows(large) == expected
+    assert "wte" not in large.shared()._parts

@@ -236,3 +236,11 @@ def test_gap_in_the_place_table(model, token_rows):
         ways.append({(r["seq_id"], r["place"]): r["values"] for r in rows})
     assert ways[0].keys() == ways[1].keys() and not any(p == 3 for _, p in ways[0])
     assert all(np.allclose(ways[0][k], ways[1][k]) for k in ways[0])
+
+
+def test_packed_weights_evaluate_a_row_once(spark, model, token_rows):
+    """The optimizer leaves the input of the product outside the lambda over the weight rows."""
+    x = layers.embed(token_rows, model.table("wte"), model.table("wpe"))
+    x = layers.layer_norm(x, model.table("ln_1_g", 0), model.table("ln_1_b", 0))
+    out = layers.linear(x, model.table("c_attn_w", 0), model.table("c_attn_b", 0), "packed")
+    assert "Generate explode(array(" in out._jdf.queryExecution().optimizedPlan().toString()
