@@ -681,3 +681,55 @@ def test_language_bar_is_the_same_for_any_number_of_languages(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     kept = {r["doc_id"] for r in langid.keep_identified(docs).collect()}
     assert kept >= {r[0] for r in rows if r[2]} and len([i for i in kept if i >= 9000]) <= 1
+
+
+def test_more_segments_need_no_more_passes(spark, sf_dir, monkeypatch):
+    """Texts are written once, however many segments the filter has."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).persist()
+    monkeypatch.setattr(lm, "SHARD_BYTES", 20_000)
+    written, scores = [], []
+    cut = lm.cut
+    for size in (1 << 30, 20_000):
+        model = lm.train(docs, segment_bytes=size)
+        tables = []
+        monkeypatch.setattr(lm, "cut", lambda df, tables=tables, **options: tables.append(df.columns) or cut(df, **options))
+        found = lm.score(docs, model, carry=[F.col("doc_id")]).collect()
+        monkeypatch.setattr(lm, "cut", cut)
+        scores.append({r["doc_id"]: r["score"] for r in found})
+        written.append(tables)
+    assert len(model.segments) > 4 and len(written[1]) <= len(written[0]) + lm.ROUNDS
+    assert [sum("_text" in columns for columns in tables) for tables in written] == [1, 1]
+    assert scores[0] == pytest.approx(scores[1])
+
+
+def test_scores_do_not_depend_on_pieces(monkeypatch):
+    """Pieces end anywhere: at blocks, at tasks that read parts of a block, and when they are full."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(40)]
+    texts_ = [" ".join(rng.choice(words, rng.integers(0, 30))) if i % 9 else None for i in range(90)]
+    bits, segments = 2, [(0, 1), (1, 4)]
+    counted = pa.Table.from_batches(list(lm._count_texts(3, bits)(iter([pa.record_batch([pa.array(texts_[:50])], ["text"])]))))
+    shards = [lm._build_packed(counted.filter(pa.array(counted["shard"].to_numpy() == s))).to_pylist()[0] for s in range(4)]
+    shards = [{**r, "segment": int(r["shard"] > 0), "piece": None, "n": None, "n_keys": None, "keys": None} for r in shards]
+    results = []
+    for piece_tokens, tasks in ((1 << 30, [0, 90]), (60, [0, 13, 40, 41, 90])):
+        monkeypatch.setattr(lm, "PIECE_TOKENS", piece_tokens)
+        monkeypatch.setattr(lm, "slices", lambda batch, column: (batch.slice(i, 1) for i in range(batch.num_rows)))
+        probe, probes = lm._probe_texts(3, bits, np.array([0, 1]), 5), []
+        for lo, hi in zip(tasks, tasks[1:]):
+            rows = pa.record_batch([pa.array(range(lo, hi), pa.int64()), pa.array(texts_[lo:hi], pa.string())], ["id", "text"])
+            probes += [r for out in probe(iter([rows])) for r in out.to_pylist()]
+        none = dict.fromkeys(("shard", "blocks", "words", "word_counts"))
+        met = shards + [{**none, **r} for r in probes]
+        met = pa.Table.from_pylist(sorted(met, key=lambda r: (r["segment"], r["piece"] is not None)))
+        back = [r for out in lm._answer_probes(segments, bits)(iter(met.to_batches(max_chunksize=7))) for r in out.to_pylist()]
+        back = [{"_block": r["piece"] >> 5, "_id": r["piece"], "_text": None, **{f"_{k}": v for k, v in r.items()}} for r in back]
+        docs = [{"_block": i >> 5, "_id": i, "_text": t} | dict.fromkeys(("_piece", "_n", "_segment", "_levels", "_exact")) for i, t in enumerate(texts_)]
+        rows = sorted(back + docs, key=lambda r: (r["_block"], r["_piece"] is None, r["_id"], r["_n"] or 0, r["_segment"] or 0))
+        scored = lm._score_blocks(3, 50, 700, 41, ["_id"])(iter(pa.Table.from_pylist(rows).to_batches(max_chunksize=11)))
+        results.append((len({r["piece"] for r in probes}), [r for out in scored for r in out.to_pylist()]))
+    assert results[0][0] == 3 and results[1][0] > 10
+    assert [r["_id"] for r in results[1][1]] == list(range(90))
+    for name in ("n_tokens", "n_known", "base_score", "score"):
+        assert [r[name] for r in results[0][1]] == pytest.approx([r[name] for r in results[1][1]])
+    assert max(r["n_known"] for r in results[0][1]) > 10

@@ -5,8 +5,9 @@ with each level up to L. Probing levels until one fails gives the level back, an
 count. Probabilities are smoothed from such probes: every order is mixed with the next lower one.
 
 The filter is cut by n-gram hash into shards, built where the shuffle brings their counts together, and
-shards are put together to segments of bounded size. A segment is broadcast, all texts are probed
-against it, and the levels found are carried on to the next one.
+shards are put together to segments of bounded size. Texts are cut into pieces; the different n-grams of a piece
+go to the tasks that hold their segments, and the levels found come back to the piece. So each text is read a
+fixed number of times and each n-gram of a piece is moved once, however many segments there are.
 """
 
 from __future__ import annotations
@@ -15,25 +16,31 @@ import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from weftmill.lineage import cut, remove_cut, shuffles_removed
-from weftmill.llm.texts import Words, map_slices, mix, slices, with_fields
+from weftmill.llm.texts import Words, mix, slices, with_fields
 
 ORDER = 3
 # First count of each level: 1, 2, 3, 4, 5, 6, 8, 10, ... (a quarter more each time).
 LEVELS = np.array(sorted({math.floor(1.25**i) for i in range(150)} | {1, 2, 3, 4, 5, 6}), np.int64)
 # Bits of the filter per entry and bits set by an entry. All bits of an n-gram lie in one 64-byte block.
 ENTRY_BITS, HASHES = 11, 4
-# What is broadcast at once: filter blocks and exact word counts of a segment.
-SEGMENT_BYTES = 96 << 20
+# What a task probes at a time: filter blocks and exact word counts of a segment.
+SEGMENT_BYTES = 8 << 20
 # Text bytes whose n-grams one shard gets on average; words and n-grams are combined per so many tokens.
 SHARD_BYTES = 16 << 20
 COMBINE_TOKENS = 4 << 20
+# Tokens of a piece at least, unless its block ends before, and text bytes of a block of consecutive rows on average.
+PIECE_TOKENS = 2 << 20
+BLOCK_BYTES = 12 << 20
+# Parts of the texts that are probed one after the other: n-grams of one of them lie in the shuffle at a time.
+ROUNDS = 3
 # Weight of the lower order, per order from 2 on: p = (count + weight * p_lower) / (context + weight).
 BACKOFF = (100.0, 10.0)
 
@@ -76,19 +83,33 @@ def _combined(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nd
     return keys[starts], np.add.reduceat(counts, starts) if len(keys) else counts
 
 
-def _packed(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Ascending keys as gaps, whose upper bytes are mostly zero, and their counts; nothing is lost."""
+def _different(keys: np.ndarray) -> np.ndarray:
+    """Different keys, sorted; faster than `np.unique`, which hashes them."""
+    keys = np.sort(keys)
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+
+
+def _packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as gaps, whose upper bytes are mostly zero; nothing is lost."""
     gaps = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return gaps[:5].tobytes() + zlib.compress(gaps[5:].tobytes(), 1)
+
+
+def _unpacked_keys(keys: bytes, n: int) -> np.ndarray:
+    gaps = np.frombuffer(keys[: 5 * n] + zlib.decompress(keys[5 * n :]), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(gaps.T).view("<u8").ravel(), dtype=np.uint64)
+
+
+def _packed(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Ascending keys and their counts."""
     planes = counts.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return gaps[:5].tobytes() + zlib.compress(gaps[5:].tobytes(), 1), zlib.compress(planes.tobytes(), 1)
+    return _packed_keys(keys), zlib.compress(planes.tobytes(), 1)
 
 
 def _unpacked(keys: bytes, counts: bytes) -> tuple[bytes, bytes]:
     """What `_packed` was given, as bytes of 64-bit keys and 32-bit counts."""
     planes = np.frombuffer(zlib.decompress(counts), np.uint8).reshape(4, -1)
-    n = planes.shape[1]
-    gaps = np.frombuffer(keys[: 5 * n] + zlib.decompress(keys[5 * n :]), np.uint8).reshape(8, n)
-    return np.cumsum(np.ascontiguousarray(gaps.T).view("<u8").ravel(), dtype=np.uint64).astype("<u8").tobytes(), planes.T.tobytes()
+    return _unpacked_keys(keys, planes.shape[1]).astype("<u8").tobytes(), planes.T.tobytes()
 
 
 def _shard_of(keys: np.ndarray, bits: int) -> np.ndarray:
@@ -295,57 +316,186 @@ def log_probabilities(levels: list[np.ndarray], first: np.ndarray, n_texts: int,
     return np.log10(p)
 
 
+def _probe_texts(order: int, bits: int, starts: np.ndarray, shift: int):
+    """Task function over `(id, text)` in written order: `(piece, n, segment, n_keys, keys)`, the different n-grams of
+    each piece. A piece is a run of consecutive rows of one block, named by its first id."""
+
+    def rows(piece: int, pending: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for n in range(order):
+            keys = _different(np.concatenate(pending[n]))
+            pending[n] = []
+            edges = np.append(np.searchsorted(_shard_of(keys, bits), starts), len(keys))
+            full = np.flatnonzero(np.diff(edges))
+            columns = [
+                pa.array(np.full(len(full), piece)),
+                pa.array(np.full(len(full), n, np.int32)),
+                pa.array(full.astype(np.int32)),
+                pa.array(np.diff(edges)[full].astype(np.int32)),
+                pa.array([_packed_keys(keys[edges[s] : edges[s + 1]]) for s in full], pa.binary()),
+            ]
+            yield pa.record_batch(columns, names=["piece", "n", "segment", "n_keys", "keys"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[list[np.ndarray]] = [[] for _ in range(order)]
+        held, piece, last = 0, 0, -2
+        for batch in batches:
+            ids = batch.column("id").to_numpy()
+            ends = np.append(np.flatnonzero((np.diff(ids) != 1) | (np.diff(ids >> shift) != 0)) + 1, len(ids))
+            for lo, hi in zip(np.append(0, ends), ends):
+                for part in slices(batch.slice(lo, hi - lo), "text"):
+                    begin = part.column("id")[0].as_py()
+                    if held and (held >= PIECE_TOKENS or begin != last + 1 or begin >> shift != last >> shift):
+                        yield from rows(piece, pending)
+                        pending, held = [[] for _ in range(order)], 0
+                    piece = piece if held else begin
+                    tokens, first = _tokens(part.column("text"))
+                    for kept, keys in zip(pending, _ngrams(tokens, first, order)):
+                        kept.append(keys)
+                    held, last = held + len(tokens), begin + part.num_rows - 1
+            pa.default_memory_pool().release_unused()
+        if held:
+            yield from rows(piece, pending)
+
+    return run
+
+
+def _answer_probes(segments: list[tuple[int, int]], bits: int):
+    """Task function over shards and, behind those of their segment, packed n-grams: `(piece, n, segment, levels,
+    exact)`, the levels in the order of the keys and for words their exact counts. One segment is held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, segment = None, [], None
+        for batch in batches:
+            found = []
+            for row in batch.to_pylist():
+                if row["segment"] != at:
+                    at, held, segment = row["segment"], [], None
+                if row["piece"] is None:
+                    held.append(row)
+                    continue
+                if segment is None:
+                    segment, held = Segment(held, *segments[at], bits), []
+                keys = _unpacked_keys(row["keys"], row["n_keys"])
+                exact = zlib.compress(segment.exact(keys).astype("<i8").tobytes(), 1) if row["n"] == 0 else None
+                found.append((row["piece"], row["n"], at, zlib.compress(segment.levels(keys).tobytes(), 1), exact))
+            if found:
+                kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+                columns = [pa.array(values, kind) for values, kind in zip(zip(*found), kinds)]
+                yield pa.record_batch(columns, names=["piece", "n", "segment", "levels", "exact"])
+
+    return run
+
+
+def _score_piece(parts: list[tuple], answers: list[list[tuple]], order: int, n_texts: int, n_tokens: int, n_words: int):
+    """Result columns of the texts of one piece; `parts` are `(carried columns, tokens, tokens of each text)`."""
+    tokens = np.concatenate([t for _, t, _ in parts])
+    size = np.concatenate([n for _, _, n in parts])
+    first = np.append(0, np.cumsum(size))
+    read = lambda blobs, kind: np.frombuffer(b"".join(map(zlib.decompress, blobs)), kind)
+    levels, exact = [], None
+    for keys, own in zip(_ngrams(tokens, first, order), answers):
+        different, places = np.unique(keys, return_inverse=True)
+        found = read((a for a, _ in own), np.uint8)
+        if len(found) != len(different):
+            raise RuntimeError(f"levels of {len(found)} n-grams came back for {len(different)}")
+        if exact is None:
+            exact = read((b for _, b in own), "<i8")[places]
+        levels.append(found[places])
+    known = np.add.reduceat(exact > 0, first[:-1], dtype=np.int64)
+    logs = np.add.reduceat(np.log10(exact + 1.0), first[:-1])
+    base = logs - size * math.log10(n_tokens + 1 * (n_words + 1))
+    p = np.add.reduceat(log_probabilities(levels, first, n_texts, n_tokens, n_words), first[:-1])
+    at = 0
+    for carried, _, n in parts:
+        here = slice(at, at + len(n))
+        yield [*carried, *(pa.array(x[here]) for x in (size, known, base, p))]
+        at += len(n)
+
+
+def _score_blocks(order: int, n_texts: int, n_tokens: int, n_words: int, carried: list[str]):
+    """Task function over blocks: rows of found levels, then the rows of the texts by id. One piece is held at a
+    time, without its texts."""
+    names = [*carried, "n_tokens", "n_known", "base_score", "score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        answers: dict[int, list[list[tuple]]] = {}
+        block, piece, parts = None, None, []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            if parts:
+                for columns in _score_piece(parts, answers.pop(piece), order, n_texts, n_tokens, n_words):
+                    yield pa.record_batch(columns, names=names)
+
+        for batch in batches:
+            owner = batch.column("_block").to_numpy() * 2 + np.asarray(batch.column("_piece").is_null())
+            ends = np.append(np.flatnonzero(np.diff(owner)) + 1, len(owner))
+            for lo, hi in zip(np.append(0, ends), ends):
+                rows = batch.slice(lo, hi - lo)
+                if owner[lo] >> 1 != block:
+                    yield from close()
+                    block, answers, piece, parts = owner[lo] >> 1, {}, None, []
+                if not owner[lo] & 1:
+                    for r in rows.select(["_piece", "_n", "_levels", "_exact"]).to_pylist():
+                        answers.setdefault(r["_piece"], [[] for _ in range(order)])[r["_n"]].append((r["_levels"], r["_exact"]))
+                    starts = np.array(sorted(answers))
+                    continue
+                of = starts[np.searchsorted(starts, rows.column("_id").to_numpy(), "right") - 1]
+                stops = np.append(np.flatnonzero(np.diff(of)) + 1, len(of))
+                for a, b in zip(np.append(0, stops), stops):
+                    if of[a] != piece:
+                        yield from close()
+                        piece, parts = int(of[a]), []
+                    for part in slices(rows.slice(a, b - a), "_text"):
+                        tokens, first = _tokens(part.column("_text"))
+                        parts.append(([part.column(c) for c in carried], tokens, np.diff(first)))
+            pa.default_memory_pool().release_unused()
+        yield from close()
+
+    return run
+
+
 def score(docs: DataFrame, model: LanguageModel, text_col: str = "text", carry: list[Column] | None = None) -> DataFrame:
-    """`carry` columns with `n_tokens`, `n_known`, `base_score` and `score`, one row per row of `docs`.
+    """`carry` columns with `n_tokens`, `n_known`, `base_score` and `score`, one row per row of `docs`, written.
 
     `score` is the model's log10 probability of the text, `base_score` that of the exact word counts
-    with add-one smoothing. Null and empty texts are the end token alone. With more than one segment the
-    levels of all n-grams are written between the passes; a pass that has been read is deleted.
+    with add-one smoothing. Null and empty texts are the end token alone. Texts are written once with an id by their
+    place, and read to take their n-grams to the segments and to bring the levels back by block of ids; what has
+    been read is deleted.
     """
     spark = docs.sparkSession
-    order, n, v, n_texts = model.order, model.n_tokens, model.n_words, model.n_texts
-    state = docs.select(
-        docs[text_col].alias("text"), *(carry or []),
-        F.lit(None).cast("binary").alias("levels"), F.lit(0).cast("long").alias("n_known"), F.lit(0.0).alias("logs"),
-    )
-    carried = state.columns[1:-3]
-    kept = state.schema[1:-3]
-    for begin, end in model.segments:
-        rows = model.shards.filter((F.col("shard") >= begin) & (F.col("shard") < end)).select("shard", "blocks", "words", "word_counts")
-        segment = spark.sparkContext.broadcast(Segment([r.asDict() for r in rows.toLocalIterator()], begin, end, model.bits))
-        last = (begin, end) == model.segments[-1]
-
-        def run(batch: pa.RecordBatch, segment=segment, last=last) -> pa.RecordBatch:
-            tokens, first = _tokens(batch.column("text"))
-            keys = _ngrams(tokens, first, order)
-            levels = [segment.value.levels(k) for k in keys[2:]]
-            for k in keys[1::-1]:  # short n-grams recur: each different one is probed once
-                different, places = np.unique(k, return_inverse=True)
-                levels.insert(0, segment.value.levels(different)[places])
-            before = batch.column("levels").to_pylist()
-            if before and before[0] is not None:
-                old = np.frombuffer(b"".join(map(zlib.decompress, before)), np.uint8).reshape(-1, order).T
-                levels = [np.maximum(a, b) for a, b in zip(levels, old)]
-            exact = segment.value.exact(keys[0])
-            known = batch.column("n_known").to_numpy() + np.add.reduceat(exact > 0, first[:-1], dtype=np.int64)
-            logs = batch.column("logs").to_numpy() + np.add.reduceat(np.log10(exact + 1.0), first[:-1])
-            columns = [batch.column(c) for c in carried]
-            if not last:
-                flat = np.stack(levels, axis=1)
-                blobs = pa.array([zlib.compress(flat[a:b].tobytes(), 1) for a, b in zip(first, first[1:])], pa.binary())
-                columns = [batch.column("text"), *columns, blobs, pa.array(known), pa.array(logs)]
-                return pa.record_batch(columns, names=["text", *carried, "levels", "n_known", "logs"])
-            size = np.diff(first)
-            base = logs - size * math.log10(n + 1 * (v + 1))
-            p = log_probabilities(levels, first, n_texts, n, v)
-            columns += [pa.array(size), pa.array(known), pa.array(base), pa.array(np.add.reduceat(p, first[:-1]))]
-            return pa.record_batch(columns, names=[*carried, "n_tokens", "n_known", "base_score", "score"])
-
-        if last:
-            schema = with_fields(kept, "n_tokens long, n_known long, base_score double, score double")
-            return map_slices(state, "text", run, schema)
-        schema = with_fields(state.schema[:-3], "levels binary, n_known long, logs double")
-        spent, state = state, cut(map_slices(state, "text", run, schema), compression="zstd")
-        segment.destroy(blocking=True)
-        if begin:
-            remove_cut(spent)
+    order, bits, segments = model.order, model.bits, model.segments
+    seen = Observation()
+    whole = docs.select(docs[text_col].alias("_text"), *(carry or []), F.monotonically_increasing_id().alias("_id"))
+    sizes = (F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("_text")).alias("bytes"), F.max("_id").alias("last"))
+    texts = cut(whole.observe(seen, *sizes), compression="zstd")
+    carried, kept = texts.columns[1:-1], texts.schema[1:-1]
+    n, last = seen.get["n"] or 0, seen.get["last"] or 0
+    # Blocks of 2 ** shift ids. An id has the number of its task above bit 33.
+    shift = min(32, max(0, round(math.log2(max(BLOCK_BYTES * n / max(seen.get["bytes"] or 0, 1), 1)))))
+    tasks = (last >> 33) + 1
+    starts = np.array([begin for begin, _ in segments])
+    # One row of two numbers per shard.
+    of = np.repeat(np.arange(len(segments), dtype=np.int32), [end - begin for begin, end in segments])
+    place = spark.createDataFrame(pa.table({"shard": np.arange(len(of), dtype=np.int32), "segment": of}))
+    shards = model.shards.join(F.broadcast(place), "shard").select("segment", "shard", "blocks", "words", "word_counts")
+    rounds = min(ROUNDS, tasks)
+    levels = []
+    with shuffles_removed(spark):
+        for r in range(rounds):
+            lo, hi = (tasks * k // rounds << 33 for k in (r, r + 1))
+            part = texts.filter((F.col("_id") >= lo) & (F.col("_id") < hi)).select(F.col("_id").alias("id"), F.col("_text").alias("text"))
+            probes = part.mapInArrow(
+                _probe_texts(order, bits, starts, shift), "piece long, n int, segment int, n_keys int, keys binary"
+            )
+            met = shards.unionByName(probes, allowMissingColumns=True).repartitionById(len(segments), F.col("segment"))
+            met = met.sortWithinPartitions("segment", F.asc_nulls_first("piece"), "shard")
+            levels.append(cut(met.mapInArrow(_answer_probes(segments, bits), "piece long, n int, segment int, levels binary, exact binary")))
+        back = reduce(DataFrame.unionByName, levels)
+        back = back.select(*(F.col(c).alias(f"_{c}") for c in back.columns), F.col("_piece").alias("_id"))
+        met = back.unionByName(texts, allowMissingColumns=True).withColumn("_block", F.shiftright("_id", shift))
+        met = met.repartition("_block").sortWithinPartitions("_block", F.col("_piece").isNull(), "_id", "_n", "_segment")
+        schema = with_fields(kept, "n_tokens long, n_known long, base_score double, score double")
+        scored = cut(met.mapInArrow(_score_blocks(order, model.n_texts, model.n_tokens, model.n_words, carried), schema))
+    for spent in (texts, *levels):
+        remove_cut(spent)
+    return scored
