@@ -138,3 +138,35 @@ def test_token_table_beyond_its_bound(spark, sf_dir, model, monkeypatch, name):
     large = models.Model(model.tables, model.n_head, model.n_block)
     assert rows(large) == expected
     assert "wte" not in large.shared()._parts
+
+
+def test_steps_ahead_equal_single_steps(spark, model):
+    """Further candidates come from one new place each; they are those of the sequence with the best one appended, and
+    end with the place table."""
+    rows = [(1, [5, 6, 7]), (2, [400]), (3, [1, 99999, 2]), (4, [1, 99999]), (5, list(range(62))), (6, list(range(65)))]
+    score = generation.model_scorer(model, 3)
+    df = prompts(spark, [*rows, (7, None)])
+    found = {r["seq_id"]: r["a"] for r in df.select("seq_id", score.ahead(F.col("input"), F.lit(4)).alias("a")).collect()}
+    assert {k: None if v is None else len(v) for k, v in found.items()} == {1: 4, 2: 4, 3: 4, 4: 0, 5: 3, 6: None, 7: None}
+    for step in range(4):
+        now = {r["seq_id"]: r["c"] for r in prompts(spark, rows).select("seq_id", score(F.col("input")).alias("c")).collect()}
+        for seq, _ in rows:
+            if found[seq] and step < len(found[seq]):
+                assert [c["token"] for c in found[seq][step]] == [c["token"] for c in now[seq]]
+                assert [c["value"] for c in found[seq][step]] == pytest.approx([c["value"] for c in now[seq]], abs=1e-9)
+            else:
+                assert not now[seq]
+        rows = [(seq, [*tokens, now[seq][0]["token"]] if now[seq] else tokens) for seq, tokens in rows]
+
+
+@pytest.mark.parametrize("top_n", [1, 2])
+def test_looking_ahead_changes_no_sequence(spark, model, top_n):
+    """With settings of their own, an end token that occurs and sequences that meet the end of the place table."""
+    rows = [(i, list(range(i, 3 * i + 1)), 1 + i % 4, 1 + i % top_n) for i in range(1, 32)]
+    df = spark.createDataFrame(rows, "seq_id long, input array<int>, threshold int, top_n int")
+    score = generation.model_scorer(model, 2)
+    alone = lambda tokens: score(tokens)
+    scored = []
+    score.ahead, ahead = (lambda tokens, steps: scored.append(1) or ahead(tokens, steps)), score.ahead
+    found = state(generation.generate(df, score, eos=300))
+    assert scored and found == state(generation.generate(df, alone, eos=300))
